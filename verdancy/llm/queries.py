@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from .jaccard_join import op2_jaccard_join
 from .substring_dedup import op5_substring_dedup
 
-_QUERIES = [op5_substring_dedup]
+_QUERIES = [op2_jaccard_join, op5_substring_dedup]
 
 
 def queries() -> dict:
