@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,3 +55,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def remainder(column: str, modulus: int):
     """crc32 of the id written as decimal text, modulo modulus."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def widened(df: DataFrame, fields: Iterable[tuple[str, str]]) -> ST.StructType:
+    """The schema of df with (name, type) fields after it."""
+    schema = ST.StructType(list(df.schema.fields))
+    for name, kind in fields:
+        schema.add(name, kind)
+    return schema

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .jaccard_join import op2_jaccard_join
+from .quality_rules import ORACLE as OP9_SQL
+from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
 
-_QUERIES = [op2_jaccard_join, op5_substring_dedup]
+_QUERIES = [op2_jaccard_join, op5_substring_dedup, op9_quality_rules]
 
 
 def queries() -> dict:
