@@ -6,8 +6,9 @@ from .jaccard_join import op2_jaccard_join
 from .quality_rules import ORACLE as OP9_SQL
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
+from .token_files import op4_token_files
 
-_QUERIES = [op2_jaccard_join, op5_substring_dedup, op9_quality_rules]
+_QUERIES = [op2_jaccard_join, op4_token_files, op5_substring_dedup, op9_quality_rules]
 
 
 def queries() -> dict:
