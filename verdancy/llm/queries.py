@@ -7,8 +7,9 @@ from .quality_rules import ORACLE as OP9_SQL
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .token_files import op4_token_files
+from .trie_bpe import op8_trie_bpe
 
-_QUERIES = [op2_jaccard_join, op4_token_files, op5_substring_dedup, op9_quality_rules]
+_QUERIES = [op2_jaccard_join, op4_token_files, op5_substring_dedup, op8_trie_bpe, op9_quality_rules]
 
 
 def queries() -> dict:
