@@ -61,5 +61,5 @@ def widened(df: DataFrame, fields: Iterable[tuple[str, str]]) -> ST.StructType:
     """The schema of df with (name, type) fields after it."""
     schema = ST.StructType(list(df.schema.fields))
     for name, kind in fields:
-        schema.add(name, kind)
+        schema.add(name, ST.DataType.fromDDL(kind))
     return schema

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from .jaccard_join import op2_jaccard_join
-from .quality_rules import ORACLE as OP9_SQL
+from .language_id import op1_language_id
+from .packing import op10_packing
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .token_files import op4_token_files
 from .trie_bpe import op8_trie_bpe
 
-_QUERIES = [op2_jaccard_join, op4_token_files, op5_substring_dedup, op8_trie_bpe, op9_quality_rules]
+_QUERIES = [op1_language_id, op2_jaccard_join, op4_token_files, op5_substring_dedup, op8_trie_bpe, op9_quality_rules, op10_packing]
 
 
 def queries() -> dict:
