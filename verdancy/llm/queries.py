@@ -6,12 +6,13 @@ from .jaccard_join import op2_jaccard_join
 from .language_id import op1_language_id
 from .mil_quality import op7_mil_quality
 from .packing import op10_packing
+from .pii_crf import op3_pii_crf
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .token_files import op4_token_files
 from .trie_bpe import op8_trie_bpe
 
-_QUERIES = [op1_language_id, op2_jaccard_join, op4_token_files, op5_substring_dedup, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing]
+_QUERIES = [op1_language_id, op2_jaccard_join, op3_pii_crf, op4_token_files, op5_substring_dedup, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing]
 
 
 def queries() -> dict:
