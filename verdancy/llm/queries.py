@@ -10,9 +10,11 @@ from .pii_crf import op3_pii_crf
 from .quality_rules import op9_quality_rules
 from .substring_dedup import op5_substring_dedup
 from .token_files import op4_token_files
+from .topk_search import ORACLE as OP6_SQL
+from .topk_search import op6_topk_search
 from .trie_bpe import op8_trie_bpe
 
-_QUERIES = [op1_language_id, op2_jaccard_join, op3_pii_crf, op4_token_files, op5_substring_dedup, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing]
+_QUERIES = [op1_language_id, op2_jaccard_join, op3_pii_crf, op4_token_files, op5_substring_dedup, op6_topk_search, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing]
 
 
 def queries() -> dict:
@@ -20,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op6_topk_search.__name__: OP6_SQL}
