@@ -1,8 +1,76 @@
-"""placeholder until the stages exist"""
+"""A training-corpus pipeline of five operators: language, near duplicates, repeated passages, personal data, packing.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of documents.  A stage's result is written as Parquet
+and read again as the next one's input.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdancy.llm import jaccard_join, language_id, packing, pii_crf, substring_dedup
+from verdancy.llm.common import documents, saved
+
+#: A document stays if some language holds this share of its letters.
+LEAST_LANGUAGE_SHARE = 0.5
+
+
+def _with_text(docs: DataFrame, result: DataFrame, column: str) -> DataFrame:
+    """The columns of docs from result, with the text of column in the place of text."""
+    put = {"text": F.col(column).alias("text"), "n_chars": F.length(column).cast("long").alias("n_chars")}
+    return result.select(*[put[c] if c in put else F.col(f"`{c}`") for c in docs.columns])
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; those without letters or without a leading language go."""
+    model = language_id.train(docs)
+    found = language_id.identify(docs, model, with_spans=False)
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SHARE))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest doc_id of each group of near duplicates; documents without an id stay."""
+    kept = jaccard_join.jaccard_join(docs).where("doc_id = class_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less the passages that a document of smaller doc_id holds; those left without a word go."""
+    found = substring_dedup.substring_dedup(docs)
+    left = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    return _with_text(docs, left, "kept_text")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked."""
+    return _with_text(docs, pii_crf.find_pii(docs, pii_crf.train(docs)), "masked")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batch and slot of each document."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("passages", passages),
+    ("personal_data", personal_data),
+    ("packing", packed),
+]
+
+#: Chosen paths, random fields and BPE have no SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return docs
