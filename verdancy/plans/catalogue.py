@@ -22,9 +22,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from . import queries_dist, queries_rules, queries_text  # noqa: F401  they register themselves
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)

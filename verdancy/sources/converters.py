@@ -1,0 +1,99 @@
+"""Public datasets to records."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import checks as C
+from ..functions import dist as D
+from ..operators.picks import islands
+
+QUESTIONS_PER_ROW = 6
+#: Lines of a licence section.
+STRONG_LICENSE = r"(?i)\b(cc0|cc[- ]by|creative commons|apache|mit license|odc|public domain)\b"
+WEAK_LICENSE = r"(?i)\blicen[cs]e"
+
+
+def clean_license(text: Column) -> Column:
+    """CC0-1.0 that nobody marked as not verified."""
+    return F.coalesce(text.startswith("CC0-1.0") & ~text.contains("not verified"), F.lit(False))
+
+
+def license_lines(cards: DataFrame, name: str, body: str, k: int = 3) -> DataFrame:
+    """The k best licence lines of each card: strong hits before weak ones, in order of place."""
+    lines = cards.select(name, F.posexplode(F.split(body, "\n")).alias("pos", "line"))
+    hits = lines.withColumn("strong", F.col("line").rlike(STRONG_LICENSE)).where(F.col("strong") | F.col("line").rlike(WEAK_LICENSE))
+    rank = F.row_number().over(Window.partitionBy(name).orderBy(F.desc("strong"), "pos"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select(name, "rank", "strong", F.trim("line").alias("line"))
+
+
+def label_names(path: str, column: str) -> list[str]:
+    """Class names of an integer column from the Parquet file's own schema metadata (a local file)."""
+    import json
+
+    import pyarrow.parquet as pq
+
+    features = json.loads(pq.read_schema(path).metadata[b"huggingface"])["info"]["features"]
+    return features[column]["names"]
+
+
+def utterances(df: DataFrame, scenarios: list[str], intents: dict[str, list[str]], seed: int) -> DataFrame:
+    """Utterances (id, utt, scenario, intent) to two-question rows: the scenario, and the intent
+    among all intents (a quarter of the rows) or those of its scenario and one to three others."""
+    table = F.create_map(*[x for s, names in intents.items() for x in (F.lit(s), F.array(*[F.lit(n) for n in names]))])
+    u = lambda salt: F.pmod(F.xxhash64(F.lit(f"{seed}:{salt}"), "id"), F.lit(10_000)) / 10_000
+    names = F.array(*[F.lit(s) for s in scenarios])
+    others = F.transform(F.array_sort(F.transform(F.filter(names, lambda s: s != F.col("scenario")), lambda s: F.struct(F.xxhash64(F.lit(seed), F.col("id"), s).alias("k"), s.alias("s")))), lambda x: x["s"])
+    some = F.concat(F.array("scenario"), F.slice(others, F.lit(1), (1 + F.floor(u("n") * 3)).cast("int")))
+    chosen = F.when(u("full") < 0.25, names).otherwise(some)
+    options = F.flatten(F.transform(chosen, lambda s: F.element_at(table, s)))
+    mixed = F.transform(F.array_sort(F.transform(options, lambda o: F.struct(F.xxhash64(F.lit(seed + 1), F.col("id"), o).alias("k"), o.alias("o")))), lambda x: x["o"])
+    return df.select("id", F.col("utt").alias("state"), "scenario", "intent", names.alias("scenario_options"), mixed.alias("intent_options"))
+
+
+def paraphrases(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Sentence pairs to yes/no rows; empty and equal pairs go."""
+    real = df.where((F.trim("sentence1") != "") & (F.trim("sentence2") != "") & (F.col("sentence1") != F.col("sentence2")))
+    out = real.select("id", F.concat_ws("\n", "sentence1", "sentence2").alias("state"), F.when(F.col("label") == 1, "yes").otherwise("no").alias("label"))
+    return out.limit(limit) if limit else out
+
+
+def heads(df: DataFrame) -> DataFrame:
+    """Decision heads (id, kind, question, options, target, question_id) to field, values and smoothed dist; broken ones go."""
+    name = F.btrim(F.regexp_replace(F.coalesce("question_id", F.substring_index("id", ":", -1)), r"(?U)\W+", "_"), F.lit("_"))
+    name = F.when(name == "", "decision").otherwise(name)
+    field = F.when(name.rlike(C.FIELD), name).otherwise(F.concat(F.lit("q_"), name))
+    labels = F.transform("options", lambda o: F.trim(F.substring_index(o, ": ", 1)))
+    described = F.transform("options", lambda o: F.nullif(F.trim(F.when(o.contains(": "), F.substr(o, F.instr(o, ": ") + 2)).otherwise("")), F.lit("")))
+    values = F.when(F.col("kind") == "choice", labels).when(F.col("kind") == "score", F.transform("options", lambda _, i: i.cast("string"))).when(F.size("options") > 0, F.transform("options", F.lower)).otherwise(F.array(F.lit("no"), F.lit("yes")))
+    given = F.when((F.col("kind") == "noul") & (F.size("options") == 0), F.array(1 - F.element_at("target", -1), F.element_at("target", -1))).otherwise(F.col("target"))
+    out = df.withColumns({"field": field, "values": values, "descriptions": described, "_d": given})
+    sound = (F.col("kind") != "choice") | ((F.size(F.array_distinct("values")) == F.size("values")) & F.forall("values", lambda v: v.rlike(C.LABEL)))
+    out = out.where(F.col("kind").isin("choice", "score", "noul") & sound & (F.size("_d") >= 2) & (D.total(F.col("_d")) > 0))
+    return out.withColumn("dist", D.smooth(D.normalize(F.col("_d")))).drop("_d")
+
+
+def grouped_heads(df: DataFrame, run: str, order: list[str], same: Column) -> DataFrame:
+    """Consecutive heads of one state as rows of at most six questions; repeated field names get _2, _3."""
+    marked = islands(df, run, order, same, QUESTIONS_PER_ROW)
+    again = F.row_number().over(Window.partitionBy(run, "island", "chunk", "field").orderBy(*order))
+    named = marked.withColumn("field", F.when(again > 1, F.concat("field", F.lit("_"), again.cast("string"))).otherwise(F.col("field")))
+    key = F.array_sort(F.collect_list(F.struct(*order, "field", "values", "dist")))
+    return named.groupBy(run, "island", "chunk").agg(key.alias("questions"))
+
+
+def typed_decisions(df: DataFrame, split: str = "train") -> DataFrame:
+    """Rows (id, state, questions JSON, gold JSON) as (id, state, field, question, gold); the train split only."""
+    if split != "train":
+        raise ValueError("only the train split may be converted")
+    pairs = df.select("id", "state", F.posexplode(F.map_entries(F.from_json("questions", "map<string,string>"))).alias("pos", "q"), F.from_json("gold", "map<string,string>").alias("g"))
+    yes_no = lambda v: F.when(F.lower(v).isin("true", "1", "yes"), "yes").when(F.lower(v).isin("false", "0", "no"), "no").otherwise(v)
+    kind = F.get_json_object("q.value", "$.type")
+    gold = F.try_element_at("g", F.col("q.key"))
+    return pairs.select("id", "state", "pos", F.col("q.key").alias("field"), kind.alias("kind"), F.col("q.value").alias("question"), F.when(kind == "noul", yes_no(gold)).otherwise(gold).alias("gold"))
+
+
+def gzip_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Gzipped JSON lines with their place in the file, as one head's order matters."""
+    return spark.read.schema(schema).json(path).withColumn("ord", F.monotonically_increasing_id())
