@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-RECORD = ST.StructType.fromDDL(
-    "id string, lang string, source string, license string, split string, tags array<string>, state string, questions string, targets string, reasoning string, teachers string, abstain boolean"
-)
+_TEXT = ("id", "lang", "source", "license", "split", "state", "questions", "targets", "reasoning", "teachers")
+RECORD = ST.StructType([*[ST.StructField(c, ST.StringType()) for c in _TEXT], ST.StructField("tags", ST.ArrayType(ST.StringType())), ST.StructField("abstain", ST.BooleanType())])
 MANDATORY = ("id", "lang", "source", "license", "split", "tags", "state", "questions", "targets")
 LANGS = ("en", "tr", "de")
 SPLITS = ("train", "calibration", "validation", "test")
