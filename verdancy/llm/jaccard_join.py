@@ -41,7 +41,7 @@ from .grouped import groups
 GRAM = 5
 TOKENS = 64
 PLACES = 2
-LEAF = 512
+LEAF = 1024
 DEPTH = 4
 RECALL = 0.999
 CHUNK_BYTES = 4 << 20
