@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 #: Fixed values of the label policy.
 SMOOTHING = 0.02
 TIE_TOLERANCE = 1e-9
@@ -25,17 +27,17 @@ def total(d: Column) -> Column:
 def softmax(logits: Column, temperature: Column | float = 1.0) -> Column:
     """exp((x - max) / temperature), normalised."""
     t = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
-    weights = F.transform(logits, lambda x: F.exp((x - F.array_max(logits)) / t))
-    return normalize(weights)
+    weights = lambda row: let(F.array_max(row), lambda top: F.transform(row, lambda x: F.exp((x - top) / t)))
+    return normalize(let(logits, weights))
 
 
 def normalize(d: Column) -> Column:
     """Divide by the sum; no mass gives null."""
-    return F.transform(d, lambda x: F.try_divide(x, total(d)))
+    return let(d, lambda row: let(total(row), lambda mass: F.transform(row, lambda x: F.try_divide(x, mass))))
 
 
 def smooth(d: Column, eps: float = SMOOTHING) -> Column:
-    return F.transform(d, lambda x: (1 - eps) * x + F.lit(eps) / F.size(d))
+    return let(d, lambda row: F.transform(row, lambda x: (1 - eps) * x + F.lit(eps) / F.size(row)))
 
 
 def one_hot(label: Column, values: Column, eps: float = SMOOTHING) -> Column:
@@ -44,12 +46,12 @@ def one_hot(label: Column, values: Column, eps: float = SMOOTHING) -> Column:
 
 def argmax(d: Column) -> Column:
     """0-based place of the first greatest entry."""
-    return (F.array_position(d, F.array_max(d)) - 1).cast("int")
+    return let(d, lambda row: (F.array_position(row, F.array_max(row)) - 1).cast("int"))
 
 
 def argmax_set(d: Column, tolerance: float = TIE_TOLERANCE) -> Column:
     """0-based places within tolerance of the greatest entry."""
-    return F.filter(F.sequence(F.lit(0), F.size(d) - 1), lambda i: F.get(d, i) >= F.array_max(d) - tolerance)
+    return let(d, lambda row: let(F.array_max(row), lambda top: F.filter(F.sequence(F.lit(0), F.size(row) - 1), lambda i: F.get(row, i) >= top - tolerance)))
 
 
 def label_of(d: Column, values: Column) -> Column:
@@ -82,9 +84,12 @@ def total_variation(a: Column, b: Column) -> Column:
 
 def mean(dists: Column) -> Column:
     """Mean of an array of distributions, place by place."""
-    first = F.get(dists, F.lit(0))
-    summed = F.transform(first, lambda _, i: F.aggregate(dists, F.lit(0.0), lambda a, d: a + F.coalesce(F.get(d, i), F.lit(0.0))))
-    return F.transform(summed, lambda x: x / F.size(dists))
+
+    def places(rows: Column) -> Column:
+        first = F.get(rows, F.lit(0))
+        return F.transform(first, lambda _, i: F.aggregate(rows, F.lit(0.0), lambda a, d: a + F.coalesce(F.get(d, i), F.lit(0.0))) / F.size(rows))
+
+    return let(dists, places)
 
 
 def expected_level(d: Column, values: Column, unknown: str = "unknown") -> Column:

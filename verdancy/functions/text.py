@@ -13,6 +13,11 @@ GERMAN_LETTERS = "äß"
 CHARS_PER_TOKEN = 3.5
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once: inside a lambda, an expression would be worked out for every element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def state_key(state: Column) -> Column:
     """Lower case, white space collapsed."""
     return F.trim(F.regexp_replace(F.lower(state), r"(?U)\s+", " "))
@@ -49,14 +54,22 @@ def word_tokens(text: Column) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Distinct runs of n tokens, joined by spaces."""
-    places = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice(tokens, i, n), " ")))
+
+    def runs(t: Column) -> Column:
+        places = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice(t, i, n), " ")))
+
+    return let(tokens, runs)
 
 
 def shingles(text: Column, n: int = 5) -> Column:
     """Distinct character n-grams; a shorter text is one gram."""
-    last = F.greatest(F.lit(1), F.length(text) - n + 1)
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n))))
+
+    def grams(t: Column) -> Column:
+        last = F.greatest(F.lit(1), F.length(t) - n + 1)
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(t, i, F.lit(n))))
+
+    return let(text, grams)
 
 
 def token_estimate(text: Column) -> Column:

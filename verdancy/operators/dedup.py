@@ -6,9 +6,11 @@ order of partitions.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions import text as X
 
@@ -41,13 +43,42 @@ def identical_rows(df: DataFrame, parts: list[Column], order: str) -> DataFrame:
     return keyed.join(first, "_sha").select(*df.columns, F.when(F.col("_first") < F.col(order), F.col("_first")).alias("dup_of"))
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(32))
+
+
+def band_hashes(key: str) -> list[int]:
+    """Band hashes of a key's MinHash over character shingles; a shorter key is one gram."""
+    code = np.frombuffer(key.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    if len(code) < SHINGLE:
+        code = np.concatenate([code, np.full(SHINGLE - len(code), 0x110000, dtype=np.uint64)])
+    grams = np.zeros(len(code) - SHINGLE + 1, dtype=np.uint64)
+    for k in range(SHINGLE):
+        grams = _mix(grams + code[k : len(code) - SHINGLE + 1 + k] + np.uint64(k + 1))
+    grams = np.unique(grams)
+    sig = np.array([_mix(grams ^ seed).min() for seed in _SEEDS])
+    out = []
+    for b in range(BANDS):
+        h = np.zeros(1, dtype=np.uint64)
+        for v in sig[b * ROWS : (b + 1) * ROWS]:
+            h = _mix(h + v)
+        out.append(int(h.view(np.int64)[0]))
+    return out
+
+
+_SEEDS = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64)
+
+
+@F.pandas_udf(ST.ArrayType(ST.LongType()))
+def _bands(key: pd.Series) -> pd.Series:
+    return key.map(lambda k: band_hashes(k or ""))
+
+
 def minhash_bands(df: DataFrame, key: Column, order: str) -> DataFrame:
     """(order, band, hash) of MinHash signatures over character shingles."""
-    grams = df.select(order, X.shingles(key, SHINGLE).alias("_grams"))
-    sig = F.array(*[F.array_min(F.transform("_grams", lambda g, s=s: F.xxhash64(g, F.lit(s)))) for s in range(PERMUTATIONS)])
-    banded = grams.select(order, sig.alias("_sig"))
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("_sig", b * ROWS + 1, ROWS)).alias("hash")) for b in range(BANDS)])
-    return banded.select(order, F.explode(bands).alias("_b")).select(order, "_b.band", "_b.hash")
+    return df.select(order, F.posexplode(_bands(key)).alias("band", "hash"))
 
 
 def near_duplicate_edges(df: DataFrame, key: Column, order: str) -> DataFrame:
