@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from . import textcore as T
 from .common import widened, without
 
-#: A worker starts its unit cache anew beyond this many units; a figure of memory, not of results.
-CACHE_UNITS = 500_000
+#: Units of a worker's cache generation; units not met for a whole generation are forgotten. A figure of memory, not of results.
+CACHE_UNITS = 250_000
 TEXT_BYTES = 4 << 20
 RESULT = ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")
 
@@ -79,7 +79,9 @@ class TrieBpe:
     def _last(self, word: str, n: int, states: list[str], end: str) -> str | None:
         """The last token of the first n characters (and the end mark): the one candidate that fits its prefix."""
         vocab = self.vocab
-        for start in range(max(0, n - self.longest), n):
+        # most often the last token of the path grows by the character, or the character stands alone
+        grown = n - 1 - len(states[n - 1])
+        for start in (grown, n - 1, *range(max(0, n - self.longest), grown), *range(grown + 1, n - 1)):
             token = word[start:n] + end
             if token in vocab and self._own(token) and (start == 0 or self._pair(states[start], token)):
                 return token
@@ -125,6 +127,7 @@ class WordTokenizer:
         self.trie = TrieBpe(self.vocab, merges, model["end_of_word_suffix"])
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.cache: dict[bytes, tuple[int, str, str]] = {}
+        self.older: dict[bytes, tuple[int, str, str]] = {}
 
     def _pieces(self, unit: bytes) -> list[str]:
         if unit.isalpha():  # ASCII letters: one piece
@@ -136,7 +139,7 @@ class WordTokenizer:
         """Encode new units: (number of ids, ids as text, tokens as text)."""
         pieces: dict[bytes, list[str]] = {}
         for unit in units:
-            if any(s in unit for s in self.special):
+            if b"<" in unit and any(s in unit for s in self.special):
                 got = self.library.encode(unit.decode(), add_special_tokens=False)
                 self.cache[unit] = len(got.ids), " ".join(map(str, got.ids)), " ".join(got.tokens)
             else:
@@ -151,16 +154,19 @@ class WordTokenizer:
         """(number of ids, ids joined by spaces, decoded text) of each text."""
         units = [t.split() for t in texts]
         new = {u for x in units for u in x}
-        if len(self.cache) + len(new) > CACHE_UNITS:
-            # only units of this chunk can be wanted again soon
-            self.cache = {u: self.cache[u] for u in new if u in self.cache}
-        self.learn(sorted(new.difference(self.cache)))
+        if len(self.cache) > CACHE_UNITS:
+            self.older, self.cache = self.cache, {}
+        new.difference_update(self.cache)
+        known = new.intersection(self.older)
+        self.cache.update((u, self.older[u]) for u in known)
+        self.learn(new.difference(known))
         out, cache = [], self.cache
         for x in units:
             got = [cache[u] for u in x]
-            if any(not g[0] for g in got):  # units of other white space have no ids
-                got = [g for g in got if g[0]]
             counts, ids, tokens = zip(*got) if got else ((), (), ())
+            if 0 in counts:  # units of other white space have no ids
+                got = [g for g in got if g[0]]
+                counts, ids, tokens = zip(*got) if got else ((), (), ())
             out.append((sum(counts), " ".join(ids), " ".join(tokens)))
         return out
 
