@@ -28,7 +28,7 @@ def corpus(seed=1):
             docs.append(near)
     docs += [base[0], base[0], passage + base[1][:20], base[2][:30] + passage[5:60], ["x"] * 120, ["x"] * 60, [], ["one", "two"], ["one", "two"]]
     rows = [(i, rng.choice([" ", "\n", "  "]).join(d), "en", 1, "k") for i, d in enumerate(docs)]
-    rows += [(9000, None, None, None, None), (9001, "", "en", 2, "k"), (None, "a b c d e f", "en", 3, "k"), (5, rows[5][1], "fr", 4, "k")]
+    rows += [(9000, None, None, None, None), (9001, "", "en", 2, "k"), (None, "a b c d e f", "en", 3, "k"), (5, rows[5][1], "fr", 4, "k"), (7, rows[20][1], "fr", 4, "k"), (21, rows[8][1] + " tail", "en", 1, "k")]
     rng.shuffle(rows)
     return rows
 

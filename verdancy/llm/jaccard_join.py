@@ -43,8 +43,8 @@ TOKENS = 64
 PLACES = 2
 LEAF = 1024
 DEPTH = 4
-RECALL = 0.999
-CHUNK_BYTES = 4 << 20
+RECALL = 0.99999
+CHUNK_BYTES = 2 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(71))
 _FACTORS = _RNG.integers(1, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,11 +103,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(a, b - a),
+                    batch.column("th").slice(a, b - a),
                     pa.array([keys[16 * i : 16 * i + 16] for i in range(b - a)], pa.binary()),
                     pa.array(size, pa.int32()),
                     pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * TOKENS, pa.array(sig.ravel().view(np.int32))),
                 ],
-                names=["doc_id", "k", "n", "sig"],
+                names=["doc_id", "th", "k", "n", "sig"],
             )
 
 
@@ -226,24 +227,26 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
     """(doc_id, class_id, copy_of, n_links) for every row of docs."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    docs = docs.select("doc_id", "text")
-    sigs = saved(docs.mapInArrow(_signatures, "doc_id long, k binary, n int, sig array<int>"), "signatures")
-    classes = saved(sigs.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("sig").alias("sig")), "classes")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    sigs = saved(docs.mapInArrow(_signatures, "doc_id long, th long, k binary, n int, sig array<int>"), "signatures")
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("r")
+    classes = sigs.where("n > 0").groupBy("k").agg(least, F.count("*").alias("copies"), F.min("sig").alias("sig"))
+    classes = saved(classes.select("k", F.col("r.doc_id").alias("rep"), F.col("r.th").alias("th"), "copies", "sig"), "classes")
     leaves, alive = _buckets(classes, _runs(threshold, recall))
 
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF)).cast("int")
     units = leaves.withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int")).select("k", "path", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     units = units.select("k", "path", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     paths = leaves.groupBy("k").agg(F.collect_set("path").alias("paths"))
-    rows = units.join(alive.drop("rep").join(paths, "k"), "k")
+    rows = units.join(alive.drop("rep", "th").join(paths, "k"), "k")
     deviation = math.sqrt(threshold * (1 - threshold) / TOKENS)
     kind = "path long, i int, j int, block int, k binary, copies long, paths array<long>"
     dealt = lambda df: df.repartition(parts, "path", "i", "j").sortWithinPartitions("path", "i", "j")
     near = saved(dealt(rows).mapInArrow(_plausible(threshold - 5 * deviation), kind), "plausible")
-    # the text of each class, from the row of its representative
-    wanted = near.select("k").distinct().join(classes.select("k", "rep"), "k")
-    keyed = wanted.select("k", F.col("rep").alias("doc_id")).where("doc_id is not null")
-    texts = docs.join(keyed, "doc_id").groupBy("k").agg(F.first("text").alias("text"))
+    # the text of each class, from the row of its representative (ids can repeat, so its hash must agree too)
+    wanted = near.select("k").distinct().join(classes.select("k", "rep", "th"), "k")
+    keyed = wanted.select("k", F.col("rep").alias("doc_id"), "th").where("doc_id is not null")
+    texts = docs.join(keyed, ["doc_id", "th"]).groupBy("k").agg(F.first("text").alias("text"))
     links = saved(dealt(near.join(texts, "k")).mapInArrow(_links(threshold), "u binary, v binary, links long"), "links")
 
     degree = links.groupBy(F.col("u").alias("k")).agg(F.sum("links").alias("links"))
