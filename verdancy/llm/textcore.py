@@ -27,17 +27,19 @@ def _byte_table(seed: int) -> np.ndarray:
 
 _TABLES = [_byte_table(20240601), _byte_table(20240602)]
 _POWERS: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps between calls, 32 MB a base; longer runs are worked out when met.
+KEPT_POWERS = 1 << 22
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
+    """base**0 .. base**(n-1) modulo 2**64."""
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length() if n > 1 else 1)
-        have = np.full(size, base, dtype=np.uint64)
+        have = np.full(max(1, -(-n // (1 << 20))) << 20, base, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        _POWERS[base] = have
+        if len(have) <= KEPT_POWERS:
+            _POWERS[base] = have
     return have[:n]
 
 

@@ -17,7 +17,7 @@ import numpy as np
 _SPLIT = re.compile(r" (?=\S)")
 _WIDE = re.compile(r" \s")
 #: Beyond this many units a worker forgets the rarer ones; a figure of memory, not of results.
-CACHE_UNITS = 800_000
+CACHE_UNITS = 600_000
 
 
 class UnitEncoder:
