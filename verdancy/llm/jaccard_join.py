@@ -44,7 +44,7 @@ PLACES = 2
 LEAF = 1024
 DEPTH = 4
 RECALL = 0.99999
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 1
 
 _RNG = np.random.Generator(np.random.PCG64(71))
 _FACTORS = _RNG.integers(1, 1 << 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -35,7 +35,7 @@ BITS = 16
 PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 RESULT = ("lang_pred", "score", "spans")
 SPANS = "array<struct<start:int,end:int,lang:string>>"
 

@@ -35,7 +35,7 @@ MAX_TRAIN_DOCS = 4000
 THRESHOLD = 0.3
 HIDDEN, GATE = 24, 16
 EPOCHS, BAGS, RATE, DECAY = 24, 64, 0.01, 1e-4
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 1
 RESULT = ("score", "predicted", "attention")
 
 _CLASSES = np.zeros(256, dtype=np.uint8)

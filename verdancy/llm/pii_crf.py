@@ -41,7 +41,7 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TRAIN_DOCS = 4000
 ROUNDS, DAMPING = 12, 0.5
 ACCEPT = 0.8
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 RESULT = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "masked")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")

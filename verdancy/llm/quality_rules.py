@@ -37,7 +37,7 @@ MOST_REPEATED = 50  # per cent of words
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 1
 RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "bad_chunk_share", "reason")
 
 _SYMBOL = np.zeros(256, dtype=bool)

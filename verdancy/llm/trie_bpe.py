@@ -33,7 +33,7 @@ from .common import widened, without
 
 #: Units of a worker's cache generation; units not met for a whole generation are forgotten. A figure of memory, not of results.
 CACHE_UNITS = 250_000
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 RESULT = ("n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")
 
 
