@@ -8,6 +8,7 @@ from .mil_quality import op7_mil_quality
 from .packing import op10_packing
 from .pii_crf import op3_pii_crf
 from .quality_rules import op9_quality_rules
+from .substring_dedup import ORACLE as OP5_SQL
 from .substring_dedup import op5_substring_dedup
 from .token_files import op4_token_files
 from .topk_search import ORACLE as OP6_SQL
@@ -22,4 +23,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op6_topk_search.__name__: OP6_SQL}
+    return {op5_substring_dedup.__name__: OP5_SQL, op6_topk_search.__name__: OP6_SQL}

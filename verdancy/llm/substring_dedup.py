@@ -41,13 +41,14 @@ from .common import shuffle_partitions, without
 COVER_PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = (2 << 20) - 1
 RESULT = ("n_words", "n_removed", "kept_sha256", "kept_text")
 
-_ROWS = "h1 long, h2 int, kind byte, doc_id long, th long, pos int, many binary"
-_ARROW = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("kind", pa.int8()), ("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("many", pa.binary())])
-_FOUND = "doc_id long, th long, many binary"
-_FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("many", pa.binary())])
+# meta packs th (29 bits), pos (32) and kind (2): every field of a shuffled row costs eight bytes before compression.
+_ROWS = "h1 long, h2 int, doc_id long, meta long, many binary"
+_ARROW = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("doc_id", pa.int64()), ("meta", pa.int64()), ("many", pa.binary())])
+_FOUND = "doc_id long, th int, many binary"
+_FOUND_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int32()), ("many", pa.binary())])
 
 ONE, SHARED, LOCAL = 0, 1, 2
 
@@ -63,9 +64,10 @@ def _blobs(doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
 
 def _batch(parts: list[tuple]) -> pa.RecordBatch:
     """parts: (h1, h2, kind, doc_id, th, pos, many or None) columns."""
-    columns = [np.concatenate([np.asarray(p[i]) for p in parts]) for i in range(6)]
+    h1, h2, kind, doc_id, th, pos = (np.concatenate([np.asarray(p[i]) for p in parts]) for i in range(6))
+    meta = th.astype(np.int64) << 34 | pos.astype(np.int64) << 2 | kind
     many = [x for p in parts for x in (p[6] if p[6] is not None else [None] * len(p[0]))]
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _ARROW)] + [pa.array(many, type=pa.binary())], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(doc_id), pa.array(meta), pa.array(many, type=pa.binary())], schema=_ARROW)
 
 
 def _local(ids: np.ndarray, th: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple:
@@ -109,11 +111,14 @@ def _anchors(window: int):
             shared = (doc[first] != doc[last])
             of = np.cumsum(new) - 1
             one = ~shared[of]
-            parts = [(h[one].view(np.int64), np.zeros(one.sum(), np.int32), np.full(one.sum(), ONE, np.int8), ids[doc[one]], th[doc[one]], pos[one].astype(np.int32), None)]
+            # in text order, as rows of one document compress well side by side
+            text_order = np.flatnonzero(one)[np.argsort(order[one])]
+            m = len(text_order)
+            parts = [(h[text_order].view(np.int64), np.zeros(m, np.int32), np.full(m, ONE, np.int8), ids[doc[text_order]], th[doc[text_order]], pos[text_order].astype(np.int32), None)]
             if shared.any():
                 n = int(shared.sum())
-                zero = np.zeros(n, np.int64)
-                parts.append((h[first[shared]].view(np.int64), np.zeros(n, np.int32), np.full(n, SHARED, np.int8), zero, zero, np.zeros(n, np.int32), None))
+                zero = np.zeros(n, np.int32)
+                parts.append((h[first[shared]].view(np.int64), zero, np.full(n, SHARED, np.int8), zero.astype(np.int64), zero, zero, None))
                 parts.append(_local(ids, th, doc[~one], pos[~one]))
             yield _batch(parts)
 
@@ -123,7 +128,7 @@ def _anchors(window: int):
 def _found(ids: np.ndarray, th: np.ndarray, pos: np.ndarray, kept: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Positions found, and the LOCAL rows of the batch as they are."""
     if kept.num_rows:
-        yield kept.select(["doc_id", "th", "many"])
+        yield kept
     if len(ids):
         data = np.ascontiguousarray(pos, dtype="<i4").view(np.uint8)
         offsets = np.arange(len(ids) + 1, dtype=np.int32) * 4
@@ -132,10 +137,13 @@ def _found(ids: np.ndarray, th: np.ndarray, pos: np.ndarray, kept: pa.RecordBatc
 
 
 def _split(batch: pa.RecordBatch):
-    kind = batch.column("kind").to_numpy()
-    local = batch.filter(pa.array(kind == LOCAL))
-    rest = batch.filter(pa.array(kind != LOCAL)) if local.num_rows else batch
-    return local, *[rest.column(c).to_numpy() for c in ("h1", "h2", "kind", "doc_id", "th", "pos")]
+    """(LOCAL rows as found ones; h1, h2, kind, doc_id, th, pos of the others)."""
+    h1, h2, ids, meta = (batch.column(c).to_numpy() for c in ("h1", "h2", "doc_id", "meta"))
+    kind, pos, th = (meta & 3).astype(np.int8), (meta >> 2 & 0xFFFFFFFF).astype(np.int32), (meta >> 34).astype(np.int32)
+    at = kind == LOCAL
+    local = pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(th[at]), batch.column("many").filter(pa.array(at))], schema=_FOUND_ARROW)
+    rest = ~at
+    return local, h1[rest], h2[rest], kind[rest], ids[rest], th[rest], pos[rest]
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +189,7 @@ def _windows(window: int):
             marks = np.zeros(len(w.start) + 1, dtype=np.int64)
             for k, blobs in enumerate(batch.column("found").to_pylist()):
                 at = _positions(blobs) + w.doc_word[k]
+                at = at[at < w.doc_word[k + 1]]
                 np.add.at(marks, np.maximum(at - (COVER_PERIOD - 1), w.doc_word[k]), 1)
                 np.add.at(marks, at + 1, -1)
             near = np.cumsum(marks)[:-1] > 0
@@ -197,8 +206,9 @@ def _windows(window: int):
             new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
             least = ids[doc][np.flatnonzero(new)][np.cumsum(new) - 1]
             one = ids[doc] == least
-            n = int(one.sum())
-            parts = [(h1[one].view(np.int64), h2[one].view(np.int32), np.full(n, ONE, np.int8), ids[doc[one]], th[doc[one]], pos[one].astype(np.int32), None)]
+            text_order = np.flatnonzero(one)[np.argsort(order[one])]
+            n = len(text_order)
+            parts = [(h1[text_order].view(np.int64), h2[text_order].view(np.int32), np.full(n, ONE, np.int8), ids[doc[text_order]], th[doc[text_order]], pos[text_order].astype(np.int32), None)]
             if n < len(one):
                 parts.append(_local(ids, th, doc[~one], pos[~one]))
             yield _batch(parts)
@@ -247,6 +257,7 @@ def _finish(window: int, fields: list[str], texts: bool):
                 if blobs:
                     marks = np.zeros(n + 1, dtype=np.int64)
                     at = np.unique(_positions(blobs))
+                    at = at[at + window <= n]
                     marks[at] += 1
                     marks[at + window] -= 1
                     gone = np.cumsum(marks)[:-1] > 0
@@ -272,23 +283,39 @@ def substring_dedup(docs: DataFrame, window: int = 50, texts: bool = True) -> Da
         raise ValueError(f"window must be {COVER_PERIOD} words or more")
     n = shuffle_partitions(docs.sparkSession)
     docs = without(docs, RESULT)
-    inner = docs.select("doc_id", F.col("text"), F.xxhash64("text").alias("th")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    text_hash = F.pmod(F.hash("text"), F.lit(1 << 29))  # tells rows of one doc_id apart
+    inner = docs.select("doc_id", F.col("text"), text_hash.alias("th")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     anchors = inner.mapInArrow(_anchors(window), _ROWS)
     shared = anchors.repartition(n, "h1").sortWithinPartitions("h1").mapInArrow(_shared_anchors, _FOUND)
-    # One exchange of the texts serves both joins: the two branches are the same plan.
+    # One exchange of the texts serves both joins: the two branches are the same plan,
+    # as the key, a hash of the id and of the text's hash, is never null and needs no filter.
+    key = lambda h: F.xxhash64("doc_id", h)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    dealt = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest") if others else F.lit(0).alias("rest"), F.xxhash64("text").alias("th")).repartition(n, "doc_id")
-    by_doc = lambda df: df.groupBy("doc_id", "th").agg(F.collect_list("many").alias("found"))
-    near = dealt.join(by_doc(shared), ["doc_id", "th"]).select("doc_id", "th", "text", "found")
+    rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []
+    dealt = docs.select("doc_id", "text", *rest, text_hash.alias("th"), key(text_hash).alias("key")).repartition(n, "key")
+    by_doc = lambda df: df.groupBy(key("th").alias("key")).agg(F.collect_list("many").alias("found"))
+    near = dealt.join(by_doc(shared), "key")
     windows = near.mapInArrow(_windows(window), _ROWS)
     repeated = windows.repartition(n, "h1").sortWithinPartitions("h1", "h2", "doc_id").mapInArrow(_repeated, _FOUND)
-    joined = dealt.join(by_doc(repeated), ["doc_id", "th"], "left").select("doc_id", "text", "rest", "found")
-    fields = ["doc_id", "text", "rest"]
+    joined = dealt.join(by_doc(repeated), "key", "left")
+    fields = ["doc_id", "text", *(["rest"] if others else [])]
     schema = ST.StructType([*[joined.schema[c] for c in fields], ST.StructField("n_words", ST.LongType()), ST.StructField("n_removed", ST.LongType()), ST.StructField("kept_sha256", ST.StringType())] + ([ST.StructField("kept_text", ST.StringType())] if texts else []))
     done = joined.mapInArrow(_finish(window, fields, texts), schema)
-    return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns], *schema.names[3:])
+    return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns], *schema.names[len(fields) :])
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return substring_dedup(docs, texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+f AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+s AS (SELECT doc_id, i FROM g JOIN f USING (k) WHERE first < doc_id),
+r AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM s)),
+x AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+k AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.p) AS kept FROM x LEFT JOIN r ON x.doc_id = r.doc_id AND x.p = r.p WHERE r.p IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
