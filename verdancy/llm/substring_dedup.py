@@ -41,7 +41,7 @@ from .common import shuffle_partitions, without
 COVER_PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 
-CHUNK_BYTES = (2 << 20) - 1
+CHUNK_BYTES = 3 << 20
 RESULT = ("n_words", "n_removed", "kept_sha256", "kept_text")
 
 # meta packs th (29 bits), pos (32) and kind (2): every field of a shuffled row costs eight bytes before compression.
