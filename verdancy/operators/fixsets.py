@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ KEPT_TAGS = ("domain", "writer", "group", "fmt")
 BUDGETS = (1000, 2000, 3000)
 PLACES = ("start", "middle", "end")
 TWIN_GAP = 0.25
+#: Rows are counted by so many leading bits of their hash.
+RANGE_BITS = 10
 
 
 def base_tags(tags: Column) -> Column:
@@ -60,24 +64,78 @@ def permutations(rows: DataFrame, options: str, row_id: str, seed: int, copies:
     return many.withColumn(options, F.transform(F.array_sort(keyed), lambda s: s["o"]))
 
 
-def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, pool_size: int, seed: int, budgets: tuple[int, ...] = BUDGETS) -> DataFrame:
+def _placed(rows: DataFrame, row_id: str, state: str, domain: str, index: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """rows with _at, their place from 0 in order of domain and hash, and the domains with their range of places.
+
+    Places are counted by ranges of the hash, so that no task sorts a whole domain.
+    """
+    h = F.xxhash64(F.lit(seed), row_id, state)
+    keyed = rows.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 64 - RANGE_BITS))
+    chars = F.coalesce(F.length(state), F.lit(0)).cast("long")
+    ranges = keyed.groupBy(F.col(domain).alias("_d"), F.col("_b").alias("_rb")).agg(F.count("*").alias("n"), F.sum(chars).alias("chars"))
+    before = lambda n, w: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    domains = ranges.groupBy("_d").agg(F.sum("n").alias("_n"), F.sum("chars").alias("_chars"))
+    whole = Window.partitionBy(F.lit(0))
+    domains = domains.select("_d", "_n", before("_n", whole.orderBy("_d")).alias("_first"), (F.sum("_n").over(whole) - F.col("_n")).alias("_m"), (F.sum("_chars").over(whole) - F.col("_chars")).alias("_chars"))
+    ranges = ranges.select("_d", "_rb", before("n", Window.partitionBy("_d").orderBy("_rb")).alias("_skip"))
+    starts = ranges.join(domains.select(F.col("_d").alias("_e"), "_first"), F.col("_d").eqNullSafe(F.col("_e"))).select("_d", "_rb", (F.col("_first") + F.col("_skip")).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(domain, "_b").orderBy("_h", row_id, state, index)) - 1
+    placed = keyed.withColumn("_in", inside).join(starts, F.col(domain).eqNullSafe(F.col("_d")) & (F.col("_b") == F.col("_rb")))
+    return placed.select(*rows.columns, (F.col("_start") + F.col("_in")).alias("_at")), domains
+
+
+def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, seed: int, budgets: tuple[int, ...] = BUDGETS) -> DataFrame:
     """each state with states of other domains, up to a budget of estimated tokens.
 
-    Padding is drawn from a pool of pool_size rows in hash order (a parameter),
-    so the pairs grow with the rows and not with their square.
+    Every row of another domain and id can be padding.  Each row walks all
+    places outside its domain in an order of its own, a permutation seeded by
+    its hash, and looks up only as many as its budget takes: rounds of draws
+    follow until the budget is reached or no other row is left.  A null state
+    counts as empty and is no padding; a null domain is a domain of its own.
     """
-    estimate = lambda c: F.length(c) / X.CHARS_PER_TOKEN
-    pool = rows.orderBy(F.xxhash64(F.lit(seed), row_id), row_id).limit(pool_size)
-    pool = pool.agg(F.collect_list(F.struct(F.col(row_id).alias("id"), F.col(domain).alias("domain"), F.col(state).alias("state"))).alias("_pool"))
-    joined = rows.crossJoin(F.broadcast(pool)).withColumn("budget", cyclic(F.col(index), list(budgets)))
-    other = F.filter("_pool", lambda s: (s["id"] != F.col(row_id)) & (s["domain"] != F.col(domain)))
-    mixed = F.array_sort(F.transform(other, lambda s: F.struct(F.xxhash64(F.lit(seed), F.col(row_id), s["id"]).alias("k"), s["state"].alias("state"))))
-    start = F.struct(estimate(F.col(state)).cast("double").alias("size"), F.array().cast("array<string>").alias("others"))
-    add = lambda a, s: F.when(a["size"] >= F.col("budget"), a).otherwise(F.struct((a["size"] + estimate(s["state"])).alias("size"), F.array_append(a["others"], s["state"]).alias("others")))
-    # the first other state always joins, as in a loop that adds before it looks
-    begun = F.when(F.size(mixed) > 0, F.struct((start["size"] + estimate(F.get(mixed, F.lit(0))["state"])).alias("size"), F.array(F.get(mixed, F.lit(0))["state"]).alias("others"))).otherwise(start)
-    filled = F.aggregate(F.slice(mixed, 2, 1 << 20), begun, add)
-    return joined.withColumn("others", filled["others"]).drop("_pool")
+    if not rows.sparkSession.conf.get("spark.checkpoint.dir", None) and rows.sparkSession.sparkContext.getCheckpointDir() is None:
+        rows.sparkSession.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+    placed, domains = _placed(rows, row_id, state, domain, index, seed)
+    placed = placed.checkpoint()
+    seeds = lambda k: F.xxhash64(F.lit(seed), F.lit(k), row_id, state)
+    # draws are numbers below 2^_p, the least power of two that holds the _m other places; those of _m and more are passed over
+    asks = placed.join(domains.where("_m > 0"), F.col(domain).eqNullSafe(F.col("_d"))).withColumn("_p", F.length(F.bin(F.col("_m") - 1)) - F.when(F.col("_m") == 1, 1).otherwise(0))
+    asks = asks.withColumn("_mask", F.expr("shiftleft(1L, _p) - 1")).withColumn("_odd", F.expr("least(_mask, shiftleft(1L, 62 - _p) - 1)"))
+    odd = lambda k: seeds(k).bitwiseAND(F.col("_odd")).bitwiseOR(F.lit(1))
+    need = cyclic(F.col(index), list(budgets)) * X.CHARS_PER_TOKEN - F.coalesce(F.length(state), F.lit(0))
+    asks = asks.select(
+        "_at", F.col(row_id).alias("_id"), "_n", "_first", "_m", "_p", "_mask", odd(1).alias("_a"), seeds(2).bitwiseAND(F.col("_mask")).alias("_c"), odd(3).alias("_e"),
+        need.cast("double").alias("_need"), F.lit(False).alias("_any"), F.lit(0).cast("long").alias("_k"), (F.greatest("_chars", F.lit(1)) / (F.col("_mask") + 1)).alias("_yield"),
+    )
+    others = placed.select(F.col("_at").alias("_place"), F.col(row_id).alias("_other"), F.length(state).alias("_size"))
+    pairs, turn = None, 0
+    while True:
+        count = (F.ceil(1.5 * F.greatest(F.col("_need"), F.lit(0.0)) / F.col("_yield")) + 4) * (1 << min(turn, 20))
+        asks = asks.withColumn("_to", F.least(F.col("_mask") + 1, F.col("_k") + count)).checkpoint()
+        if asks.isEmpty():
+            break
+        draws = asks.withColumn("_j", F.explode(F.sequence(F.col("_k"), F.col("_to") - 1))).withColumn("_v", (F.col("_a") * F.col("_j") + F.col("_c")).bitwiseAND(F.col("_mask")))
+        draws = draws.withColumn("_v", F.expr("_v ^ shiftrightunsigned(_v, cast((_p + 2) div 2 AS INT))")).withColumn("_v", (F.col("_e") * F.col("_v")).bitwiseAND(F.col("_mask"))).where("_v < _m")
+        draws = draws.withColumn("_place", F.col("_v") + F.when(F.col("_v") >= F.col("_first"), F.col("_n")).otherwise(0))
+        usable = draws.join(others, "_place").where(F.col("_size").isNotNull() & ~F.col("_other").eqNullSafe(F.col("_id")))
+        walk = Window.partitionBy("_at").orderBy("_j")
+        had = F.sum("_size").over(walk.rowsBetween(Window.unboundedPreceding, -1))
+        # the first other state always joins, as in a loop that adds before it looks
+        taken = usable.withColumn("_had", had).where(F.when(F.col("_had").isNull(), ~F.col("_any") | (F.col("_need") > 0)).otherwise(F.col("_had") < F.col("_need")))
+        taken = taken.select("_at", "_j", "_place", "_size").checkpoint()
+        pairs = taken if pairs is None else pairs.union(taken)
+        got = taken.groupBy("_at").agg(F.sum("_size").alias("_got"))
+        asks = asks.join(got, "_at", "left").withColumn("_any", F.col("_any") | F.col("_got").isNotNull()).withColumn("_need", F.col("_need") - F.coalesce("_got", F.lit(0)))
+        asks = asks.withColumn("_k", F.col("_to")).where((~F.col("_any") | (F.col("_need") > 0)) & (F.col("_k") <= F.col("_mask"))).drop("_got", "_to")
+        turn += 1
+    out = placed.withColumn("budget", cyclic(F.col(index), list(budgets)))
+    none = F.array().cast("array<string>")
+    if pairs is None:
+        return out.withColumn("others", none).drop("_at")
+    texts = pairs.join(placed.select(F.col("_at").alias("_place"), F.col(state).alias("_state")), "_place")
+    texts = texts.groupBy("_at").agg(F.array_sort(F.collect_list(F.struct("_j", "_state"))).alias("_all"))
+    filled = texts.select("_at", F.transform("_all", lambda s: s["_state"]).alias("others"))
+    return out.join(filled, "_at", "left").withColumn("others", F.coalesce("others", none)).drop("_at")
 
 
 def injected(state: Column, text: Column, place: Column) -> Column:

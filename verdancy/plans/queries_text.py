@@ -240,7 +240,7 @@ def scrub_counts(spark, sf):
 @query("padding_rows")
 def padding_rows(spark, sf):
     rows = FX.numbered(docs(spark, sf).select("doc_id", "lang", "text"), "lang", ["doc_id"])
-    out = FX.padded(rows, "doc_id", "text", "lang", "index", 200, 7)
+    out = FX.padded(rows, "doc_id", "text", "lang", "index", 7)
     return out.select("doc_id", "budget", F.size("others").alias("n_others"), F.length(F.array_join("others", "")).alias("n_chars"))
 
 
