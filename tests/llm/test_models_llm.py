@@ -1,5 +1,6 @@
 """Language ID, personal data, quality models, quality rules and top-k search."""
 
+import base64
 import random
 import re
 
@@ -124,6 +125,25 @@ def test_quality_rules_edges(spark):
     assert got[6].base_failed is False
 
 
+def test_encoded_text_of_every_band_is_rejected_and_prose_kept(spark):
+    rng = random.Random(20)
+    common = [*EN.split(), "and", "of", "the", "it", "is", "as", "on", "by"]
+    some = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(3000)]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    prose, encoded = {}, {}
+    for k, n in enumerate([256, 319, 383, 511, 767, 1023, 2047, 4095, 4096, 8192, 16383, 20_000, 140_000]):
+        raw = base64.b64encode(rng.randbytes(n)).decode()
+        for j in range(10 if n < 20_000 else 1):
+            words = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(n // 4))
+            encoded |= {1000 * k + 3 * j: raw[j:][:n], 1000 * k + 3 * j + 1: "\n".join(raw[i : i + 76] for i in range(j, len(raw), 76))[:n], 1000 * k + 3 * j + 2: words[:n]}
+            if n > 400:
+                prose[1000 * k + 500 + j] = " ".join(rng.choice(common) if rng.random() < 0.5 else rng.choice(some) for _ in range(n))[:n]
+    df = spark.createDataFrame([*encoded.items(), *prose.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(df).collect()}
+    assert {got[i].reason for i in encoded} == {"incompressible"} and not any(got[i].kept for i in encoded)
+    assert [(i, got[i].ratio) for i in prose if not got[i].kept] == []
+
+
 def test_quality_rules_counts_are_brute_force():
     rng = random.Random(9)
     docs = ["".join(rng.choice(["a", "b ", "\n", " ", "c d", "#", "é", "\x0b", " "]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
