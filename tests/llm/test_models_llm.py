@@ -144,6 +144,21 @@ def test_encoded_text_of_every_band_is_rejected_and_prose_kept(spark):
     assert [(i, got[i].ratio) for i in prose if not got[i].kept] == []
 
 
+def test_chunk_rule_judges_every_byte(spark):
+    rng = random.Random(21)
+    words = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    prose = lambda n: (" ".join(rng.choice(words) for _ in range(n)))[:n]
+    again = ("the same sentence comes once more and then again. " * 200)[:3700]
+    head = prose(4300)
+    rows = [(1, head + again), (2, again + head), (3, prose(4096 + 255)), (4, prose(3000)), (5, prose(255)), (6, prose(2 * 4096 + 300)), (7, prose(4096) + again[:256])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_rules.quality_rules(docs).collect()}
+    assert got[1].ratio < 4.5 and got[1].reason == got[2].reason == "chunks" and not got[1].kept
+    assert got[1].bad_chunk_share == pytest.approx((8000 - 4096) / 8000)
+    assert [got[k].bad_chunk_share for k in (3, 4, 5, 6)] == [0, 0, None, 0] and all(got[k].kept for k in (3, 4, 6))
+    assert got[7].bad_chunk_share == pytest.approx(256 / 4352)
+
+
 def test_quality_rules_counts_are_brute_force():
     rng = random.Random(9)
     docs = ["".join(rng.choice(["a", "b ", "\n", " ", "c d", "#", "é", "\x0b", " "]) for _ in range(rng.randint(0, 60))) for _ in range(300)]

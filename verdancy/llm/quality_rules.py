@@ -5,11 +5,12 @@ text.  Method: zstandard ratios (bytes before / bytes after) of the whole text
 and of its fixed chunks must lie in a band that depends on the length; text
 below the band is close to random (encoded or enciphered data), text above it
 repeats itself.  A text passes the chunk rule while at most ``CHUNK_SHARE`` of
-its chunk bytes are out of the band.
+its bytes are in chunks out of the band.  The last chunk is what is left, judged
+by the band of its length.
 
 Edge cases.  Null counts as the empty text: zero counts, base_failed and not
-kept.  Texts shorter than the first band have no compression verdict; neither
-have trailing chunks shorter than ``CHUNK``.  Rows are independent, so repeated
+kept.  Texts shorter than the first band have no compression verdict; a tail
+as short as that is judged with the chunk before it.  Rows are independent, so repeated
 rows get equal results, and a null doc_id stays null.
 """
 
@@ -43,6 +44,8 @@ BANDS = (
 CHUNK = 4096
 CHUNK_BAND = (1.45, 4.0)
 CHUNK_SHARE = 0.3
+#: Bytes from which there is a compression verdict.
+SHORTEST = BANDS[1][0]
 LEVEL = 3
 #: Base rules.
 LEAST_WORDS = 50
@@ -118,18 +121,27 @@ def base_counts(w: T.Words) -> dict[str, np.ndarray]:
     }
 
 
+def _band(size: int) -> tuple[int, float, float]:
+    return next(b for b in reversed(BANDS) if size >= b[0])
+
+
 def compression(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float | None, float | None, str | None]:
     """(ratio of the whole, share of chunk bytes out of the band, reason to reject)."""
     if not data:
         return None, None, None
     ratio = len(data) / len(compressor.compress(data))
-    _, least, most = next(b for b in reversed(BANDS) if len(data) >= b[0])
+    _, least, most = _band(len(data))
     reason = "incompressible" if ratio < least else "repetitive" if ratio > most else None
-    chunks = len(data) // CHUNK
     share = None
-    if chunks:
-        bad = sum(not CHUNK_BAND[0] <= CHUNK / len(compressor.compress(data[k * CHUNK : (k + 1) * CHUNK])) <= CHUNK_BAND[1] for k in range(chunks))
-        share = bad / chunks
+    if len(data) >= SHORTEST:
+        # a tail without a band of its own belongs to the chunk before it
+        starts = range(0, len(data) - SHORTEST + 1, CHUNK)
+        bad = 0
+        for x, y in zip(starts, [*starts[1:], len(data)]):
+            _, low, high = _band(y - x)
+            low, high = CHUNK_BAND if y - x >= CHUNK else (low, high)
+            bad += (y - x) * (not low <= (y - x) / len(compressor.compress(data[x:y])) <= high)
+        share = bad / len(data)
         if reason is None and share > CHUNK_SHARE:
             reason = "chunks"
     return ratio, share, reason
