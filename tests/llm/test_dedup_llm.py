@@ -62,6 +62,14 @@ def test_jaccard_join_is_brute_force(spark, monkeypatch, leaf):
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == want
 
 
+def test_row_without_id_links_its_neighbours(spark):
+    w = [f"w{k}" for k in range(400)]
+    rows = [(2, w[:100]), (None, w[8:108]), (1, w[16:116]), (None, w[200:300]), (None, w[204:304]), (None, w[200:300])]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = Counter((r.doc_id, r.class_id, r.copy_of, r.n_links) for r in J.jaccard_join(df).collect())
+    assert got == Counter([(2, 1, 2, 1), (None, 1, None, 2), (1, 1, 1, 1), (None, None, None, 2), (None, None, None, 2), (None, None, None, 2)])
+
+
 def test_substring_dedup_is_brute_force(spark):
     rows = corpus(2)
     df = spark.createDataFrame(rows, SCHEMA)

@@ -19,8 +19,9 @@ once.  In a bucket, token agreement drops pairs that are plainly apart (over
 five standard deviations); the rest is decided on the exact 5-gram sets.
 
 Edge cases.  Null or empty texts have no 5-gram and no links; a text of one to
-four words is one gram.  Rows that repeat a doc_id count as documents.  A null
-doc_id gives a null class unless a copy has an id.
+four words is one gram.  Rows that repeat a doc_id count as documents.  A row
+with a null doc_id has links as any other; its class is null unless a row of its
+group has an id.
 """
 
 from __future__ import annotations
@@ -230,8 +231,8 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     sigs = saved(docs.mapInArrow(_signatures, "doc_id long, th long, k binary, n int, sig array<int>"), "signatures")
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("r")
-    classes = sigs.where("n > 0").groupBy("k").agg(least, F.count("*").alias("copies"), F.min("sig").alias("sig"))
-    classes = saved(classes.select("k", F.col("r.doc_id").alias("rep"), F.col("r.th").alias("th"), "copies", "sig"), "classes")
+    classes = sigs.where("n > 0").groupBy("k").agg(least, F.min("th").alias("th"), F.count("*").alias("copies"), F.min("sig").alias("sig"))
+    classes = saved(classes.select("k", F.col("r.doc_id").alias("rep"), F.coalesce("r.th", "th").alias("th"), "copies", "sig"), "classes")
     leaves, alive = _buckets(classes, _runs(threshold, recall))
 
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF)).cast("int")
@@ -243,10 +244,11 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
     kind = "path long, i int, j int, block int, k binary, copies long, paths array<long>"
     dealt = lambda df: df.repartition(parts, "path", "i", "j").sortWithinPartitions("path", "i", "j")
     near = saved(dealt(rows).mapInArrow(_plausible(threshold - 5 * deviation), kind), "plausible")
-    # the text of each class, from the row of its representative (ids can repeat, so its hash must agree too)
+    # the text of each class, from the row of its representative (ids can repeat, so its hash must agree too), or from a row
+    # without an id where no row of the class has one
     wanted = near.select("k").distinct().join(classes.select("k", "rep", "th"), "k")
-    keyed = wanted.select("k", F.col("rep").alias("doc_id"), "th").where("doc_id is not null")
-    texts = docs.join(keyed, ["doc_id", "th"]).groupBy("k").agg(F.first("text").alias("text"))
+    keyed = wanted.select("k", "rep", F.col("th").alias("rep_th"))
+    texts = docs.join(keyed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("th") == F.col("rep_th"))).groupBy("k").agg(F.first("text").alias("text"))
     links = saved(dealt(near.join(texts, "k")).mapInArrow(_links(threshold), "u binary, v binary, links long"), "links")
 
     degree = links.groupBy(F.col("u").alias("k")).agg(F.sum("links").alias("links"))
