@@ -148,8 +148,8 @@ WITH m AS (SELECT conv_id, turn, CASE WHEN role = lag(role) OVER w THEN 0 ELSE 1
 i AS (SELECT conv_id, turn, sum(new) OVER (PARTITION BY conv_id % 10 ORDER BY conv_id, turn ROWS UNBOUNDED PRECEDING) AS island FROM m)
 SELECT conv_id, turn, island::BIGINT AS island, ((row_number() OVER (PARTITION BY conv_id % 10, island ORDER BY conv_id, turn) - 1) // 6)::BIGINT AS chunk FROM i""")
 def gaps_islands_chunks(spark, sf):
-    c = table(spark, sf, "conversations").dropDuplicates(["conv_id", "turn"]).withColumn("run", F.col("conv_id") % 10)
-    return P.islands(c, "run", ["conv_id", "turn"], F.col("role")).select("conv_id", "turn", "island", "chunk")
+    c = table(spark, sf, "conversations").withColumn("run", F.col("conv_id") % 10)
+    return P.islands(c, "run", ["conv_id", "turn", "role", "text"], F.col("role")).select("conv_id", "turn", "island", "chunk")
 
 
 @query("running_budget", """
