@@ -32,9 +32,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest doc_id of each group of near duplicates; documents without an id stay."""
-    kept = jaccard_join.jaccard_join(docs).where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The document of smallest doc_id of each group of near duplicates; documents without an id stay.
+
+    Unrelated texts of one doc_id are groups of their own and each stays; of a
+    group's texts with its smallest doc_id, that of the smallest hash stays.
+    """
+    found = jaccard_join.grouped_rows(docs).where("doc_id = class_id")
+    kept = found.groupBy("doc_id", "label").agg(F.min("th").alias("_th")).select("doc_id", "_th")
+    named = docs.where("doc_id is not null").withColumn("_th", F.xxhash64("text"))
+    named = named.join(kept, ["doc_id", "_th"], "left_semi").dropDuplicates(["doc_id", "_th"]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.unionByName(docs.where("doc_id is null"))
 
 

@@ -226,6 +226,11 @@ def _buckets(classes: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
 
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
     """(doc_id, class_id, copy_of, n_links) for every row of docs."""
+    return grouped_rows(docs, threshold, recall).select("doc_id", "class_id", "copy_of", "n_links")
+
+
+def grouped_rows(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
+    """jaccard_join's rows with th, the text's hash, and label, the key of the group: ids can repeat, in one group or in several."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
@@ -255,9 +260,9 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
     label = components(links).select(F.col("node").alias("k"), "label")
     full = classes.select("k", "rep", "copies").join(degree, "k", "left").join(label, "k", "left").withColumn("label", F.coalesce("label", "k"))
     full = full.join(full.groupBy("label").agg(F.min("rep").alias("class_id")), "label")
-    full = full.select("k", "class_id", F.col("rep").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    alone = sigs.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
-    return sigs.where("n > 0").select("doc_id", "k").join(full, "k").select("doc_id", "class_id", "copy_of", "n_links").union(alone)
+    full = full.select("k", "label", "class_id", F.col("rep").alias("copy_of"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    alone = sigs.where("n = 0").select("doc_id", "th", F.col("th").cast("string").cast("binary").alias("label"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))
+    return sigs.where("n > 0").select("doc_id", "th", "k").join(full, "k").select("doc_id", "th", "label", "class_id", "copy_of", "n_links").union(alone)
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
