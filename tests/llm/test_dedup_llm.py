@@ -42,9 +42,11 @@ def test_cover_has_every_difference():
     assert {(a - b) % COVER_PERIOD for a in COVER for b in COVER} == set(range(COVER_PERIOD))
 
 
-@pytest.mark.parametrize("leaf", [1024, 4])
-def test_jaccard_join_is_brute_force(spark, monkeypatch, leaf):
-    monkeypatch.setattr(J, "LEAF", leaf)  # 4: recursion and blocks
+@pytest.mark.parametrize("leaf, block, broadcast", [(1024, 2048, 1 << 20), (4, 2048, 0), (4, 3, 0)])
+def test_jaccard_join_is_brute_force(spark, monkeypatch, leaf, block, broadcast):
+    monkeypatch.setattr(J, "LEAF", leaf)  # 4: recursion
+    monkeypatch.setattr(J, "BLOCK", block)  # 3: units of two blocks
+    monkeypatch.setattr(J, "BROADCAST_ROWS", broadcast)  # 0: texts by a shuffle
     rows = corpus()
     got = J.jaccard_join(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == len(rows)

@@ -16,9 +16,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode one of our own where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="verdancy-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -42,6 +44,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+class Scratch:
+    """Tables of one computation, removed at its end; what outlives it is written by saved() itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """df less the columns that a result is about to add: on a name clash the result's column wins."""
     gone = {n.lower() for n in names}

@@ -8,15 +8,23 @@ links, ``n_links`` the number of other documents at a Jaccard similarity of
 Method.  Documents with one set are collapsed to one row first.  Each set is
 embedded by ``TOKENS`` minhash tokens.  In each of several runs a tree is grown:
 a node samples two token places, and sets that agree there go to one child.  A
-child of up to ``LEAF`` sets is a leaf and is compared by brute force; larger
-ones are split again, ``DEPTH`` times at most, and what is still larger then is
-compared block by block, so no bucket is cut short.  With two places a node a
-pair at the threshold survives a run with probability q (see ``_runs``), and
-runs are added until 1 - (1 - q)**runs reaches ``recall``.
+child of up to ``LEAF`` sets is a leaf and is compared by brute force.  A larger
+one is split again, on fresh places, for as long as that lowers the number of
+pairs to compare: in a bucket of loosely related sets every split does, while in
+one whose sets agree on more than half of their tokens two children hold more
+pairs than their parent, and it is compared as it stands.  So the rows of a tree
+stay in proportion to its sets.  With two places a node a pair at the threshold
+survives a run with probability q (see ``_runs``), and runs are added until
+1 - (1 - q)**runs reaches ``recall``.
+
+A bucket of up to ``BLOCK`` sets and ``BLOCK_GRAMS`` grams is one unit of work;
+only one beyond that is dealt to blocks, each pair of which is a unit, so that a
+task holds two blocks whatever the bucket's size.
 
 A pair is judged only in the first bucket that it shares, so links are counted
 once.  In a bucket, token agreement drops pairs that are plainly apart (over
-five standard deviations); the rest is decided on the exact 5-gram sets.
+five standard deviations); the rest is decided on the exact 5-gram sets, for
+which only the texts of sets in such a pair are fetched.
 
 Edge cases.  Null or empty texts have no 5-gram and no links; a text of one to
 four words is one gram.  Rows that repeat a doc_id count as documents.  A row
@@ -35,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcore as T
-from .common import saved, shuffle_partitions
+from .common import Scratch, saved, shuffle_partitions
 from .components import components
 from .grouped import groups
 
@@ -43,7 +51,11 @@ GRAM = 5
 TOKENS = 64
 PLACES = 2
 LEAF = 1024
-DEPTH = 4
+DEPTH = 32  # an end for trees of equal tokens; the rule of pairs ends others long before
+BLOCK = 2048
+BLOCK_GRAMS = 1 << 21
+#: Rows of ids and hashes, 16 bytes each, up to which the wanted texts are found by a broadcast semi-join, else by a shuffle.
+BROADCAST_ROWS = 1 << 20
 RECALL = 0.99999
 CHUNK_BYTES = (1 << 20) - 1
 
@@ -113,62 +125,87 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _paths(bucket_paths: pa.Array, path: int) -> np.ndarray:
-    """The 0/1 matrix sets x earlier buckets."""
-    lists = bucket_paths.flatten().to_numpy(zero_copy_only=False)
-    of = np.repeat(np.arange(len(bucket_paths)), bucket_paths.value_lengths().to_numpy(zero_copy_only=False))
-    early = lists < path
-    known, index = np.unique(lists[early], return_inverse=True)
-    out = np.zeros((len(bucket_paths), len(known)), dtype=np.float32)
-    out[of[early], index] = 1
-    return out
+def _sides(group: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the unit's two blocks; of a unit within one block, all rows twice."""
+    rows = np.arange(group.num_rows)
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    if i == j:
+        return rows, rows
+    block = group.column("block").to_numpy(zero_copy_only=False)
+    return rows[block == i], rows[block == j]
 
 
-def _open_pairs(group: pa.RecordBatch) -> np.ndarray:
-    """Pairs that this unit has to judge: of the right blocks, and not met in an earlier bucket."""
+def _met(group: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs share an earlier bucket, by products of bounded 0/1 matrices."""
+    paths = group.column("paths")
     n = group.num_rows
-    early = _paths(group.column("paths"), group.column("path")[0].as_py())
-    todo = (early @ early.T) == 0 if early.shape[1] else np.ones((n, n), dtype=bool)
-    np.fill_diagonal(todo, False)
-    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-    if i != j:
-        block = group.column("block").to_numpy(zero_copy_only=False)
-        todo &= block[:, None] != block[None, :]
+    lists = paths.flatten().to_numpy(zero_copy_only=False)
+    of = np.repeat(np.arange(n), paths.value_lengths().to_numpy(zero_copy_only=False))
+    early = lists < group.column("path")[0].as_py()
+    lists, of = lists[early], of[early]
+    met = np.zeros((len(left), len(right)), dtype=bool)
+    _, index, count = np.unique(lists, return_inverse=True, return_counts=True)
+    often = count[index] > 1
+    of, index = of[often], np.unique(index[often], return_inverse=True)[1]
+    order = np.argsort(index, kind="stable")
+    of, index = of[order], index[order]
+    for low in range(0, int(index[-1]) + 1 if len(index) else 0, 512):
+        a, b = np.searchsorted(index, [low, low + 512])
+        m = np.zeros((n, min(512, int(index[-1]) + 1 - low)), dtype=np.float32)
+        m[of[a:b], index[a:b] - low] = 1
+        met |= (m[left] @ m[right].T) > 0
+    return met
+
+
+def _open_pairs(group: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Pairs that this unit has to judge: of two sets, and not met in an earlier bucket."""
+    todo = ~_met(group, left, right)
+    if left is right:
+        np.fill_diagonal(todo, False)
     return todo
 
 
 def _plausible(slack: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["path", "i", "j"]):
-            n = group.num_rows
-            if n < 2:
+            left, right = _sides(group)
+            if group.num_rows < 2 or not len(left) or not len(right):
                 continue
-            sig = group.column("sig").flatten().to_numpy(zero_copy_only=False).reshape(n, TOKENS)
-            agree = np.zeros((n, n), dtype=np.int16)
+            sig = group.column("sig").flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, TOKENS)
+            agree = np.zeros((len(left), len(right)), dtype=np.int8)
             for k in range(TOKENS):
-                agree += sig[:, k][:, None] == sig[:, k][None, :]
-            keep = ((agree >= slack * TOKENS) & _open_pairs(group)).any(axis=1)
+                agree += sig[left, k][:, None] == sig[right, k][None, :]
+            near = agree >= math.ceil(slack * TOKENS)
+            if left is right:
+                np.fill_diagonal(near, False)
+            if not near.any():
+                continue
+            near &= _open_pairs(group, left, right)
+            keep = np.zeros(group.num_rows, dtype=bool)
+            keep[left[near.any(axis=1)]] = True
+            keep[right[near.any(axis=0)]] = True
             if keep.any():
                 yield group.filter(pa.array(keep)).select(["path", "i", "j", "block", "k", "copies", "paths"])
 
     return run
 
 
-def _overlaps(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    """Sizes of the pairwise intersections, by products of bounded 0/1 matrices."""
-    known, index, count = np.unique(h, return_inverse=True, return_counts=True)
+def _overlaps(doc: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of left's and right's sets, by products of bounded 0/1 matrices."""
+    n = int(max(left[-1], right[-1])) + 1
+    _, index, count = np.unique(h, return_inverse=True, return_counts=True)
     often = count[index] > 1
     doc, index = doc[often], index[often]
     order = np.argsort(index, kind="stable")
     doc, index = doc[order], index[order]
     index = np.cumsum(np.r_[False, index[1:] != index[:-1]]) if len(index) else index
-    total = np.zeros((n, n), dtype=np.float64)
+    total = np.zeros((len(left), len(right)), dtype=np.float64)
     step = max(256, (1 << 22) // max(n, 1))
     for low in range(0, int(index[-1]) + 1 if len(index) else 0, step):
         a, b = np.searchsorted(index, [low, low + step])
-        m = np.zeros((n, step), dtype=np.float32)
+        m = np.zeros((n, min(step, int(index[-1]) + 1 - low)), dtype=np.float32)
         m[doc[a:b], index[a:b] - low] = 1
-        total += m @ m.T
+        total += m @ m.T if left is right else m[left] @ m[right].T
     return total
 
 
@@ -176,52 +213,71 @@ def _links(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["path", "i", "j"]):
             n = group.num_rows
-            if n < 2:
+            left, right = _sides(group)
+            if n < 2 or not len(left) or not len(right):
                 continue
             doc, h = _sets(*grams(T.words(T.strings(group.column("text")))), n)
             size = np.bincount(doc, minlength=n).astype(np.float64)
-            common = _overlaps(doc, h, n)
-            linked = (common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9) & _open_pairs(group)
-            some = linked.any(axis=1)
-            if not some.any():
+            common = _overlaps(doc, h, left, right)
+            linked = common >= threshold * (size[left][:, None] + size[right][None, :] - common) - 1e-9
+            linked &= _open_pairs(group, left, right)
+            if not linked.any():
                 continue
             copies = group.column("copies").to_numpy(zero_copy_only=False)
-            degree = linked @ copies
+            degree = np.zeros(n, dtype=np.int64)
+            degree[left] += linked @ copies[right]
+            if left is not right:
+                degree[right] += copies[left] @ linked
             label = np.arange(n)
             while True:
-                least = np.minimum(label, np.where(linked, label[None, :], n).min(axis=1))
+                least = label.copy()
+                least[left] = np.minimum(least[left], np.where(linked, label[right][None, :], n).min(axis=1))
+                least[right] = np.minimum(least[right], np.where(linked, label[left][:, None], n).min(axis=0))
                 least = least[least]
                 if (least == label).all():
                     break
                 label = least
             k = group.column("k").to_pylist()
-            at = np.flatnonzero(some)
+            at = np.flatnonzero(degree)
             yield pa.RecordBatch.from_arrays([pa.array([k[x] for x in at], pa.binary()), pa.array([k[label[x]] for x in at], pa.binary()), pa.array(degree[at], pa.int64())], names=["u", "v", "links"])
 
     return run
 
 
-def _buckets(classes: DataFrame, runs: int) -> tuple[DataFrame, DataFrame]:
-    """Leaves (k, path, n) of all runs, and the classes that are in one."""
-    at = lambda seed: F.pmod(F.xxhash64(*seed), F.lit(TOKENS)).cast("int")
-    child = lambda path, slot: F.xxhash64(path, F.lit(slot), F.get("sig", at([path, F.lit(slot)])))
+def _buckets(classes: DataFrame, runs: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Leaves (k, path, n, grams) of all runs, and the classes that are in one."""
+
+    def children(path) -> list:
+        """The buckets of a set below a node: of two places, each with the set's token there."""
+        place = F.pmod(F.xxhash64(path), F.lit(TOKENS))
+        other = F.pmod(place + 1 + F.pmod(F.xxhash64(path, F.lit(1)), F.lit(TOKENS - 1)), F.lit(TOKENS))
+        return [F.xxhash64(path, p, F.get("sig", p.cast("int"))) for p in (place, other)]
 
     def met(rows: DataFrame) -> DataFrame:
-        # of the sets that sample one place twice, one row
-        rows = rows.dropDuplicates(["k", "path"])
-        return saved(rows.join(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path"), "bucket")
+        """Rows whose bucket holds two sets or more, with its size."""
+        sizes = rows.groupBy("path").agg(F.count("*").alias("n"), F.sum("size").alias("grams")).where("n > 1")
+        return scratch.saved(rows.join(sizes, "path"), "bucket")
 
-    roots = [child(F.lit(run).cast("long"), slot) for run in range(runs) for slot in range(PLACES)]
-    level = met(classes.select("k", F.explode(F.array(*roots)).alias("path")))
-    alive = saved(classes.join(level.select("k").distinct(), "k", "left_semi"), "alive")
+    roots = [bucket for run in range(runs) for bucket in children(F.lit(run).cast("long"))]
+    level = met(classes.select("k", "size", F.explode(F.array(*roots)).alias("path")))
+    alive = scratch.saved(classes.join(level.select("k").distinct(), "k", "left_semi"), "alive")
     leaves = level.where(F.col("n") <= LEAF)
-    for depth in range(1, DEPTH):
+    for _ in range(DEPTH):
         grow = level.where(F.col("n") > LEAF)
         if grow.isEmpty():
             break
-        level = met(grow.join(alive, "k").select("k", F.explode(F.array(*[child(F.col("path"), slot) for slot in range(PLACES)])).alias("path")))
-        leaves = leaves.union(level.where(F.col("n") <= LEAF) if depth < DEPTH - 1 else level)
-    return leaves, alive
+        below = grow.join(alive.select("k", "sig"), "k").select("k", "size", F.col("path").alias("parent"), "n", "grams", F.explode(F.array(*children(F.col("path")))).alias("path"))
+        below = scratch.saved(below, "below")
+        counts = below.groupBy("parent", "path").agg(F.first("n").alias("whole"), F.count("*").cast("double").alias("part"))
+        pays = counts.groupBy("parent").agg((F.sum(F.col("part") * (F.col("part") - 1)) < F.first("whole").cast("double") * (F.first("whole") - 1)).alias("pays"))
+        below = below.join(pays, "parent")
+        stay = below.where("not pays").select("k", "size", F.col("parent").alias("path"), "n", "grams").distinct()
+        leaves = leaves.unionByName(stay.select(*leaves.columns))
+        level = met(below.where("pays").select("k", "size", "path"))
+        leaves = leaves.unionByName(level.where(F.col("n") <= LEAF).select(*leaves.columns))
+    else:
+        leaves = leaves.unionByName(level.where(F.col("n") > LEAF).select(*leaves.columns))
+    return leaves.select("k", "path", "n", "grams"), alive
 
 
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
@@ -231,30 +287,42 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL
 
 def grouped_rows(docs: DataFrame, threshold: float = 0.8, recall: float = RECALL) -> DataFrame:
     """jaccard_join's rows with th, the text's hash, and label, the key of the group: ids can repeat, in one group or in several."""
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    sigs = saved(docs.mapInArrow(_signatures, "doc_id long, th long, k binary, n int, sig array<int>"), "signatures")
+    with Scratch(docs.sparkSession) as scratch:
+        return saved(_grouped(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), threshold, recall, scratch), "groups")
+
+
+def _texts(docs: DataFrame, near: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(k, text) of the classes in near: from the row of the class's representative (ids can repeat, so the text's hash must
+    agree too), or from a row without an id where no row of the class has one."""
+    wanted = near.select("k").distinct().join(classes.select("k", "rep", F.col("th").alias("rep_th")), "k")
+    wanted = scratch.saved(wanted, "wanted")
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("th") == F.col("rep_th"))
+    keys = wanted.select("rep", "rep_th").distinct()
+    if wanted.count() <= BROADCAST_ROWS:
+        docs = docs.join(F.broadcast(keys), same, "left_semi")
+    return docs.join(wanted, same).groupBy("k").agg(F.first("text").alias("text"))
+
+
+def _grouped(docs: DataFrame, threshold: float, recall: float, scratch: Scratch) -> DataFrame:
+    parts = shuffle_partitions(docs.sparkSession)
+    sigs = scratch.saved(docs.mapInArrow(_signatures, "doc_id long, th long, k binary, n int, sig array<int>"), "signatures")
     least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("r")
-    classes = sigs.where("n > 0").groupBy("k").agg(least, F.min("th").alias("th"), F.count("*").alias("copies"), F.min("sig").alias("sig"))
-    classes = saved(classes.select("k", F.col("r.doc_id").alias("rep"), F.coalesce("r.th", "th").alias("th"), "copies", "sig"), "classes")
-    leaves, alive = _buckets(classes, _runs(threshold, recall))
+    classes = sigs.where("n > 0").groupBy("k").agg(least, F.min("th").alias("th"), F.count("*").alias("copies"), F.min("sig").alias("sig"), F.min("n").cast("long").alias("size"))
+    classes = scratch.saved(classes.select("k", F.col("r.doc_id").alias("rep"), F.coalesce("r.th", "th").alias("th"), "copies", "sig", "size"), "classes")
+    leaves, alive = _buckets(classes, _runs(threshold, recall), scratch)
+    leaves = scratch.saved(leaves, "leaves")
 
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / LEAF)).cast("int")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
     units = leaves.withColumn("block", F.pmod(F.xxhash64("k"), blocks).cast("int")).select("k", "path", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     units = units.select("k", "path", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     paths = leaves.groupBy("k").agg(F.collect_set("path").alias("paths"))
-    rows = units.join(alive.drop("rep", "th").join(paths, "k"), "k")
+    rows = units.join(alive.select("k", "copies", "sig").join(paths, "k"), "k")
     deviation = math.sqrt(threshold * (1 - threshold) / TOKENS)
     kind = "path long, i int, j int, block int, k binary, copies long, paths array<long>"
     dealt = lambda df: df.repartition(parts, "path", "i", "j").sortWithinPartitions("path", "i", "j")
-    near = saved(dealt(rows).mapInArrow(_plausible(threshold - 5 * deviation), kind), "plausible")
-    # the text of each class, from the row of its representative (ids can repeat, so its hash must agree too), or from a row
-    # without an id where no row of the class has one
-    wanted = near.select("k").distinct().join(classes.select("k", "rep", "th"), "k")
-    keyed = wanted.select("k", "rep", F.col("th").alias("rep_th"))
-    texts = docs.join(keyed, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("th") == F.col("rep_th"))).groupBy("k").agg(F.first("text").alias("text"))
-    links = saved(dealt(near.join(texts, "k")).mapInArrow(_links(threshold), "u binary, v binary, links long"), "links")
+    near = scratch.saved(dealt(rows).mapInArrow(_plausible(threshold - 5 * deviation), kind), "plausible")
+    texts = _texts(docs, near, classes, scratch)
+    links = scratch.saved(dealt(near.join(texts, "k")).mapInArrow(_links(threshold), "u binary, v binary, links long"), "links")
 
     degree = links.groupBy(F.col("u").alias("k")).agg(F.sum("links").alias("links"))
     label = components(links).select(F.col("node").alias("k"), "label")
