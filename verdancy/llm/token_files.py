@@ -2,22 +2,26 @@
 
 Format.  Ids go to disk in ascending doc_id order.  A *shard* is one range of
 doc_ids and one task's work; it holds *chunks* of whole documents, about
-``CHUNK_IDS`` ids each.  Within a chunk the ids are padded with zeros to blocks
-of ``BLOCK`` ids and every block is transposed into bit planes (plane p holds
-bit p of each id, most significant bit of a byte first); equal planes of the
-blocks lie side by side and are compressed as one zstandard frame.  Only the
-planes that the largest id of the chunk needs are stored.  ``planes="byte"``
-stores byte planes by the same rule.
+``CHUNK_IDS`` ids each.  A chunk's ids are cut into *blocks* of ``BLOCK`` ids
+(the last one holds what is left, padded with zeros to whole bytes).  Each block
+is transposed by itself into bit planes (plane p holds bit p of each id, most
+significant bit of a byte first), and each plane of a block is one zstandard
+frame; a block has as many planes as its largest id needs.  ``planes="byte"``
+stores byte planes by the same rule.  The frames of a chunk lie one after the
+other in ``data``, and the index holds the number of planes of each block and
+the bytes of each frame, so any block can be read alone (:func:`read_block`).
 
 The container is Parquet, so that Spark's commit protocol keeps exactly one
 copy of each task's output, wherever the store is.  The chunk index is made of
-the columns beside the planes (shard, chunk, first and last doc_id, counts,
-offset of the chunk in its shard, plane sizes) and can be read alone.
+the columns beside the data (shard, chunk, first and last doc_id, counts, offset
+of the chunk in its shard, planes and frame sizes) and can be read alone.
 
 Edge cases.  Null text counts as empty: its only id is the end id.  Null doc_ids
-come first.  Rows that repeat a doc_id are ordered by text.  An empty table
-gives files without chunks and no rows.  A document of any length stays whole in
-its chunk.
+come first.  Rows that repeat a doc_id (or have none) are ordered by text, and
+shards are cut between them by the first characters of the text, so that one id
+can fill many shards.  An empty table gives files without chunks and no rows.  A
+document of any length stays whole in its chunk.  Input columns other than
+doc_id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,42 +38,67 @@ from pyspark.sql import functions as F
 
 from . import textcore as T
 from .common import scratch_path, shuffle_partitions
-from .unit_encoder import encoder
+from .unit_encoder import encoded
 
 END_ID = 2
-BLOCK = 4096
+BLOCK = 1 << 15
 CHUNK_IDS = 1 << 18
 LEVEL = 1
 TEXT_BYTES = 1 << 20
-
-_INDEX = [("shard", pa.int32()), ("chunk", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("shard_start", pa.int64()), ("block", pa.int32()), ("planes", pa.string()), ("plane_bytes", pa.list_(pa.int32()))]
-_CHUNK = pa.schema([*_INDEX, ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("data", pa.list_(pa.binary()))])
-CHUNK_SCHEMA = "shard int, chunk int, first_doc long, last_doc long, n_docs int, n_ids long, shard_start long, block int, planes string, plane_bytes array<int>, doc_ids array<long>, lengths array<long>, data array<binary>"
+PREFIX = 32  # characters of the text by which rows of one doc_id are dealt to shards
+
+_INDEX = [
+    ("shard", pa.int32()), ("chunk", pa.int32()), ("first_doc", pa.int64()), ("last_doc", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("shard_start", pa.int64()),
+    ("block", pa.int32()), ("planes", pa.string()), ("block_planes", pa.list_(pa.int32())), ("plane_bytes", pa.list_(pa.int32())),
+]
+_CHUNK = pa.schema([*_INDEX, ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("data", pa.binary())])
+CHUNK_SCHEMA = (
+    "shard int, chunk int, first_doc long, last_doc long, n_docs int, n_ids long, shard_start long, block int, planes string, block_planes array<int>, plane_bytes array<int>, "
+    "doc_ids array<long>, lengths array<long>, data binary"
+)
 INDEX_COLUMNS = [name for name, _ in _INDEX]
 
 
-def shuffle_planes(ids: np.ndarray, planes: str = "bit") -> list[bytes]:
-    """The plane streams of ids, lowest plane first."""
-    padded = np.zeros(-(-len(ids) // BLOCK) * BLOCK, dtype=np.uint32)
-    padded[: len(ids)] = ids
-    top = int(padded.max()).bit_length() if len(padded) else 0
+def block_streams(ids: np.ndarray, planes: str = "bit") -> list[bytes]:
+    """The planes of one block of ids, lowest plane first."""
+    top = int(ids.max()).bit_length() if len(ids) else 0
     if planes == "bit":
-        return [np.packbits(((padded >> np.uint32(p)) & np.uint32(1)).astype(np.uint8)).tobytes() for p in range(top)]
-    return [((padded >> np.uint32(8 * p)) & np.uint32(255)).astype(np.uint8).tobytes() for p in range(-(-top // 8))]
+        return [np.packbits((ids >> np.uint32(p)) & np.uint32(1)).tobytes() for p in range(top)]
+    return [((ids >> np.uint32(8 * p)) & np.uint32(255)).astype(np.uint8).tobytes() for p in range(-(-top // 8))]
 
 
-def join_planes(streams: list[bytes], n: int, planes: str = "bit") -> np.ndarray:
-    """The inverse of shuffle_planes for n ids."""
+def join_streams(streams: list[bytes], n: int, planes: str = "bit") -> np.ndarray:
+    """The inverse of block_streams for n ids."""
     ids = np.zeros(n, dtype=np.uint32)
     for p, stream in enumerate(streams):
         part = np.frombuffer(stream, dtype=np.uint8)
-        if planes == "bit":
-            ids |= np.unpackbits(part, count=n).astype(np.uint32) << np.uint32(p)
-        else:
-            ids |= part[:n].astype(np.uint32) << np.uint32(8 * p)
+        ids |= np.unpackbits(part, count=n).astype(np.uint32) << np.uint32(p) if planes == "bit" else part.astype(np.uint32) << np.uint32(8 * p)
     return ids
 
 
+def write_blocks(ids: np.ndarray, planes: str, compressor: zstandard.ZstdCompressor) -> tuple[list[int], list[int], bytes]:
+    """(planes of each block, bytes of each frame, frames) of a chunk's ids."""
+    block_planes, frames = [], []
+    for a in range(0, len(ids), BLOCK):
+        streams = block_streams(ids[a : a + BLOCK], planes)
+        block_planes.append(len(streams))
+        frames += [compressor.compress(s) for s in streams]
+    return block_planes, [len(f) for f in frames], b"".join(frames)
+
+
+def read_block(chunk, k: int, data: bytes | None = None) -> np.ndarray:
+    """The ids of block k of a chunk row: only the frames of that block are looked at."""
+    first = sum(chunk["block_planes"][:k])
+    sizes = chunk["plane_bytes"][first : first + chunk["block_planes"][k]]
+    at = sum(chunk["plane_bytes"][:first])
+    data = chunk["data"] if data is None else data
+    unpack, streams = zstandard.ZstdDecompressor(), []
+    for size in sizes:
+        streams.append(unpack.decompress(data[at : at + size]))
+        at += size
+    return join_streams(streams, min(chunk["block"], chunk["n_ids"] - k * chunk["block"]), chunk["planes"])
+
+
 class _Writer:
     def __init__(self, shard: int, planes: str):
         self.shard, self.planes, self.chunk, self.start = shard, planes, 0, 0
@@ -97,10 +126,10 @@ class _Writer:
     def flush(self) -> pa.RecordBatch:
         ids, lengths = np.concatenate(self.ids), np.concatenate(self.lengths)
         docs = [d for x in self.docs for d in x]
-        data = [self.compressor.compress(p) for p in shuffle_planes(ids, self.planes)]
+        block_planes, plane_bytes, data = write_blocks(ids, self.planes, self.compressor)
         row = {
             "shard": self.shard, "chunk": self.chunk, "first_doc": docs[0], "last_doc": docs[-1], "n_docs": len(docs), "n_ids": len(ids), "shard_start": self.start,
-            "block": BLOCK, "planes": self.planes, "plane_bytes": [len(d) for d in data], "doc_ids": docs, "lengths": lengths.tolist(), "data": data,
+            "block": BLOCK, "planes": self.planes, "block_planes": block_planes, "plane_bytes": plane_bytes, "doc_ids": docs, "lengths": lengths.tolist(), "data": data,
         }
         self.chunk += 1
         self.start += len(ids)
@@ -111,11 +140,8 @@ class _Writer:
 def _encode(vocabulary: str, end_id: int | None, planes: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer(TaskContext.get().partitionId(), planes)
-        tokens = encoder(vocabulary)
         for batch in batches:
-            texts = T.strings(batch.column("text"))
-            for a, b in T.slices(texts, TEXT_BYTES):
-                ids, lengths = tokens.encode(texts.slice(a, b - a).to_pylist())
+            for a, b, ids, lengths in encoded(batch.column("text"), vocabulary, TEXT_BYTES):
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(lengths), end_id)
                     lengths = lengths + 1
@@ -128,7 +154,8 @@ def _encode(vocabulary: str, end_id: int | None, planes: str):
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None = END_ID, planes: str = "bit") -> None:
     """Encode docs(doc_id, text) and write the token files to path."""
-    dealt = docs.select("doc_id", "text").repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = docs.select("doc_id", "text", F.substring("text", 1, PREFIX).alias("prefix"))
+    dealt = keyed.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id", "prefix").sortWithinPartitions("doc_id", "text").drop("prefix")
     dealt.mapInArrow(_encode(vocabulary, end_id, planes), CHUNK_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
@@ -155,10 +182,9 @@ def _shard_start(starts: dict[int, int]):
 
 def _decode(starts: dict[int, int], with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for row in batch.to_pylist():
-                ids = join_planes([unpack.decompress(d) for d in row["data"]], row["n_ids"], row["planes"])
+                ids = np.concatenate([read_block(row, k) for k in range(len(row["block_planes"]))])
                 ends = np.cumsum(row["lengths"])
                 base = starts[row["shard"]] + row["shard_start"]
                 raw = memoryview(ids.astype("<u4")).cast("B")
