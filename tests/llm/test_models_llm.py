@@ -1,6 +1,7 @@
 """Language ID, personal data, quality models, quality rules and top-k search."""
 
 import base64
+import math
 import random
 import re
 
@@ -28,7 +29,7 @@ def test_language_spans_and_edges(spark):
     spans = got[1].spans
     assert got[1].lang_pred == "de" and [s.lang for s in spans] == ["en", "de"] and mixed[spans[1].start : spans[1].end].split()[0] in DE.split()
     assert [(got[k].lang_pred, got[k].score) for k in (2, 3, 5)] == [("und", 0.0)] * 3
-    assert got[None].lang_pred == "en" and 0 < got[6].score <= 1
+    assert got[None].lang_pred == "en" and (got[6].score, got[6].known_share) == (0, 0) and got[6].lang_pred == "de"
     none = language_id.train(tests.select("doc_id", "text", language_id.F.lit(None).cast("string").alias("lang")))
     assert {r.lang_pred for r in language_id.identify(tests, none).collect()} == {"und"}
 
@@ -48,6 +49,79 @@ def test_viterbi_is_brute_force():
         assert value(got) == pytest.approx(max(value(p) for p in itertools.product(range(3), repeat=n)), rel=1e-5)
 
 
+def test_long_documents_are_labelled_as_by_one_pass(monkeypatch):
+    rng = np.random.default_rng(13)
+    count = np.array([3, 40, 41, 1, 17, 64])
+    begin, doc = np.cumsum(count) - count, np.repeat(np.arange(6), count)
+    scores = np.repeat(rng.normal(0, 6, (len(doc) // 3 + 1, 4)), 3, axis=0)[: len(doc)].astype(np.float32)
+    want = np.zeros(len(doc), dtype=np.int32)
+    language_id._viterbi(scores, begin, count, want)
+    model = language_id.LanguageModel(list("abcd"), None, None, None)
+    model.word_scores = lambda x: scores
+    zero = np.zeros(len(doc), dtype=np.int64)
+    for segment in (1, 2, 7, 16, 64):
+        monkeypatch.setattr(language_id, "SEGMENT", segment)
+        got = model.label(language_id.Letters(zero, zero, doc, zero, zero, zero, zero, zero, zero), 6)
+        assert (got == want).all() and len(set(got)) == 4
+
+
+def naive_words(text):
+    """(word in lower case, trigrams) of the runs of letters and marks that hold a letter."""
+    out = []
+    for m in re.finditer(r"[^\W\d_](?:[^\W\d_])*", text):
+        w = m[0].lower()
+        out.append((w, [f"\0{w}\0"[k : k + 3] for k in range(len(w))]))
+    return out
+
+
+def test_language_counts_and_scores_are_by_hand(spark):
+    rng = random.Random(14)
+    rows = [(i, sentences(rng, EN if i % 2 else DE, 30) + " Ärger, été; OK", "en" if i % 2 else "de") for i in range(40)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    grams = {"en": {}, "de": {}}
+    words = {"en": {}, "de": {}}
+    for _, text, lang in rows:
+        for w, g in naive_words(text):
+            words[lang][w] = words[lang].get(w, 0) + 1
+            for x in g:
+                grams[lang][x] = grams[lang].get(x, 0) + 1
+    size = 1 << language_id.BITS
+    probe = "the wir Ärger unseen"
+    got = model.word_scores(language_id.letters([probe]))
+    for row, (w, g) in zip(got, naive_words(probe)):
+        for value, lang in zip(row, model.langs):
+            total = lambda table: sum(table[lang].values()) + 0.5 * size  # noqa: B023, E731
+            want = math.log((words[lang].get(w, 0) + 0.5) / total(words)) + sum(math.log((grams[lang].get(x, 0) + 0.5) / total(grams)) for x in g)
+            assert value == pytest.approx(want, rel=1e-4)
+
+
+def test_scripts_narrow_the_candidates_and_held_out_rows_are_right(spark):
+    rng = random.Random(15)
+    vocab = {"en": EN, "de": DE, "ru": "это как так и в на не что он она они был мы вы по из", "uk": "це як так і в на не що він вона вони був ми ви по із є", "el": "και το να είναι στο με για από που δεν"}
+    rows = [(i, sentences(rng, vocab[lang], 25), lang) for i in range(400) for lang in [sorted(vocab)[i % 5]]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs.where("doc_id % 4 <> 2"))
+    script = language_id.SCRIPT_NAMES.index
+    allowed = {n: [lang for lang, ok in zip(model.langs, model.allowed[script(n)]) if ok] for n in ("latin", "cyrillic", "greek", "han")}
+    assert allowed == {"latin": ["de", "en"], "cyrillic": ["ru", "uk"], "greek": ["el"], "han": []}
+    got = language_id.identify(docs.where("doc_id % 4 = 2").withColumn("lang_pred", language_id.F.lit("x")), model).collect()
+    assert len(got) == 100 and sum(r.lang_pred == r.lang for r in got) >= 98 and all(r.known_share == 1 for r in got)
+    mixed = spark.createDataFrame([(1, "the and that 漢字漢字漢字 και το να"), (1, "the and that 漢字漢字漢字 και το να")], "doc_id long, text string")
+    one, two = language_id.identify(mixed, model).collect()
+    assert one == two and one.lang_pred == "en" and one.known_share == pytest.approx(17 / 23) and one.score == pytest.approx(10 / 23)
+    assert language_id.identify(docs.limit(0), model).count() == 0 and language_id.train(docs.limit(0)).langs == []
+
+
+def test_more_languages_than_a_byte_numbers(spark):
+    rng = random.Random(16)
+    names = [f"l{k:03d}" for k in range(150)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(6)] for n in names}
+    rows = [(i, " ".join(rng.choice(words[n]) for _ in range(12)), n) for i, n in enumerate(names * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.identify(docs, language_id.train(docs), with_spans=False).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
 def naive_pii(t):
     out = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
@@ -172,6 +246,16 @@ def test_quality_rules_counts_are_brute_force():
         assert tuple(int(got[c][k]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == want
 
 
+def best_by_hand(rows, every, k=10):
+    """rows: (vec_id, vector); the k best of each query row divisible by every, in Python integers."""
+    held = [(i, [math.floor(1024 * c) for c in v]) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    out = []
+    for i, v in {(i, tuple(v)) for i, v in held if i % every == 0}:
+        scores = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, x)))), j) for j, x in held if j != i)[:k]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
+    return sorted(out)
+
+
 @pytest.mark.parametrize("block", [4096, 8])
 def test_topk_is_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk_search, "BLOCK_ROWS", block)
@@ -179,15 +263,36 @@ def test_topk_is_brute_force(spark, monkeypatch, block):
     x = rng.normal(0, 0.3, (300, 6))
     x[50:120] = x[50]
     rows = [(int(i), [float(c) for c in v]) for i, v in enumerate(x)] + [(400, None), (401, [float("nan")] * 6), (402, [1.0]), (None, [0.0] * 6), (403, [None] * 6)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, q string, cell int")
     got = sorted(map(tuple, topk_search.topk(df.where("vec_id % 50 = 0"), df).collect()))
-    v = np.floor(1024 * x).astype(np.int64)
-    want = []
-    for q in range(0, 300, 50):
-        s = v @ v[q]
-        order = sorted((-int(s[i]), i) for i in range(300) if i != q)[:10]
-        want += [(q, k + 1, i, -sc) for k, (sc, i) in enumerate(order)]
-    assert got == sorted(want)
+    assert got == best_by_hand(rows, 50) and len(got) == 60
+
+
+def test_topk_takes_vectors_of_every_length_and_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "CELLS", 64)
+    rng = np.random.default_rng(11)
+    rows = [(int(i), [float(c) for c in rng.normal(0, 0.5, int(rng.integers(0, 9)))]) for i in range(150)]
+    rows += [(10, [0.5, -0.25]), (10, [-0.5, 0.25, 2.0]), (20, rows[20][1]), (30, []), (500, [float(c) for c in rng.normal(0, 0.5, 3000)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk_search.topk(df.where("vec_id % 10 = 0"), df).collect()))
+    assert got == best_by_hand(rows, 10)
+
+
+def test_topk_of_large_components(spark):
+    rows = [(i, [3e6 * (i - 4), 1e4]) for i in range(9)] + [(i, [3e12 * (i - 12), 1e12]) for i in range(9, 17)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk_search.topk(df.where("vec_id % 8 = 0"), df, 3).collect())) == best_by_hand(rows, 8, 3)
+
+
+def test_dot_products_of_sql(spark):
+    import duckdb
+
+    rng = np.random.default_rng(12)
+    rows = [(int(i), [float(c) for c in rng.normal(0, 0.5, int(rng.integers(0, 5)))]) for i in range(201)] + [(100, [0.5]), (100, [0.5]), (None, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    embeddings = df.toArrow()  # noqa: F841  read by name
+    want = sorted(duckdb.sql(topk_search.ORACLE).fetchall())
+    assert sorted(map(tuple, topk_search.topk(df.where("vec_id % 100 = 0"), df).collect())) == want
 
 
 def test_topk_of_nothing_and_of_few(spark):

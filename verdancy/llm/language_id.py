@@ -4,8 +4,13 @@ Script ranges narrow the candidates of each word to the languages that use its
 script in the training rows; character trigrams and whole words (hashed,
 add-one smoothed) score the word in each candidate; Viterbi with a switching
 penalty labels the words, and runs of one label are the spans.  A text's
-language is the one with most letters; its score is that language's share of
-the letters.
+language is the one with most letters; its score is the share of the text's
+letters that are labelled so in a script which the language uses.
+
+Long texts.  Documents are labelled side by side, word by word.  One of more
+than ``SEGMENT`` words is cut into segments that are labelled side by side too:
+first each segment's best values from every state to every state, then the path
+over the segments, then the words of every segment between its two known states.
 
 Training is on the text and non-null language of rows given as training rows,
 at most about ``MAX_TRAIN_DOCS`` of them, drawn by a hash of the id: the bound
@@ -13,7 +18,10 @@ is a parameter.  Prediction reads the text alone.
 
 Edge cases.  Null text or text without a letter: ``und``, score 0, no spans.
 Ties go to the first language in alphabetical order.  A script that no language
-uses scores every language alike.  Without training rows all is ``und``.
+uses scores every language alike and adds nothing to a text's score, so a text
+in such scripts alone has the first language and score 0.  Without training rows
+all is ``und``.  Repeated rows have equal results.  Input columns named like a
+result column are replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +44,8 @@ PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 CHUNK_BYTES = 1 << 20
-RESULT = ("lang_pred", "score", "spans")
+SEGMENT = 2048  # words
+RESULT = ("lang_pred", "score", "known_share", "spans")
 SPANS = "array<struct<start:int,end:int,lang:string>>"
 
 #: First code points of script ranges (Unicode blocks), and their script.
@@ -131,46 +140,87 @@ class LanguageModel:
         scores[known[:, None] & ~allowed] = -1e6
         return scores
 
+    def known(self, x: Letters) -> np.ndarray:
+        """The words whose script some language uses."""
+        return self.allowed[x.script].any(axis=1) if len(x.script) else np.zeros(0, dtype=bool)
+
     def label(self, x: Letters, n_docs: int) -> np.ndarray:
-        """The language index of each word: Viterbi over every document at once, longest documents first."""
+        """The language index of each word."""
         scores = self.word_scores(x)
         count = np.bincount(x.doc, minlength=n_docs)
         begin = np.cumsum(count) - count
-        order = np.argsort(-count, kind="stable")
-        order = order[count[order] > 0]
-        begin, count = begin[order], count[order]
-        out = np.zeros(len(scores), dtype=np.int8)
-        if not len(order):
-            return out
-        steps = int(count[0])
-        active = np.searchsorted(-count, -np.arange(steps), side="left")  # documents with more than t words
-        n_langs = len(self.langs)
-        jump = np.empty(len(scores), dtype=np.int8)  # state before a switch into a word
-        stay = np.empty((len(scores), n_langs), dtype=bool)
-        value = scores[begin]
-        final = np.empty((len(order), n_langs), dtype=np.float32)
-        for t in range(1, steps):
-            k = active[t]
-            if k < len(value):
-                final[k : len(value)] = value[k:]
-                value = value[:k]
-            at = begin[:k] + t
-            top = value.argmax(axis=1)
-            switch = value[np.arange(k), top][:, None] - PENALTY
-            keep = value >= switch
-            jump[at], stay[at] = top, keep
-            value = np.where(keep, value, switch) + scores[at]
-        final[: len(value)] = value
-        state = final.argmax(axis=1)
-        out[begin + count - 1] = state
-        for t in range(steps - 1, 0, -1):
-            k = active[t]
-            at = begin[:k] + t
-            now = out[at]
-            out[at - 1] = np.where(stay[at, now], now, jump[at])
+        out = np.zeros(len(scores), dtype=np.int32)
+        short = np.flatnonzero((count > 0) & (count <= SEGMENT))
+        _viterbi(scores, begin[short], count[short], out)
+        for d in np.flatnonzero(count > SEGMENT).tolist():
+            _long_viterbi(scores[begin[d] : begin[d] + count[d]], out[begin[d] : begin[d] + count[d]])
         return out
 
 
+def _viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, out: np.ndarray, before: np.ndarray | None = None, last: np.ndarray | None = None) -> None:
+    """Label runs of words side by side, the longest first; before holds the state ahead of a run, last the state that ends it."""
+    if not len(begin):
+        return
+    order = np.argsort(-count, kind="stable")
+    begin, count = begin[order], count[order]
+    n_langs = scores.shape[1]
+    steps = int(count[0])
+    active = np.searchsorted(-count, -np.arange(steps), side="left")  # runs of more than t words
+    jump = np.empty(len(scores), dtype=np.int32)  # state before a switch into a word
+    stay = np.empty((len(scores), n_langs), dtype=bool)
+    value = scores[begin].astype(np.float64)
+    if before is not None:
+        value -= np.where(np.arange(n_langs) == before[order][:, None], 0, PENALTY)
+    final = np.empty((len(order), n_langs))
+    for t in range(1, steps):
+        k = active[t]
+        if k < len(value):
+            final[k : len(value)] = value[k:]
+            value = value[:k]
+        at = begin[:k] + t
+        top = value.argmax(axis=1)
+        switch = value[np.arange(k), top][:, None] - PENALTY
+        keep = value >= switch
+        jump[at], stay[at] = top, keep
+        value = np.where(keep, value, switch) + scores[at]
+    final[: len(value)] = value
+    state = final.argmax(axis=1) if last is None else last[order]
+    out[begin + count - 1] = state
+    for t in range(steps - 1, 0, -1):
+        at = begin[: active[t]] + t
+        now = out[at]
+        out[at - 1] = np.where(stay[at, now], now, jump[at])
+
+
+def _long_viterbi(scores: np.ndarray, out: np.ndarray) -> None:
+    """Viterbi over one long document by segments."""
+    n, n_langs = scores.shape
+    begin = np.arange(0, n, SEGMENT)
+    count = np.minimum(SEGMENT, n - begin)
+    # best[s, i, j]: the greatest value of segment s from state i ahead of it to state j at its end; the last segment may be short
+    best = scores[begin][:, None, :] - PENALTY * (1 - np.eye(n_langs))
+    for t in range(1, SEGMENT):
+        rows = len(begin) if t < count[-1] else len(begin) - 1
+        if not rows:
+            break
+        now = best[:rows]
+        now = np.maximum(now, now.max(axis=2, keepdims=True) - PENALTY)
+        best[:rows] = now + scores[begin[:rows] + t][:, None, :]
+    value = np.zeros(n_langs)  # ahead of the first word any state is free
+    come = np.empty((len(begin), n_langs), dtype=np.int32)
+    for k in range(len(begin)):
+        total = value[:, None] + best[k]
+        come[k] = total.argmax(axis=0)
+        value = total.max(axis=0)
+    last = np.empty(len(begin), dtype=np.int32)
+    state = int(value.argmax())
+    before = np.empty(len(begin), dtype=np.int32)
+    for k in range(len(begin) - 1, -1, -1):
+        last[k] = state
+        state = before[k] = come[k, state]
+    _viterbi(scores, begin, count, out, before, last)
+
+
 def _collect_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[str, list[np.ndarray]] = {}
     for batch in batches:
@@ -232,25 +282,31 @@ def _predict(model, fields: list[str], with_spans: bool):
             for a, b in T.slices(texts, CHUNK_BYTES):
                 n = b - a
                 x = letters(texts.slice(a, n).to_pylist())
-                label = m.label(x, n) if m.langs else np.zeros(len(x.doc), np.int8)
+                label = m.label(x, n) if m.langs else np.zeros(len(x.doc), np.int32)
+                known = m.known(x) if m.langs else np.zeros(len(x.doc), dtype=bool)
                 share = np.bincount(x.doc * n_langs + label, weights=x.n_letters, minlength=n * n_langs).reshape(n, n_langs)
+                sure = np.bincount(x.doc * n_langs + label, weights=x.n_letters * known, minlength=n * n_langs).reshape(n, n_langs)
                 total = share.sum(axis=1)
-                best = np.where((total > 0) & bool(m.langs), share.argmax(axis=1), len(m.langs))
-                score = np.where(best < len(m.langs), share.max(axis=1) / np.maximum(total, 1), 0.0)
-                columns = [batch.column(f).slice(a, n) for f in fields] + [pa.array(names[best], pa.string()), pa.array(score)]
+                # by letters in a known script, of texts that have such, else by all
+                top = np.where(sure.any(axis=1), sure.argmax(axis=1), share.argmax(axis=1))
+                best = np.where((total > 0) & bool(m.langs), top, len(m.langs))
+                score = np.where(best < len(m.langs), sure.max(axis=1) / np.maximum(total, 1), 0.0)
+                extra = [pa.array(sure.sum(axis=1) / np.maximum(total, 1))]
+                columns = [batch.column(f).slice(a, n) for f in fields] + [pa.array(names[best], pa.string()), pa.array(score)] + extra
                 if with_spans:
                     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
                     columns.append(pa.array(_runs(x, label, m.langs, n) if m.langs else [[]] * n, kind))
-                yield pa.RecordBatch.from_arrays(columns, names=[*fields, *RESULT[: 3 if with_spans else 2]])
+                yield pa.RecordBatch.from_arrays(columns, names=[*fields, *RESULT[: 4 if with_spans else 3]])
 
     return run
 
 
 def identify(docs: DataFrame, model: LanguageModel, with_spans: bool = True) -> DataFrame:
-    """docs with lang_pred, score and, if asked for, the labelled spans in code points."""
+    """docs with lang_pred, score, known_share (of the letters, those in a script that some language uses) and, if asked for,
+    the labelled spans in code points."""
     docs = without(docs, RESULT)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_predict(shared, docs.columns, with_spans), widened(docs, list(zip(RESULT, ["string", "double", SPANS]))[: 3 if with_spans else 2]))
+    return docs.mapInArrow(_predict(shared, docs.columns, with_spans), widened(docs, list(zip(RESULT, ["string", "double", "double", SPANS]))[: 4 if with_spans else 3]))
 
 
 def held_out() -> Column:
@@ -260,4 +316,4 @@ def held_out() -> Column:
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs.where(remainder("doc_id", 4) != 2))
-    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, with_spans=False).drop("text")
+    return identify(docs.select("doc_id", held_out().alias("held_out"), "text"), model, with_spans=False).drop("text", "known_share")
