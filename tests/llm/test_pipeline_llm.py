@@ -65,3 +65,25 @@ def test_run_is_brute_force(spark, tmp_path):
     assert got == want and 30 not in got and 31 not in got and 60 not in got
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(dict((i, t) for i, t, _ in rows)[41], add_special_tokens=False)
     assert want[41] < len(whole.ids) - 70 and docs.count() == len(rows)
+
+
+def test_stages_keep_extra_columns_and_rows_without_an_id(spark):
+    rng = random.Random(30)
+    text = lambda n: " ".join(rng.choice(["the", "of", "and", "reed", "onshen", "thin", "erble", "anre"]) + rng.choice(["", "s", "ly", "er"]) for _ in range(n))
+    one, two = text(120), text(90)
+    rows = [(1, one, 0.5, "k1", "m"), (1, two, 0.6, "k2", "m"), (None, one, 0.7, "k3", None), (None, None, 0.8, "k4", "m"), (4, "漢字 漢字", 0.9, "k5", "m"), (5, "", 1.0, "k6", "m"), (6, one, 1.1, "k7", "m")]
+    rows += [(10 + k, text(60) + f" call +1 (377) 555-{1000 + k}", 2.0, "x", "y") for k in range(12)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), a, b, c) for i, t, a, b, c in rows], "doc_id long, text string, lang string, source string, n_chars long, score double, kept_text string, masked string")
+    extra = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), "").count() == 0
+        extra[name] = {(r.doc_id, r.score, r.kept_text, r.masked) for r in out.collect()}
+    every = {(i, a, b, c) for i, _, a, b, c in rows}
+    assert all(x <= every for x in extra.values()) and extra["personal_data"] == every and len(every - extra["passages"]) <= 2
+    assert {x[2] for x in every - extra["language"]} == {"k4", "k5", "k6"}
+    assert {x[2] for x in every - extra["near_duplicates"]} == {"k7"}
+    masked = corpus_pipeline.personal_data(spark, docs, "").where("doc_id = 10").first()
+    assert masked.text.endswith("[PHONE]") and masked.n_chars == len(masked.text)
+    packed = corpus_pipeline.packed(spark, docs, "")
+    assert packed.count() == len(rows) and corpus_pipeline.packed(spark, docs.limit(0), "").count() == 0
