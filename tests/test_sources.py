@@ -35,10 +35,15 @@ def test_round_robin_reserves_and_cycles(spark):
     assert sorted(r.id for r in P.round_robin(df, "d", "id", 5, "n", 2).collect()) == ["a1", "b1", "n1", "n2", "n3"]
 
 
-def test_token_batches_respect_the_budget(spark):
-    df = spark.createDataFrame([(i, 1 + i % 17) for i in range(200)], "id long, n long")
-    rows = P.token_batches(df, "n", "id", 64, shards=3).collect()
-    groups = {}
-    for r in rows:
-        groups.setdefault((r.shard, r.batch), []).append(r.n)
-    assert len(rows) == 200 and all(len(g) == 1 or max(g) * len(g) <= 64 for g in groups.values())
+def test_token_batches_are_the_sequential_pass(spark):
+    for budget in (1, 16, 64, 500):
+        rows = [(i, 1 + (i * i) % 17) for i in range(200)]
+        got = {r.id: r.batch for r in P.token_batches(spark.createDataFrame(rows, "id long, n long"), "n", "id", budget).collect()}
+        batch, held, want = 0, 0, {}
+        for i, n in sorted(rows, key=lambda r: (r[1], r[0])):
+            if held and n * (held + 1) > budget:
+                batch, held = batch + 1, 0
+            held += 1
+            want[i] = batch
+        assert got == want
+    assert P.token_batches(spark.createDataFrame([], "id long, n long"), "n", "id", 8).count() == 0

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words and letters of the language hint.
-TURKISH_WORDS = "ve bir bu için icin değil degil lütfen lutfen çok cok ama gibi ile mi mı mu mü ben biz siz istiyorum gelmedi yok var"
-GERMAN_WORDS = "und nicht der die das ist ich sie mit für auf bitte ein eine zu wir kein keine wurde"
+TURKISH_WORDS = (
+    "ve", "bir", "bu", "için", "icin", "değil", "degil", "lütfen", "lutfen", "çok", "cok", "ama", "gibi", "ile", "mi", "mı", "mu", "mü", "ben", "biz", "siz", "istiyorum", "gelmedi", "yok", "var",
+)
+GERMAN_WORDS = ("und", "nicht", "der", "die", "das", "ist", "ich", "sie", "mit", "für", "auf", "bitte", "ein", "eine", "zu", "wir", "kein", "keine", "wurde")
 TURKISH_LETTERS = "ğış"
 GERMAN_LETTERS = "äß"
 CHARS_PER_TOKEN = 3.5
@@ -83,7 +87,7 @@ def _count(text: Column, pattern: str) -> Column:
 def language_hint(text: Column) -> Column:
     """tr, de or en by special letters (counted twice) and stop words."""
     low = F.lower(text)
-    score = lambda letters, stops: 2 * _count(low, f"[{letters}]") + _count(low, rf"(?U)\b({stops.replace(' ', '|')})\b")
+    score = lambda letters, stops: 2 * _count(low, f"[{letters}]") + _count(low, rf"(?U)\b({'|'.join(stops)})\b")
     tr, de = score(TURKISH_LETTERS, TURKISH_WORDS), score(GERMAN_LETTERS, GERMAN_WORDS)
     return F.when(tr > de, "tr").when(de > tr, "de").otherwise("en")
 
@@ -95,29 +99,59 @@ def ascii_folded(text: Column, lang: Column) -> Column:
     return F.when((lang == "tr") & (letters >= 150), special("çğıöşü") < 0.02 * letters).when((lang == "de") & (letters >= 400), special("äöüß") == 0).otherwise(False)
 
 
+def _plain_letters() -> dict[str, str]:
+    """The characters of the basic plane whose compatibility decomposition leaves one ASCII character, and that character."""
+    found = {}
+    for code in range(0x80, 0x10000):
+        plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
+        if len(plain) == 1:
+            found[chr(code)] = plain
+    return found
+
+
+_PLAIN = _plain_letters()
+
+
+def ascii_letters(text: Column) -> Column:
+    """Letters without their marks; what has no ASCII letter goes. Ligatures and other signs of several letters go too."""
+    return F.regexp_replace(F.translate(text, "".join(_PLAIN), "".join(_PLAIN.values())), r"[^\x00-\x7F]", "")
+
+
 def fold(text: Column) -> Column:
     """ASCII letters and digits in lower case, everything else one space."""
-    plain = F.translate(F.regexp_replace(F.lower(text), "ß", "ss"), "ıäöüàâáãåçéèêëíìîïñóòôõúùûğşýÿ", "iaouaaaaaceeeeiiiinoooouuugsyy")
-    return F.regexp_replace(plain, "[^a-z0-9]+", " ")
+    plain = F.regexp_replace(F.translate(text, "ıİ", "ii"), "ß", "ss")
+    return F.regexp_replace(F.lower(ascii_letters(plain)), "[^a-z0-9]+", " ")
 
 
-#: Letters of identifiers, by language.
-IDENT = {
-    "de": ("ä ae", "ö oe", "ü ue", "ß ss", "Ä Ae", "Ö Oe", "Ü Ue"),
-    "tr": ("ç c", "ğ g", "ı i", "ö o", "ş s", "ü u", "Ç C", "Ğ G", "İ I", "Ö O", "Ş S", "Ü U"),
+#: How a developer writes the letters of a language in identifiers.
+IDENT_LETTERS = {
+    "de": {"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss", "Ä": "Ae", "Ö": "Oe", "Ü": "Ue"},
+    "tr": {"ç": "c", "ğ": "g", "ı": "i", "ö": "o", "ş": "s", "ü": "u", "Ç": "C", "Ğ": "G", "İ": "I", "Ö": "O", "Ş": "S", "Ü": "U"},
 }
 
 
 def ascii_ident(name: Column, lang: str = "en") -> Column:
     """A field name of ASCII letters, digits and underscores, as a developer of the language writes it."""
-    for pair in IDENT.get(lang, ()):
-        name = F.replace(name, F.lit(pair[0]), F.lit(pair[2:]))
-    name = F.translate(name, "âàáäåãçéèêëíìîïñóòôöõúùûüÿÂÀÁÄÅÃÇÉÈÊËÍÌÎÏÑÓÒÔÖÕÚÙÛÜ", "aaaaaaceeeeiiiinooooouuuuyAAAAAACEEEEIIIINOOOOOUUUU")
-    name = F.btrim(F.regexp_replace(F.regexp_replace(name, r"[^\x00-\x7F]", ""), r"\W+", "_"), F.lit("_"))
+    for letter, written in IDENT_LETTERS.get(lang, {}).items():
+        name = F.replace(name, F.lit(letter), F.lit(written))
+    name = F.btrim(F.regexp_replace(ascii_letters(name), r"\W+", "_"), F.lit("_"))
     name = F.when(name == "", "field").otherwise(name)
     return F.when(name.rlike("^[A-Za-z_]"), name).otherwise(F.concat(F.lit("q_"), name))
 
 
+def ascii_ident_of(name: Column, lang: Column) -> Column:
+    """ascii_ident by a language column."""
+    out = ascii_ident(name)
+    for code in IDENT_LETTERS:
+        out = F.when(lang == code, ascii_ident(name, code)).otherwise(out)
+    return out
+
+
+def digest(key: Column) -> Column:
+    """128 bits that stand for a long key in joins and groups."""
+    return F.unhex(F.md5(key.cast("string")))
+
+
 def redacted(text: Column) -> Column:
     """Bearer tokens and secret keys replaced."""
     return F.regexp_replace(F.regexp_replace(text, r"(?i)bearer\s+[A-Za-z0-9._-]+", "[redacted]"), r"\b(sk|hf|key)[-_][A-Za-z0-9_-]{8,}", "[redacted]")
@@ -128,9 +162,21 @@ def luhn_ok(digits: Column) -> Column:
 
 
 def filled(template: Column, slots: dict[str, Column]) -> Column:
-    """A template with each {name} replaced."""
+    """A template with each {name} replaced once; braces inside a value stay as they are."""
+    if not slots:
+        return template
+    values = F.create_map(*[x for name, value in slots.items() for x in (F.lit(name), value.cast("string"))])
+    names = "|".join(slots)
+    # cut before and after every slot: pieces that are a slot take its value
+    pieces = F.split(F.regexp_replace(template, r"\{(" + names + r")\}", "\u0001{$1}\u0001"), "\u0001")
+    one = lambda piece: F.when(piece.rlike(r"^\{(" + names + r")\}$"), F.coalesce(F.try_element_at(values, F.regexp_extract(piece, r"^\{(.*)\}$", 1)), piece)).otherwise(piece)
+    return F.array_join(F.transform(pieces, one), "")
+
+
+def raw_filled(template: Column, slots: dict[str, Column]) -> Column:
+    """A JSON template: a string that is exactly one "{name}" takes the slot's JSON value, then the rest is filled."""
     for name, value in slots.items():
-        template = F.replace(template, F.lit("{" + name + "}"), value)
+        template = F.replace(template, F.lit('"{' + name + '}"'), value)
     return template
 
 

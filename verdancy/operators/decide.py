@@ -56,12 +56,17 @@ def field_lines(field: Column, instructions: Column, opts: Column) -> Column:
 
 
 def compile_prompt(questions: DataFrame, row_id: str, state: str) -> DataFrame:
-    """(row_id, user, skeleton) from rows (row_id, state JSON, pos, field, instructions, opts); rows with the marker go."""
+    """(row_id, user, skeleton, problem) from rows (row_id, state JSON, pos, field, instructions, opts).
+
+    A request that holds the marker or has a question of over 62 options has a problem, and no prompt.
+    """
     each = questions.select(row_id, state, "pos", "field", field_lines(F.col("field"), F.col("instructions"), F.col("opts")).alias("_l"))
     grouped = each.groupBy(row_id).agg(F.first(state).alias("_s"), F.array_sort(F.collect_list(F.struct("pos", "_l", "field"))).alias("_q"))
     user = F.concat(F.lit(USER_HEAD), F.col("_s"), F.lit("\n## Decision schema\n"), F.array_join(F.transform("_q", lambda q: q["_l"]), "\n"))
     skeleton = F.concat(F.lit("{\n"), F.array_join(F.transform("_q", lambda q: F.concat(F.lit('    "'), q["field"], F.lit(f'": "{MARKER}"'))), ",\n"), F.lit("\n}"))
-    return grouped.select(row_id, user.alias("user"), skeleton.alias("skeleton")).where(~F.col("user").contains(MARKER))
+    problem = F.when(F.exists("_q", lambda q: q["_l"].isNull()), "too many options").when(user.contains(MARKER), "reserved marker in text")
+    made = grouped.select(row_id, user.alias("_user"), skeleton.alias("_skeleton"), problem.alias("problem"))
+    return made.select(row_id, *[F.when(F.col("problem").isNull(), F.col(f"_{c}")).alias(c) for c in ("user", "skeleton")], "problem")
 
 
 def render(user: Column, skeleton: Column, reasoning: Column | None = None) -> Column:
@@ -71,13 +76,10 @@ def render(user: Column, skeleton: Column, reasoning: Column | None = None) -> C
 
 
 def with_fallback(df: DataFrame, table: DataFrame, value: str, default=None) -> DataFrame:
-    """df(kind, lang) with value from table(key, value): kind:lang, then kind, then default.
-
-    The table has one row a key of the calibration: a few dozen rows.
-    """
+    """df(kind, lang) with value from table(key, value): kind:lang, then kind, then default."""
     out = df
     for name, key in (("a", F.concat_ws(":", "kind", "lang")), ("b", F.col("kind")), ("c", F.lit("default"))):
-        small = F.broadcast(table.select(F.col("key").alias(f"_{name}"), F.col("value").alias(f"_v{name}")))
+        small = table.select(F.col("key").alias(f"_{name}"), F.col("value").alias(f"_v{name}"))
         out = out.join(small, key == F.col(f"_{name}"), "left").drop(f"_{name}")
     found = F.coalesce("_va", "_vb", "_vc", *([F.lit(default)] if default is not None else []))
     return out.withColumn(value, found).drop("_va", "_vb", "_vc")
@@ -108,3 +110,37 @@ def as_option(answer: Column, values: Column) -> Column:
     """The option that a free answer names, case and backticks aside, else the answer."""
     plain = F.trim(F.btrim(F.trim(answer), F.lit("`")))
     return F.coalesce(F.get(F.filter(values, lambda v: F.lower(v) == F.lower(plain)), F.lit(0)), plain)
+
+
+def predicted(requests: DataFrame, temperatures: DataFrame, thresholds: DataFrame, second: DataFrame | None = None) -> DataFrame:
+    """One row a request with its answers and usage, from one row a field.
+
+    requests(id, field, pos, kind, lang, values, logits, reasoning, prompt_tokens): reasoning is off, on or auto.
+    temperatures and thresholds(key, value) fall back from kind:lang to kind to default.
+    second(id, field, logits, trace_tokens): logits after a reasoning trace; they replace the first ones of every field if
+    reasoning is on and of uncertain fields if it is auto.
+    """
+    rows = with_fallback(requests, temperatures, "temperature", 1.0)
+    rows = with_fallback(rows, thresholds, "threshold", D.DEFAULT_AUTO_THRESHOLD)
+    first = answers(rows).withColumn("uncertain", D.uncertain(F.col("probabilities"), F.col("kind"), F.col("threshold")))
+    redo = (F.col("reasoning") == "on") | ((F.col("reasoning") == "auto") & F.col("uncertain"))
+    first = first.withColumn("redo", redo)
+    shown = ["probabilities", "noul", "confidence", "choice", "score", "unknown"]
+    if second is not None:
+        again = first.where("redo").drop("logits", *shown).join(second, ["id", "field"])
+        again = answers(again).select("id", "field", "trace_tokens", *[F.col(c).alias(f"_{c}") for c in shown])
+        first = first.join(again, ["id", "field"], "left")
+        used = F.col("_probabilities").isNotNull()
+        first = first.withColumns({c: F.when(used, F.col(f"_{c}")).otherwise(F.col(c)) for c in shown} | {"redo": used})
+    else:
+        first = first.withColumns({"redo": F.lit(False), "trace_tokens": F.lit(None).cast("long")})
+    answer = F.struct("pos", "field", F.col("kind").alias("type"), *shown, "redo")
+    listed = F.array_sort(F.collect_list(answer))
+    out = first.groupBy("id").agg(
+        listed.alias("answers"),
+        F.max("prompt_tokens").alias("input_tokens"),
+        (F.count("*") + F.coalesce(F.max(F.when(F.col("redo"), F.col("trace_tokens"))), F.lit(0))).alias("output_tokens"),
+        F.max("reasoning").alias("reasoning_mode"),
+    )
+    redone = F.transform(F.filter("answers", lambda a: a["redo"]), lambda a: a["field"])
+    return out.withColumn("reasoned_fields", F.when(F.col("reasoning_mode") != "off", redone))

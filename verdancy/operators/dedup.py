@@ -6,6 +6,9 @@ order of partitions.
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,8 +31,8 @@ def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def exact_groups(df: DataFrame, key: Column, group: Column, order: str) -> DataFrame:
-    """df with dup_of and kind: exact if an earlier row of another group has the key."""
-    keyed = df.withColumn("_key", key).withColumn("_group", group)
+    """df with dup_of and kind: exact if an earlier row of another group has the key. The key travels as its digest."""
+    keyed = df.withColumn("_key", X.digest(key)).withColumn("_group", group)
     first = keyed.groupBy("_key").agg(F.min(F.struct(order, "_group")).alias("_first"))
     out = keyed.join(first, "_key", "left")
     dup = (F.col("_first._group") != F.col("_group")) & (F.col(f"_first.{order}") < F.col(order))
@@ -49,95 +52,141 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def band_hashes(key: str) -> list[int]:
-    """Band hashes of a key's MinHash over character shingles; a shorter key is one gram."""
-    code = np.frombuffer(key.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    if len(code) < SHINGLE:
-        code = np.concatenate([code, np.full(SHINGLE - len(code), 0x110000, dtype=np.uint64)])
-    grams = np.zeros(len(code) - SHINGLE + 1, dtype=np.uint64)
+def band_hashes(keys: list[str]) -> np.ndarray:
+    """Band hashes (keys x bands) of MinHash signatures over character shingles; a shorter key is one gram."""
+    codes = [np.frombuffer(k.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for k in keys]
+    sizes = np.maximum([len(c) for c in codes], SHINGLE)
+    starts = np.cumsum(sizes) - sizes
+    flat = np.full(int(sizes.sum()), 0x110000, dtype=np.uint64)
+    for start, code in zip(starts, codes):
+        flat[start : start + len(code)] = code
+    grams = np.zeros(max(len(flat) - SHINGLE + 1, 0), dtype=np.uint64)
     for k in range(SHINGLE):
-        grams = _mix(grams + code[k : len(code) - SHINGLE + 1 + k] + np.uint64(k + 1))
-    grams = np.unique(grams)
-    sig = np.array([_mix(grams ^ seed).min() for seed in _SEEDS])
-    out = []
+        grams = _mix(grams + flat[k : len(grams) + k] + np.uint64(k + 1))
+    whole = np.ones(len(flat), dtype=bool)  # positions where a gram of one key begins
+    for k in range(1, SHINGLE):
+        whole[starts + sizes - k] = False
+    at = np.flatnonzero(whole)
+    grams, first = grams[at], np.searchsorted(at, starts)
+    out = np.zeros((len(keys), BANDS), dtype=np.uint64)
     for b in range(BANDS):
-        h = np.zeros(1, dtype=np.uint64)
-        for v in sig[b * ROWS : (b + 1) * ROWS]:
-            h = _mix(h + v)
-        out.append(int(h.view(np.int64)[0]))
-    return out
+        for seed in _SEEDS[b * ROWS : (b + 1) * ROWS]:
+            out[:, b] = _mix(out[:, b] + np.minimum.reduceat(_mix(grams ^ seed), first))
+    return out.view(np.int64)
 
 
 _SEEDS = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64)
+#: Characters that are hashed at once; a longer key is alone.
+CHARS_AT_ONCE = 1 << 19
 
 
 @F.pandas_udf(ST.ArrayType(ST.LongType()))
 def _bands(key: pd.Series) -> pd.Series:
-    return key.map(lambda k: band_hashes(k or ""))
+    keys = [k or "" for k in key]
+    out, held, size = [], [], 0
+    for k in keys:
+        if held and size + len(k) > CHARS_AT_ONCE:
+            out += band_hashes(held).tolist()
+            held, size = [], 0
+        held.append(k)
+        size += len(k)
+    return pd.Series(out + (band_hashes(held).tolist() if held else []), dtype=object)
+
+
+def band_table(df: DataFrame, key: Column, *columns: str) -> DataFrame:
+    """columns and bands, the band hashes of MinHash signatures over character shingles."""
+    return df.select(*columns, _bands(key).alias("bands"))
 
 
-def minhash_bands(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """(order, band, hash) of MinHash signatures over character shingles."""
-    return df.select(order, F.posexplode(_bands(key)).alias("band", "hash"))
+def band_edges(bands: DataFrame, order: str) -> DataFrame:
+    """(u, v) links of rows(order, bands) that share a band, as stars round each band's first row."""
+    each = bands.select(order, F.posexplode("bands").alias("band", "hash"))
+    first = each.groupBy("band", "hash").agg(F.min(order).alias("v"), F.count("*").alias("n")).where("n > 1")
+    return each.join(first, ["band", "hash"]).select(F.col(order).alias("u"), "v").where("u <> v").distinct()
 
 
 def near_duplicate_edges(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """(u, v) links of rows that share a band, as stars round each band's first row."""
-    bands = minhash_bands(df, key, order)
-    first = bands.groupBy("band", "hash").agg(F.min(order).alias("v"), F.count("*").alias("n")).where("n > 1")
-    return bands.join(first, ["band", "hash"]).select(F.col(order).alias("u"), "v").where("u <> v").distinct()
-
-
-def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The keep-first pass over one component, in order: a row goes if a kept row of another group shares a band or key."""
-    kept_bands: dict[tuple, list] = {}
-    kept_keys: dict[str, tuple] = {}
-    whole: dict[str, int] = {}
-    out = []
-    for row in pdf.sort_values("ord").itertuples():
-        dup, kind = None, None
-        if row.sha in whole:
-            dup, kind = whole[row.sha], "identical_row"
-        else:
-            whole[row.sha] = row.ord
-            if row.key in kept_keys and kept_keys[row.key][1] != row.grp:
-                dup, kind = kept_keys[row.key][0], "exact"
-            else:
-                near = [o for k in enumerate(row.bands) for o, g in kept_bands.get(k, ()) if g != row.grp]
-                if near:
-                    dup, kind = min(near), "minhash"
-        if dup is None:
-            kept_keys.setdefault(row.key, (row.ord, row.grp))
-            for k in enumerate(row.bands):
-                kept_bands.setdefault(k, []).append((row.ord, row.grp))
-        out.append((row.ord, dup, kind))
-    return pd.DataFrame(out, columns=["ord", "dup_of", "kind"]).astype({"dup_of": "Int64"})
+    """(u, v) links of rows whose keys share a band."""
+    return band_edges(band_table(df, key, order), order)
+
+
+class _Pass:
+    """The keep-first pass over one component: a row goes if a kept row of another group shares a band or key.
+
+    Of each band only the first kept row and the first of another group than its can ever be the answer.
+    """
+
+    def __init__(self):
+        self.bands: dict[tuple[int, int], list[tuple[int, str]]] = {}
+        self.keys: dict[bytes, tuple[int, str]] = {}
+        self.whole: dict[bytes, int] = {}
+
+    def judge(self, order: int, key: bytes, group: str, sha: bytes, bands) -> tuple[int | None, str | None]:
+        if sha in self.whole:
+            return self.whole[sha], "identical_row"
+        self.whole[sha] = order
+        if key in self.keys and self.keys[key][1] != group:
+            return self.keys[key][0], "exact"
+        places = list(enumerate(bands))
+        near = [next((o for o, g in self.bands.get(k, ()) if g != group), None) for k in places]
+        near = [o for o in near if o is not None]
+        if near:
+            return min(near), "minhash"
+        self.keys.setdefault(key, (order, group))
+        for k in places:
+            kept = self.bands.setdefault(k, [])
+            if not kept or (len(kept) == 1 and kept[0][1] != group):
+                kept.append((order, group))
+        return None, None
+
+
+def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by component and order; the state of one component is held, its rows are not."""
+    label, run = None, _Pass()
+    for pdf in batches:
+        out = []
+        for row in pdf.itertuples(index=False):
+            if row.label != label:
+                label, run = row.label, _Pass()
+            out.append((row.ord, *run.judge(row.ord, row.key, row.grp, row.sha, row.bands)))
+        yield pd.DataFrame(out, columns=["ord", "dup_of", "kind"]).astype({"dup_of": "Int64"})
 
 
 def dedup(df: DataFrame, key: Column, group: Column, sha: Column, order: str) -> DataFrame:
     """df with dup_of and kind by the order-dependent pass: identical row, exact key, shared MinHash band.
 
-    Only components of rows that share a band or an identical row are replayed,
-    each apart; everything else is kept without a pass.
+    Only components of rows that share a band, a key or an identical row are
+    replayed, each apart; everything else is kept without a pass.  Keys travel as
+    digests and the signatures are worked out once.
     """
-    rows = df.select(F.col(order).alias("ord"), key.alias("key"), group.cast("string").alias("grp"), sha.alias("sha"))
-    bands = minhash_bands(rows, F.col("key"), "ord")
-    by_row = bands.groupBy("ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("band", "hash"))), lambda b: b["hash"]).alias("bands"))
-    first = rows.groupBy("sha").agg(F.min("ord").alias("v"))
-    edges = near_duplicate_edges(rows, F.col("key"), "ord").union(rows.join(first, "sha").select(F.col("ord").alias("u"), "v").where("u <> v"))
-    label = connected(edges)
-    members = rows.join(by_row, "ord").join(label.withColumnRenamed("node", "ord"), "ord")
-    judged = members.groupBy("label").applyInPandas(_replay, "ord long, dup_of long, kind string")
+    require_shared_dir(df)
+    rows = band_table(df.withColumn("_key", key).withColumns({"_grp": group.cast("string"), "_sha": sha}), F.col("_key"), order, "_key", "_grp", "_sha")
+    rows = rows.select(F.col(order).alias("ord"), X.digest(F.col("_key")).alias("key"), F.col("_grp").alias("grp"), X.digest(F.col("_sha")).alias("sha"), "bands").checkpoint()
+
+    def stars(column: str) -> DataFrame:
+        first = rows.groupBy(column).agg(F.min("ord").alias("v"), F.count("*").alias("n")).where("n > 1")
+        return rows.join(first, column).select(F.col("ord").alias("u"), "v").where("u <> v")
+
+    label = connected(band_edges(rows, "ord").union(stars("sha")).union(stars("key")))
+    members = rows.join(label.withColumnRenamed("node", "ord"), "ord")
+    dealt = members.repartition("label").sortWithinPartitions("label", "ord")
+    judged = dealt.mapInPandas(_replay, "ord long, dup_of long, kind string")
     return df.join(judged.withColumnRenamed("ord", order), order, "left")
 
 
+def require_shared_dir(df: DataFrame) -> None:
+    """checkpoint() needs a folder that executors share; only a local session gets one of its own."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() is not None:
+        return
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each component, by repeated minima until nothing changes."""
-    spark = edges.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    require_shared_dir(edges)
     both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u"))).distinct().checkpoint()
     label = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")).checkpoint()
     while True:
@@ -168,7 +217,7 @@ def split_group(tags: Column, row_id: Column) -> Column:
 
 def resolve_conflicts(df: DataFrame, key: Column, targets: Column, order: list[str]) -> DataFrame:
     """df with verdict: keep, duplicate (a later equal copy) or conflict (copies whose targets differ)."""
-    keyed = df.withColumn("_key", key).withColumn("_target", targets)
+    keyed = df.withColumn("_key", X.digest(key)).withColumn("_target", targets)
     facts = keyed.groupBy("_key").agg((F.min("_target") != F.max("_target")).alias("_differ"), F.min(F.struct(*order)).alias("_first"))
     verdict = F.when(F.col("_differ"), "conflict").when(F.struct(*order) == F.col("_first"), "keep").otherwise("duplicate")
     return keyed.join(facts, "_key").select(*df.columns, verdict.alias("verdict"))
@@ -199,10 +248,9 @@ def permuted(df: DataFrame, options: str, seed: int, row_id: str, least: int = 3
     return out.withColumn(row_id, F.concat(F.col(row_id).cast("string"), F.lit("-perm")))
 
 
-def contaminated(df: DataFrame, text: str, reference: DataFrame, reference_text: str, n: int = 8) -> DataFrame:
-    """Rows that share a run of n words with a reference text."""
-    grams = lambda d, c: X.ngrams(X.word_tokens(F.col(c)), n)
-    known = reference.select(F.explode(grams(reference, reference_text)).alias("_gram")).distinct()
-    exploded = df.select(*df.columns, F.explode(grams(df, text)).alias("_gram"))
-    hits = exploded.join(known, "_gram", "left_semi")
-    return hits.drop("_gram").distinct()
+def contaminated(df: DataFrame, text: str, reference: DataFrame, reference_text: str, row_id: str, n: int = 8) -> DataFrame:
+    """Rows that share a run of n words with a reference text. Only ids and hashes of the runs are shuffled."""
+    grams = lambda c: F.explode(F.array_distinct(F.transform(X.ngrams(X.word_tokens(F.col(c)), n), lambda g: F.struct(F.xxhash64(g).alias("a"), F.xxhash64(F.lit(n), g).alias("b"))))).alias("_gram")
+    known = reference.select(grams(reference_text)).distinct()
+    hits = df.select(row_id, grams(text)).join(known, "_gram", "left_semi").select(row_id).distinct()
+    return df.join(hits, row_id, "left_semi")

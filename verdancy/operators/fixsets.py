@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dist as D
 from ..functions import text as X
+from .dedup import require_shared_dir
 from .picks import cyclic
 
 #: Fixed values.
@@ -93,8 +92,7 @@ def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, se
     follow until the budget is reached or no other row is left.  A null state
     counts as empty and is no padding; a null domain is a domain of its own.
     """
-    if not rows.sparkSession.conf.get("spark.checkpoint.dir", None) and rows.sparkSession.sparkContext.getCheckpointDir() is None:
-        rows.sparkSession.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+    require_shared_dir(rows)
     placed, domains = _placed(rows, row_id, state, domain, index, seed)
     placed = placed.checkpoint()
     seeds = lambda k: F.xxhash64(F.lit(seed), F.lit(k), row_id, state)

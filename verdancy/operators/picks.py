@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def round_robin(df: DataFrame, bucket: str, row_id: str, n: int, reserved: str | None = None, reserve: int = 10) -> DataFrame:
-    """n rows: the reserved bucket's first ones, then one row of each bucket in turn; buckets by their first id."""
-    rank = F.row_number().over(Window.partitionBy(bucket).orderBy(row_id))
-    ranked = df.withColumn("_rn", rank).withColumn("_first", F.min(row_id).over(Window.partitionBy(bucket)))
+    """n rows: the reserved bucket's first ones, then one row of each bucket in turn; buckets by their first id.
+
+    No bucket gives more than n rows, so all but its first n are cut before anything is ordered across buckets.
+    """
+    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(bucket).orderBy(row_id))).where(F.col("_rn") <= n + reserve)
+    ranked = ranked.withColumn("_first", F.min(row_id).over(Window.partitionBy(bucket)))
     ahead = (F.col(bucket) == reserved) & (F.col("_rn") <= reserve) if reserved is not None else F.lit(False)
     turn = F.col("_rn") - F.when(F.col(bucket) == reserved, reserve).otherwise(0) if reserved is not None else F.col("_rn")
     return ranked.orderBy(F.when(ahead, 0).otherwise(1), F.when(ahead, F.col("_rn")).otherwise(turn), "_first").limit(n).drop("_rn", "_first")
@@ -19,7 +21,7 @@ def round_robin(df: DataFrame, bucket: str, row_id: str, n: int, reserved: str |
 def spread(df: DataFrame, bucket: str, row_id: str, order: Column, n: int) -> DataFrame:
     """n rows, one per id, cycling over the buckets in hash order."""
     one = df.withColumn("_k", order).withColumn("_rn", F.row_number().over(Window.partitionBy(row_id).orderBy("_k"))).where("_rn = 1")
-    turn = one.withColumn("_turn", F.row_number().over(Window.partitionBy(bucket).orderBy("_k", row_id)))
+    turn = one.withColumn("_turn", F.row_number().over(Window.partitionBy(bucket).orderBy("_k", row_id))).where(F.col("_turn") <= n)
     return turn.orderBy("_turn", bucket).limit(n).drop("_k", "_rn", "_turn")
 
 
@@ -35,6 +37,7 @@ def plan_and_fill(df: DataFrame, name: str, row_id: str, plan: dict[str, int], f
     wanted = F.coalesce(*[F.when(F.col(name) == s, F.lit(n)) for s, n in plan.items()])
     place = F.coalesce(*[F.when(F.col(name) == s, F.lit(k)) for k, s in enumerate(sets)])
     ranked = df.where(F.col(name).isin(sets)).withColumn("_rn", F.row_number().over(Window.partitionBy(name).orderBy(row_id)))
+    ranked = ranked.where(F.col("_rn") <= sum(plan.values()))
     planned = F.col("_rn") <= wanted
     usable = ranked.where(planned | F.col(name).isin(fillers))
     return usable.orderBy(F.when(planned, 0).otherwise(1), place, "_rn").limit(sum(plan.values())).drop("_rn")
@@ -55,27 +58,31 @@ def until_budget(df: DataFrame, run: str, order: list[Column], size: Column, sta
     return df.withColumn("_before", before + start).where(F.col("_before") < budget).drop("_before")
 
 
-def token_batches(df: DataFrame, length: str, row_id: str, budget: int, shards: int = 1, seed: int = 0) -> DataFrame:
+def token_batches(df: DataFrame, length: str, row_id: str, budget: int) -> DataFrame:
     """df's ids with batch: rows in order of length fill a batch while the longest times their number fits the budget.
 
-    Rows are dealt to shards by hash and each shard is filled apart, as the pass
-    is sequential; one shard gives the strict global order.
+    The pass runs over the histogram of lengths: rows of one length fill what is
+    open up to budget // length rows, then batches of that many.  So one line a
+    length says where each of its rows goes, and no task sees more than the rows
+    of a length.
     """
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([length, row_id]).reset_index(drop=True)
-        batch, n, out = 0, 0, []
-        for size in pdf[length]:
-            if n and size * (n + 1) > budget:
-                batch, n = batch + 1, 0
-            n += 1
-            out.append(batch)
-        pdf["batch"] = out
-        return pdf
-
-    dealt = df.select(row_id, length, F.pmod(F.xxhash64(F.lit(seed), row_id), F.lit(shards)).cast("int").alias("shard"))
+    counts = sorted((r[length], r["n"]) for r in df.groupBy(length).agg(F.count("*").alias("n")).collect())
+    plan, batch, held = [], -1, 0  # the open batch and its rows
+    for size, n in counts:
+        most = max(1, budget // max(size, 1))
+        free = min(n, max(0, most - held)) if batch >= 0 else 0
+        plan.append((size, batch, free, most))
+        if n > free:
+            full = -(-(n - free) // most)
+            batch, held = batch + full, (n - free) - (full - 1) * most
+        else:
+            held += n
     kinds = dict(df.dtypes)
-    return dealt.groupBy("shard").applyInPandas(fill, f"{row_id} {kinds[row_id]}, {length} {kinds[length]}, shard int, batch long")
+    lines = df.sparkSession.createDataFrame(plan, f"{length} {kinds[length]}, _batch long, _free long, _most long")
+    place = F.row_number().over(Window.partitionBy(length).orderBy(row_id)) - 1
+    placed = df.select(row_id, length).withColumn("_k", place).join(lines, length)
+    later = F.col("_batch") + 1 + F.floor((F.col("_k") - F.col("_free")) / F.col("_most"))
+    return placed.select(row_id, length, F.when(F.col("_k") < F.col("_free"), F.col("_batch")).otherwise(later).cast("long").alias("batch"))
 
 
 def fixed_batches(df: DataFrame, run: str, order: list[str], size: int) -> DataFrame:
@@ -101,3 +108,27 @@ def top_counts(df: DataFrame, keys: list[str], value: str, k: int) -> DataFrame:
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), value))
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def examples(df: DataFrame, name: str, row_id: str, order: Column, plan: list[str], traced: Column, prefer: tuple[str, ...] = ()) -> DataFrame:
+    """One row for every entry of the plan, in its order: of each set the first rows in the given order, traced ones
+    ahead in the preferred sets; a set that has too few rows leaves its places open."""
+    wanted = {s: plan.count(s) for s in plan}
+    ahead = F.when(F.col(name).isin(*prefer) & traced, 0).otherwise(1) if prefer else F.lit(1)
+    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(name).orderBy(ahead, order, row_id)))
+    few = ranked.where(F.coalesce(*[F.when(F.col(name) == s, F.lit(n)) for s, n in wanted.items()], F.lit(0)) >= F.col("_rn"))
+    places = {s: [k for k, x in enumerate(plan) if x == s] for s in wanted}
+    place = F.coalesce(*[F.when(F.col(name) == s, F.get(F.array(*[F.lit(k) for k in ks]), F.col("_rn") - 1)) for s, ks in places.items()])
+    return few.withColumn("place", place).drop("_rn")
+
+
+def diverse(df: DataFrame, domain: str, row_id: str, order: Column, n: int) -> DataFrame:
+    """One row a domain, then more up to n, all in the given order."""
+    ranked = df.withColumn("_o", order).withColumn("_rn", F.row_number().over(Window.partitionBy(domain).orderBy("_o", row_id))).where(F.col("_rn") <= n)
+    return ranked.orderBy(F.when(F.col("_rn") == 1, 0).otherwise(1), "_o", row_id).limit(n).drop("_o", "_rn")
+
+
+def most_common(df: DataFrame, key: str) -> DataFrame:
+    """key, n and rank: values by count, ties by value."""
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    return counts.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), key)))

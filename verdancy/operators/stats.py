@@ -26,13 +26,17 @@ def set_of(source: Column, fix: Column) -> Column:
 def describe(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """n, mean, median, nearest-rank p90 and max.
 
-    The nearest rank is found with a distributed rank inside the key, so no
-    group is gathered in one row.
+    Ranks are running sums over the counts of distinct values, so a key is as
+    large as its values are many, whatever its rows.
     """
-    w = Window.partitionBy(*keys).orderBy(value)
-    ranked = df.where(F.col(value).isNotNull()).select(*keys, value, F.row_number().over(w).alias("_rn"), F.count("*").over(Window.partitionBy(*keys)).alias("_n"))
-    at = F.least(F.col("_n") - 1, F.floor(F.lit(0.9) * F.col("_n"))) + 1
-    return ranked.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.max(F.when(F.col("_rn") == at, F.col(value))).alias("p90"), F.max(value).alias("max"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    whole = Window.partitionBy(*keys)
+    counts = counts.withColumn("_n", F.sum("_c").over(whole)).withColumn("_upto", F.sum("_c").over(whole.orderBy(value)))
+    at = lambda place: F.min(F.when(F.col("_upto") > place, F.col(value)))  # noqa: E731  the value at a place from 0
+    p90 = F.least(F.col("_n") - 1, F.floor(F.lit(0.9) * F.col("_n")))
+    middle = (at(F.floor((F.col("_n") - 1) / 2)) + at(F.floor(F.col("_n") / 2))) / 2
+    mean = F.sum(F.col(value).cast("double") * F.col("_c")) / F.sum("_c")
+    return counts.groupBy(*keys).agg(F.sum("_c").alias("n"), mean.alias("mean"), middle.alias("median"), at(p90).alias("p90"), F.max(value).alias("max"))
 
 
 def option_bucket(n: Column) -> Column:
@@ -91,3 +95,53 @@ def calibration(df: DataFrame, confidence: Column, hit: Column, bins: int = 10)
 
 def share_text(a: Column, b: Column) -> Column:
     return F.concat(a.cast("string"), F.lit("/"), b.cast("string"), F.lit(" ("), X.percent(a, b), F.lit(")"))
+
+
+def corpus_stats(questions: DataFrame) -> DataFrame:
+    """(section, key, n) over questions(id, set, domain, kind, n_options, place, label), one row a question.
+
+    Sections: rows by set, question types, option buckets of choices, levels of scores, questions a row, yes share of
+    yes/no questions by domain, and the gold's place among a choice's options by set.
+    """
+    rows = questions.groupBy("id", "set").agg(F.count("*").alias("_q"))
+    count = lambda df, section, key: df.groupBy(key.alias("key")).agg(F.count("*").cast("string").alias("n")).select(F.lit(section).alias("section"), F.col("key").cast("string").alias("key"), "n")
+    choice, score, noul = (questions.where(F.col("kind") == k) for k in ("choice", "score", "noul"))
+    yes = noul.groupBy("domain").agg(F.concat_ws("/", F.count_if(F.col("label") == "yes").cast("string"), F.count("*").cast("string")).alias("n"))
+    parts = [
+        count(rows, "by_set", F.col("set")),
+        count(questions, "type", F.col("kind")),
+        count(choice, "options", option_bucket(F.col("n_options"))),
+        count(score, "levels", F.col("n_options")),
+        count(rows, "questions", F.col("_q")),
+        yes.select(F.lit("noul_yes").alias("section"), F.col("domain").alias("key"), "n"),
+        count(choice.where("place is not null"), "gold_place", F.concat_ws(" ", "set", gold_position(F.col("place"), F.col("n_options")))),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def domain_label_balance(questions: DataFrame) -> DataFrame:
+    """Flags of label_balance over two keys a yes/no question (its domain's and its field's) and one any other."""
+    keys = F.array_compact(F.array(F.concat_ws(" ", "domain", "field"), F.when(F.col("kind") == "noul", F.concat("domain", F.lit(" noul")))))
+    return label_balance(questions.withColumn("key", F.explode(keys)), "key", "label")
+
+
+def mix_manifest(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """(section, key, n): rows by source and language, permuted copies, and rows dropped by verdict.
+
+    rows(id, source, lang), dropped(id, verdict).
+    """
+    count = lambda df, section, key: df.groupBy(key.alias("key")).agg(F.count("*").alias("n")).select(F.lit(section).alias("section"), "key", "n")
+    perm = rows.where(F.col("id").endswith("-perm"))
+    parts = [count(rows, "source", F.col("source")), count(rows, "lang", F.col("lang")), count(perm, "permuted", F.lit("copies")), count(dropped, "dropped", F.col("verdict"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def split_report(rows: DataFrame, source: Column) -> DataFrame:
+    """Rows by split and source suffix, the part after the last + of a derived row's source."""
+    return rows.groupBy("split", F.substring_index(source, "+", -1).alias("suffix")).agg(F.count("*").alias("n"))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import checks as C
+from ..functions import contact as CT
 from ..functions import text as X
-from ..functions import udfs as U
 from ..operators import dedup as DD
 from ..operators import fixsets as FX
 from ..operators import picks as P
@@ -103,13 +103,13 @@ g AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT w, u
 x AS (SELECT doc_id, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t))
 SELECT DISTINCT doc_id FROM x WHERE gram IN (SELECT gram FROM g)""")
 def ngram_contamination(spark, sf):
-    return DD.contaminated(docs(spark, sf).select("doc_id", "text"), "text", table(spark, sf, "benchmark"), "text").select("doc_id")
+    return DD.contaminated(docs(spark, sf).select("doc_id", "text"), "text", table(spark, sf, "benchmark"), "text", "doc_id").select("doc_id")
 
 
 @query("state_decontamination", f"SELECT doc_id FROM documents WHERE {KEY} IN (SELECT {KEY} FROM benchmark)")
 def state_decontamination(spark, sf):
-    known = table(spark, sf, "benchmark").select(X.state_key(F.col("text")).alias("_k"))
-    return docs(spark, sf).withColumn("_k", X.state_key(F.col("text"))).join(known, "_k", "left_semi").select("doc_id")
+    known = table(spark, sf, "benchmark").select(X.digest(X.state_key(F.col("text"))).alias("_k"))
+    return docs(spark, sf).withColumn("_k", X.digest(X.state_key(F.col("text")))).join(known, "_k", "left_semi").select("doc_id")
 
 
 @query("round_robin_pick", """
@@ -164,10 +164,17 @@ def fixed_batches(spark, sf):
     return P.fixed_batches(docs(spark, sf).select("doc_id", "source"), "source", ["doc_id"], 12)
 
 
-@query("token_bucket_batches")
+@query("token_bucket_batches", """
+WITH RECURSIVE l AS (SELECT doc_id, floor(length(text) / 3.5)::BIGINT AS n_tokens, row_number() OVER (ORDER BY floor(length(text) / 3.5), doc_id) AS rn FROM documents),
+r(rn, batch, n) AS (
+  SELECT 1::BIGINT, 0::BIGINT, 1::BIGINT
+  UNION ALL
+  SELECT l.rn, CASE WHEN l.n_tokens * (r.n + 1) > 32768 THEN r.batch + 1 ELSE r.batch END, CASE WHEN l.n_tokens * (r.n + 1) > 32768 THEN 1 ELSE r.n + 1 END FROM r JOIN l ON l.rn = r.rn + 1
+)
+SELECT doc_id, n_tokens, batch FROM l JOIN r USING (rn)""")
 def token_bucket_batches(spark, sf):
     d = docs(spark, sf).select("doc_id", X.token_estimate(F.col("text")).alias("n_tokens"))
-    return P.token_batches(d, "n_tokens", "doc_id", 32_768, shards=16)
+    return P.token_batches(d, "n_tokens", "doc_id", 32_768)
 
 
 @query("top_sources", """
@@ -215,9 +222,18 @@ def leak_phrases(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", C.announces(F.col("text")).alias("leaks"))
 
 
-@query("trace_problems")
+@query("trace_problems", r"""
+SELECT conv_id, turn, CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty trace' ELSE concat_ws('; ',
+  CASE WHEN len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) > 90 THEN 'too long' END,
+  CASE WHEN regexp_matches(text, '(?i)\bas an ai\b|\bi am an ai\b|\blanguage model\b|\bprobabilit(y|ies)\b|\bteacher model\b|\bannotat|\bsprachmodell|\bwahrscheinlichkeit(en)?\b') THEN 'talks about itself or probabilities' END,
+  CASE WHEN regexp_matches(text, '(?i)`|\b(option|answer|choice|cevap|antwort|auswahl)\s+[A-Za-z0-9]\b') THEN 'mentions an option symbol' END,
+  CASE WHEN regexp_matches(text, '(?m)^\s*([-*•]|\d+[.)])\s') OR contains(text, '#') THEN 'list or markdown' END,
+  CASE WHEN conv_id % 7 = 3 THEN 'language' END) END AS problems
+FROM conversations""")
 def trace_problems(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", C.trace_problems(F.col("text"), F.lit(True)).alias("problems"))
+    c = table(spark, sf, "conversations")
+    found = C.trace_problems(F.col("text"), F.col("conv_id") % 7 != 3)
+    return c.select("conv_id", "turn", F.array_join(found, "; ").alias("problems"))
 
 
 @query("word_counts", r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))::INTEGER AS n_words, floor(length(text) / 3.5)::DOUBLE AS n_tokens FROM documents")
@@ -233,7 +249,7 @@ def redaction(spark, sf):
 
 @query("scrub_counts")
 def scrub_counts(spark, sf):
-    done = docs(spark, sf).select("doc_id", "lang", U.scrub("text", "lang").alias("s"))
+    done = docs(spark, sf).select("doc_id", "lang", CT.scrub("text", "lang").alias("s"))
     return done.groupBy("lang").agg(F.sum("s.hits").alias("hits"), F.count_if(F.col("s.hits") > 0).alias("rows"))
 
 
