@@ -105,11 +105,6 @@ def band_edges(bands: DataFrame, order: str) -> DataFrame:
     return each.join(first, ["band", "hash"]).select(F.col(order).alias("u"), "v").where("u <> v").distinct()
 
 
-def near_duplicate_edges(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """(u, v) links of rows whose keys share a band."""
-    return band_edges(band_table(df, key, order), order)
-
-
 class _Pass:
     """The keep-first pass over one component: a row goes if a kept row of another group shares a band or key.
 
@@ -233,6 +228,15 @@ def take(df: DataFrame, n: int, seed: int, row_id: str) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(seed), row_id), row_id).limit(n) if n else df
 
 
+def mixed(specs: list[tuple[DataFrame, int]], seed: int, row_id: str) -> DataFrame:
+    """The union of sources, of each so many rows in hash order; 0 takes all."""
+    out = None
+    for df, n in specs:
+        part = take(df, n, seed, row_id)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def sampled(df: DataFrame, share: float, seed: int, row_id: str) -> DataFrame:
     """Each row with probability share, by a hash of its id."""
     return df.where(F.pmod(F.xxhash64(F.lit(seed), row_id), F.lit(1_000_000)) < int(share * 1_000_000))

@@ -24,10 +24,6 @@ def base_tags(tags: Column) -> Column:
     return F.filter(tags, lambda t: F.exists(F.array(*[F.lit(f"{k}:") for k in KEPT_TAGS]), lambda k: t.startswith(k)))
 
 
-def finished_id(lang: Column, fset: str, *parts: Column) -> Column:
-    return X.content_id(F.concat(lang, F.lit(f"-{fset}-")), X.canonical_sha(*parts))
-
-
 def unknown_rows(rows: DataFrame, prior: Column, values: Column) -> DataFrame:
     """each source as three rows: fact removed with unknown, without unknown (smoothed prior), control."""
     wide = F.array_append(values, F.lit("unknown"))
@@ -44,6 +40,11 @@ def negation_holds(p_yes: Column, p_yes_negated: Column) -> Column:
     return (F.abs(p_yes_negated - (1 - p_yes)) <= TWIN_GAP) & ((p_yes > 0.5) != (p_yes_negated > 0.5))
 
 
+def twin_holds(p_yes: Column, p_yes_choice: Column) -> Column:
+    """the choice that asks the same has about the same answer, on the same side of one half."""
+    return (F.abs(p_yes_choice - p_yes) <= TWIN_GAP) & ((p_yes > 0.5) == (p_yes_choice > 0.5))
+
+
 def negation_twins(rows: DataFrame, p_yes: Column) -> DataFrame:
     """each yes/no row and its negation, with complementary distributions (no, yes)."""
     pair = F.array(F.struct(F.lit("plain").alias("twin"), F.array(1 - p_yes, p_yes).alias("dist")), F.struct(F.lit("negated").alias("twin"), D.complement(F.array(1 - p_yes, p_yes)).alias("dist")))
@@ -172,10 +173,6 @@ def rule_rows(n: int, rules: list[str], variants: int, spark) -> DataFrame:
     return rows.withColumn("rule", cyclic(F.col("i"), rules)).withColumn("variant", F.pmod(F.floor(F.col("i") / len(rules)), F.lit(variants)))
 
 
-def limited(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    return rows.orderBy(*order).limit(n)
-
-
 def numbered(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:
     """rows with index, from 0 inside each partition."""
     return rows.withColumn("index", F.row_number().over(Window.partitionBy(partition).orderBy(*order)) - 1)

@@ -89,10 +89,17 @@ def disputed(votes: DataFrame, template: str) -> DataFrame:
     return votes.groupBy(template).agg(F.count("*").alias("n"), F.count_if("agree").alias("agreed")).where((F.col("n") >= 2) & (F.col("agreed") * 2 < F.col("n")))
 
 
-def clear_questions(answers: DataFrame, gold: DataFrame, keys: list[str], least: float) -> DataFrame:
-    """Keys on which all teachers share the top option and the gold reaches the least share."""
+def rejected(votes: DataFrame, second: DataFrame, template: str) -> DataFrame:
+    """Disputed templates that a second verifier disputes too, or has no two votes on."""
+    cleared = second.groupBy(template).agg(F.count("*").alias("n"), F.count_if("agree").alias("agreed")).where((F.col("n") >= 2) & (F.col("agreed") * 2 >= F.col("n")))
+    return disputed(votes, template).join(cleared, template, "left_anti").select(template)
+
+
+def clear_questions(answers: DataFrame, gold: DataFrame, keys: list[str], least: float, wanted: Column | None = None) -> DataFrame:
+    """Keys (of the wanted kind) on which all teachers share the top option and the gold reaches the least share."""
     same = answers.where("dist is not null").groupBy(*keys).agg(F.count_distinct(D.argmax(F.col("dist"))).alias("_tops")).where("_tops = 1")
-    return gold.join(same, keys, "left_semi").where(F.array_max("gold") >= least)
+    found = gold.join(same, keys, "left_semi").where(F.array_max("gold") >= least)
+    return found if wanted is None else found.where(wanted)
 
 
 def stable_half(df: DataFrame, keys: list[str], parity: int, need: int) -> DataFrame:

@@ -56,6 +56,12 @@ def sum_limit(amounts: Column, labels: Column, limit: Column) -> tuple[Column, C
     return yes(total > limit), F.get(labels, (F.array_position(amounts, F.array_max(amounts)) - 1).cast("int"))
 
 
+def sum_limit_over(amount: Column, item: Column, place: Column, limit: Column) -> list[Column]:
+    """sum_limit of a long table, for agg(): over the limit, and the item of the greatest amount, the first by place on ties."""
+    total = F.sum(amount.cast("decimal(38,2)"))
+    return [yes(total > limit).alias("over_limit"), F.max_by(item, F.struct(amount, -place)).alias("top_item")]
+
+
 def discounted(price: Column, percent: Column) -> Column:
     """The price less a percentage, half up to cents."""
     return F.round(price.cast("decimal(18,2)") * (100 - percent).cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)"), 2).cast("decimal(18,2)")
@@ -70,6 +76,11 @@ def count_records(records: Column, status: Column, least: Column) -> Column:
     return F.size(F.filter(records, lambda r: (r["status"] == status) & (r["value"] >= least)))
 
 
+def count_records_over(status: Column, wanted: Column, value: Column, least: Column) -> Column:
+    """count_records of a long table, for agg()."""
+    return F.count_if((status == wanted) & (value >= least))
+
+
 def unit_limit(amount: Column, unit: Column, limit: Column) -> Column:
     """An amount in the small unit against a limit in the big one."""
     factor = F.coalesce(*[F.when(unit == small, F.lit(n)) for small, _, n in UNITS])
@@ -81,6 +92,11 @@ def average_pass(scores: Column, mark: Column) -> Column:
     return yes(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x) >= mark * F.size(scores))
 
 
+def average_pass_over(score: Column, mark: Column) -> Column:
+    """average_pass of a long table, for agg(): without a quotient."""
+    return yes(F.sum(score) >= mark * F.count(score))
+
+
 def expense_policy(hotel_total: Column, hotel_cap: Column, expensive_cap: Column, expensive: Column, nights: Column, meal_total: Column, meal_cap: Column, receipt_min: Column, big_amount: Column, attached: Column) -> tuple[Column, Column, Column]:
     """hotel, meals and receipt rules; meals count one day more than nights."""
     cap = F.when(expensive, expensive_cap).otherwise(hotel_cap)

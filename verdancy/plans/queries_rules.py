@@ -77,13 +77,11 @@ def rule_event_order(spark, sf):
 
 
 @query("rule_sum_limit", """
-WITH s AS (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(18,2)) AS total, max(l_extendedprice::DECIMAL(18,2)) AS top FROM lineitem GROUP BY l_orderkey)
-SELECT l_orderkey, CASE WHEN total > 150000 THEN 'yes' ELSE 'no' END AS over_limit, top::DOUBLE AS top FROM s""")
+WITH s AS (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(18,2)) AS total, arg_max(l_linenumber, (l_extendedprice::DECIMAL(18,2), -l_linenumber)) AS top_item FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey, CASE WHEN total > 150000 THEN 'yes' ELSE 'no' END AS over_limit, top_item FROM s""")
 def rule_sum_limit(spark, sf):
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    grouped = lines(spark, sf).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(price)).alias("a"))
-    over, top = R.sum_limit(F.col("a"), F.col("a"), F.lit(150000))
-    return grouped.select("l_orderkey", over.alias("over_limit"), top.cast("double").alias("top"))
+    return lines(spark, sf).groupBy("l_orderkey").agg(*R.sum_limit_over(price, F.col("l_linenumber"), F.col("l_linenumber"), F.lit(150000)))
 
 
 @query("rule_discount", """
@@ -96,8 +94,8 @@ def rule_discount(spark, sf):
 
 @query("rule_count_records", "SELECT l_orderkey, count_if(l_returnflag = 'R' AND l_quantity >= 20)::INTEGER AS n FROM lineitem GROUP BY l_orderkey")
 def rule_count_records(spark, sf):
-    grouped = lines(spark, sf).groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_returnflag").alias("status"), F.col("l_quantity").alias("value"))).alias("r"))
-    return grouped.select("l_orderkey", R.count_records(F.col("r"), F.lit("R"), F.lit(20)).alias("n"))
+    n = R.count_records_over(F.col("l_returnflag"), F.lit("R"), F.col("l_quantity"), F.lit(20))
+    return lines(spark, sf).groupBy("l_orderkey").agg(n.cast("int").alias("n"))
 
 
 @query("rule_unit_limit", """
@@ -109,8 +107,7 @@ def rule_unit_limit(spark, sf):
 
 @query("rule_average_pass", "SELECT l_orderkey, CASE WHEN sum(l_quantity) >= 25 * count(*) THEN 'yes' ELSE 'no' END AS passes FROM lineitem GROUP BY l_orderkey")
 def rule_average_pass(spark, sf):
-    grouped = lines(spark, sf).groupBy("l_orderkey").agg(F.collect_list("l_quantity").alias("a"))
-    return grouped.select("l_orderkey", R.average_pass(F.col("a"), F.lit(25)).alias("passes"))
+    return lines(spark, sf).groupBy("l_orderkey").agg(R.average_pass_over(F.col("l_quantity"), F.lit(25)).alias("passes"))
 
 
 @query("rule_expense_policy", """

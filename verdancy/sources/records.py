@@ -96,6 +96,22 @@ def digest(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.sum(half).alias("digest"))
 
 
+def manifest(df: DataFrame, *columns: str) -> DataFrame:
+    """One row: rows, and the SHA-256 of the table's JSON lines in sorted order, as of the file itself.
+
+    The lines are hashed in one place, so this is for files that ship as one (test splits); digest() has no order and no bound.
+    """
+    lines = df.select(F.to_json(F.struct(*columns)).alias("l"))
+    return lines.agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("l")), "\n"), 256).alias("digest"))
+
+
+def append_log(df: DataFrame, path: str, text: str) -> None:
+    """Adds lines to a log, secrets in the text column redacted."""
+    from ..functions.text import redacted
+
+    df.withColumn(text, redacted(F.col(text))).write.mode("append").json(path)
+
+
 def with_replies(requests: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(answered from the cache, still to ask) by the content hash of provider and body."""
     keyed = requests.withColumn("cache_key", F.sha2(F.to_json(F.array("provider", "body", F.col("attempt").cast("string"))), 256))
