@@ -7,12 +7,15 @@ vector, gated attention weighs the passages, and a logistic output scores the
 weighted sum.  Encoder, attention and output are learned together from document
 labels by Adam; no passage is labelled.
 
-Training is on at most about ``MAX_TRAIN_DOCS`` labelled documents, drawn by a
-hash of the id; the bound is a parameter.  A score reads the text alone.
+Training is on at most about ``MAX_TRAIN_DOCS`` labelled documents of up to
+``TRAIN_CHARS`` characters, drawn by a hash of the id; both bounds are documented
+parameters of the fit, so what comes to the driver is bounded in bytes.  Every
+text is scored whole, and a score reads that text alone.
 
 Edge cases.  Null and empty texts are one passage of zeros and get that score.
-Repeated label rows of a document count once (the smallest label); null labels
-do not count.  Without training rows every score is 0.5.
+Repeated rows get equal scores.  Repeated label rows of a document count once
+(the smallest label); null labels do not count.  Without training rows every
+score is 0.5.  Input columns named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from .quality_rules import base_counts
 PASSAGE = 64
 BIGRAMS = 32
 MAX_TRAIN_DOCS = 4000
+TRAIN_CHARS = 65_536
 THRESHOLD = 0.3
 HIDDEN, GATE = 24, 16
 EPOCHS, BAGS, RATE, DECAY = 24, 64, 0.01, 1e-4
@@ -64,7 +68,10 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     size = np.maximum(np.bincount(of_byte, minlength=total), 1)[:, None]
     classes = np.bincount(of_byte * N_CLASSES + _CLASSES[w.data], minlength=total * N_CLASSES).reshape(total, N_CLASSES) / size
     pair = (w.data[:-1].astype(np.uint32) * 31 + w.data[1:].astype(np.uint32) * 17) % BIGRAMS if len(w.data) > 1 else np.zeros(0, np.uint32)
-    bigrams = np.bincount(of_byte[:-1] * BIGRAMS + pair, minlength=total * BIGRAMS).reshape(total, BIGRAMS) / size if len(pair) else np.zeros((total, BIGRAMS))
+    inside = np.ones(len(pair), dtype=bool)  # no pair over the border of two documents
+    border = w.doc_byte[(w.doc_byte > 0) & (w.doc_byte < len(w.data))]
+    inside[border - 1] = False
+    bigrams = np.bincount((of_byte[:-1] * BIGRAMS + pair)[inside], minlength=total * BIGRAMS).reshape(total, BIGRAMS) / size if len(pair) else np.zeros((total, BIGRAMS))
     of_word = np.repeat(np.arange(total), n_words.astype(np.int64))
     length = (w.end - w.start).astype(np.float64)
     many = np.maximum(n_words, 1)
@@ -162,7 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_DOCS) ->
     rate = min(1.0, max_docs / max(1, labels.count()))
     drawn = labels.where(F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1_000_000)) < int(rate * 1_000_000))
     # about max_docs rows of two numbers: bounded whatever the size of the corpus
-    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    short = docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_CHARS)
+    joined = short.join(F.broadcast(drawn), "doc_id")
     rows = sorted(joined.mapInArrow(_bags, "doc_id long, label int, bag binary").collect(), key=lambda r: (r["doc_id"], r["bag"]))
     if not rows:
         return None

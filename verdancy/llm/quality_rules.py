@@ -11,7 +11,11 @@ by the band of its length.
 Edge cases.  Null counts as the empty text: zero counts, base_failed and not
 kept.  Texts shorter than the first band have no compression verdict; a tail
 as short as that is judged with the chunk before it.  Rows are independent, so repeated
-rows get equal results, and a null doc_id stays null.
+rows get equal results, and a null doc_id stays null.  Input columns named like
+a result column are replaced.
+
+SQL can express the base counts (``ORACLE``, held against them in the tests) but
+not the compression verdict, so the query has no registered SQL.
 """
 
 from __future__ import annotations
