@@ -59,6 +59,12 @@ def agreement(answers: DataFrame, keys: list[str]) -> DataFrame:
     return facts.crossJoin(pairwise(answers, keys).agg(F.avg("tv").alias("mean_tv")))
 
 
+def teacher_sets(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """How many questions each set of teachers answered together."""
+    each = answers.where("dist is not null").groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set("teacher")), "+").alias("teachers"))
+    return each.groupBy("teachers").agg(F.count("*").alias("n"))
+
+
 def pairwise(answers: DataFrame, keys: list[str]) -> DataFrame:
     """keys, a, b, agree, tv for every pair of teachers of a question."""
     left = answers.where("dist is not null").select(*keys, F.col("teacher").alias("a"), F.col("dist").alias("_da"))
