@@ -9,6 +9,7 @@ from ..functions import dist as D
 
 #: Fixed values of the prompt format.
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+MAX_OPTIONS = len(SYMBOLS)
 UNKNOWN = "unknown"
 UNKNOWN_TEXT = {
     "en": "The state does not contain enough information to decide.",

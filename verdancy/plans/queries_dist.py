@@ -206,13 +206,26 @@ def engine_parity(spark, sf):
 
 
 @query("parse_replies", """
-SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN NULL WHEN 1 THEN 'unknown option' WHEN 2 THEN 'non-numeric probability' WHEN 3 THEN 'probabilities do not sum to 1' ELSE NULL END AS problem,
-CASE turn % 5 WHEN 0 THEN 0.95 WHEN 4 THEN round(0.33 / 0.99, 6) END AS p_yes FROM conversations""")
+WITH e AS (SELECT event_id, round(value - floor(value), 2) AS p, event_id % 6 AS k FROM events WHERE value IS NOT NULL)
+SELECT event_id, CASE k WHEN 1 THEN 'unknown option' WHEN 2 THEN 'non-numeric probability' WHEN 3 THEN CASE WHEN abs(p * 2 - 1) > 0.02 THEN 'probabilities do not sum to 1' END WHEN 5 THEN 'no probabilities' END AS problem,
+CASE k WHEN 0 THEN p WHEN 3 THEN CASE WHEN abs(p * 2 - 1) <= 0.02 THEN round(p / (p * 2), 6) END WHEN 4 THEN p END::DOUBLE AS p_yes FROM e""")
 def parse_replies(spark, sf):
-    raw = F.get(F.array(F.lit('{"Yes": 0.95}'), F.lit('{"maybe": 1}'), F.lit('{"yes": "high", "no": 0}'), F.lit('{"yes": 0.5, "no": 0.1}'), F.lit('{"`yes`": 0.33, "no": 0.66}')), (F.col("turn") % 5).cast("int"))
-    parsed = D.parse_reply(raw, F.array(F.lit("no"), F.lit("yes")))
-    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", parsed.alias("r"))
-    return rows.select("conv_id", "turn", F.col("r.problem").alias("problem"), F.round(F.get("r.dist", F.lit(1)), 6).alias("p_yes"))
+    e = spark.read.parquet(f"{sf}/events.parquet").where("value is not null")
+    p = F.round(F.col("value") - F.floor("value"), 2)
+    text, rest = F.format_string("%.2f", p), F.format_string("%.2f", 1 - p)
+    reply = F.get(
+        F.array(
+            F.concat(F.lit('{"Yes": '), text, F.lit("}")),  # one of two options implies the other
+            F.concat(F.lit('{"'), "event_type", F.lit('": '), text, F.lit("}")),
+            F.concat(F.lit('{"yes": "'), "event_type", F.lit('", "no": '), text, F.lit("}")),
+            F.concat(F.lit('{"yes": '), text, F.lit(', "no": '), text, F.lit("}")),
+            F.concat(F.lit('{"`yes`": "'), text, F.lit('", " NO ": '), rest, F.lit("}")),
+            F.concat(F.lit("{ "), "event_type"),
+        ),
+        (F.col("event_id") % 6).cast("int"),
+    )
+    rows = e.select("event_id", D.parse_reply(reply, F.array(F.lit("no"), F.lit("yes"))).alias("r"))
+    return rows.select("event_id", F.col("r.problem").alias("problem"), F.round(F.get("r.dist", F.lit(1)), 6).alias("p_yes"))
 
 
 @query("stable_half", """SELECT vec_id FROM embeddings WHERE cast(concat('0x', substr(sha256(concat('["', vec_id, '"]')), 1, 2)) AS INTEGER) % 2 = 0""")

@@ -198,13 +198,28 @@ def describe_nearest_rank(spark, sf):
     return ST.describe(table(spark, sf, "events"), ["event_type"], "value").withColumns({"mean": F.round("mean", 6), "median": F.round("median", 6)})
 
 
+MANY = [f"o{k}" for k in range(DC.MAX_OPTIONS + 1)]
+
+
 @query("compile_prompt", r"""
-SELECT p_partkey, concat('Return one answer for every field using the supplied answer symbols.', chr(10), chr(10), '## State', chr(10), '"', p_name, '"', chr(10), '## Decision schema', chr(10),
-'size: How big?', chr(10), '    A = small: ', p_type, chr(10), '    B = big') AS prompt FROM part""")
+WITH p AS (SELECT *, CASE WHEN p_partkey % 50 = 0 THEN concat(p_name, ' <decision>') ELSE p_name END AS name FROM part),
+u AS (SELECT p_partkey, concat('Return one answer for every field using the supplied answer symbols.', chr(10), chr(10), '## State', chr(10), '"', name, '"', chr(10), '## Decision schema', chr(10),
+'size: How big?', chr(10), '    A = small: ', p_type, chr(10), '    B = big', CASE WHEN p_partkey % 3 > 0 THEN concat(chr(10), 'brand: Which?', chr(10), '    A = ', p_brand, chr(10), '    B = other: any other', chr(10), '    C = unknown: none') ELSE '' END) AS prompt FROM p)
+SELECT p_partkey, CASE WHEN p_partkey % 49 = 0 THEN 'too many options' WHEN p_partkey % 50 = 0 THEN 'reserved marker in text' END AS problem,
+CASE WHEN p_partkey % 49 > 0 AND p_partkey % 50 > 0 THEN prompt END AS prompt,
+CASE WHEN p_partkey % 49 > 0 AND p_partkey % 50 > 0 THEN concat('{', chr(10), '    "size": "<decision>"', CASE WHEN p_partkey % 3 > 0 THEN concat(',', chr(10), '    "brand": "<decision>"') ELSE '' END, chr(10), '}') END AS skeleton FROM u""")
 def compile_prompt(spark, sf):
-    options = F.array(F.struct(F.lit("small").alias("value"), F.col("p_type").alias("description")), F.struct(F.lit("big").alias("value"), F.lit("").alias("description")))
-    rows = table(spark, sf, "part").select("p_partkey", F.concat(F.lit('"'), "p_name", F.lit('"')).alias("state"), F.lit(0).alias("pos"), F.lit("size").alias("field"), F.lit("How big?").alias("instructions"), options.alias("opts"))
-    return DC.compile_prompt(rows, "p_partkey", "state").select("p_partkey", F.col("user").alias("prompt"))
+    k = F.col("p_partkey")
+    option = lambda v, d: F.struct(F.lit(v).alias("value") if isinstance(v, str) else v.alias("value"), F.lit(d).alias("description") if isinstance(d, str) else d.alias("description"))
+    size = F.when(k % 49 == 0, F.array(*[option(v, "") for v in MANY])).otherwise(F.array(option("small", F.col("p_type")), option("big", "")))
+    brand = F.array(option(F.col("p_brand"), ""), option("other", "any other"), option("unknown", "none"))
+    asked = F.array(
+        F.struct(F.lit(0).alias("pos"), F.lit("size").alias("field"), F.lit("How big?").alias("instructions"), size.alias("opts")),
+        F.when(k % 3 > 0, F.struct(F.lit(1).alias("pos"), F.lit("brand").alias("field"), F.lit("Which?").alias("instructions"), brand.alias("opts"))),
+    )
+    state = F.concat(F.lit('"'), "p_name", F.when(k % 50 == 0, " <decision>").otherwise(""), F.lit('"'))
+    rows = table(spark, sf, "part").select("p_partkey", state.alias("state"), F.explode(F.array_compact(asked)).alias("q")).select("p_partkey", "state", "q.*")
+    return DC.compile_prompt(rows, "p_partkey", "state").withColumnRenamed("user", "prompt")
 
 
 @query("results_delta", """

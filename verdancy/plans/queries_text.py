@@ -278,8 +278,16 @@ def row_checks(spark, sf):
     return docs(spark, sf).select("doc_id", F.array_contains(problems, "state too short").alias("short"))
 
 
-@query("set_labels", """
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'G' WHEN doc_id % 3 = 1 THEN 'P' ELSE 'F7' END AS s FROM documents""")
+SETS = (
+    "CASE doc_id % 16 WHEN 0 THEN 'G' WHEN 1 THEN 'P' WHEN 2 THEN 'F1' WHEN 3 THEN 'F2' WHEN 4 THEN 'F3' WHEN 5 THEN 'F4' WHEN 6 THEN 'F5' WHEN 7 THEN 'F6' WHEN 8 THEN 'F7' "
+    "WHEN 9 THEN 'F8' WHEN 10 THEN 'F9' WHEN 11 THEN 'F10' WHEN 12 THEN 'F11' WHEN 13 THEN 'F12' WHEN 14 THEN source ELSE '?' END"
+)
+
+
+@query("set_labels", f"SELECT doc_id, {SETS} AS s FROM documents")
 def set_labels(spark, sf):
-    source = F.when(F.col("doc_id") % 3 == 0, "gen:x").when(F.col("doc_id") % 3 == 1, "pub:x").otherwise("fix:padding")
-    return docs(spark, sf).select("doc_id", ST.set_of(source, F.lit("padding")).alias("s"))
+    k = (F.col("doc_id") % 16).cast("int")
+    origin = F.when(k == 0, F.concat(F.lit("gen:"), "source")).when(k == 1, F.concat(F.lit("pub:"), "source")).otherwise(F.concat(F.lit("fix:x+"), "source"))
+    fix = F.when(k < 14, F.get(F.array(*[F.lit(name) for name, _ in ST.FIX_SETS]), F.greatest(k - 2, F.lit(0)))).when(k == 14, F.col("source"))
+    tags = F.array(F.lit("domain:d"), F.concat(F.lit("fix:"), fix))
+    return docs(spark, sf).select("doc_id", ST.set_of(origin, X.tag(F.array_compact(tags), "fix")).alias("s"))
