@@ -110,3 +110,44 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (102, 101)], "u long, v long")
     got = {r.node: r.label for r in components(edges).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[102] == got[101] == got[100] == 100
+
+
+@pytest.mark.parametrize("leaf, block", [(1024, 2048), (40, 50)])
+def test_jaccard_join_of_a_large_loose_group(spark, monkeypatch, leaf, block):
+    monkeypatch.setattr(J, "LEAF", leaf)
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(120)]
+    texts = []
+    for _ in range(300):  # near copies of one text, from a changed word to a third of them
+        near = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 1, 2, 3, 4, 8, 20, 40])):
+            near[at] = word()
+        texts.append(near)
+    line = [word() for _ in range(8)]
+    texts += [[word() for _ in range(30)] + line + [word() for _ in range(30)] for _ in range(200)]  # one common line
+    texts += [texts[0]] * 40 + [["long"] + [word() for _ in range(30_000)]]
+    rows = [(i, " ".join(t), "x", 1, "y", "z", 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k string, n int, label string, path string, th int")
+    got = {r.doc_id: r for r in J.jaccard_join(docs).collect()}
+    sets = [shingles(r[1]) for r in rows]
+    n = len(rows)
+    links = [[j for j in range(n) if j != i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9] for i in range(540)] + [[] for _ in range(n - 540)]
+    assert len(got) == n and sum(got[i].n_links for i in got) >= 0.9999 * sum(map(len, links))
+    assert all(got[i].n_links <= len(links[i]) for i in got) and all(got[500 + k].copy_of == 0 for k in range(40))
+
+
+def test_substring_dedup_of_long_and_common_passages(spark):
+    rng = random.Random(18)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(60)]
+    long = [word() for _ in range(30_000)]
+    rows = [(i, " ".join([word() for _ in range(20)] + passage + [word() for _ in range(20)])) for i in range(120)]
+    rows += [(500, " ".join(long)), (501, " ".join(long[:20_000] + ["new"] + long[20_000:])), (501, " ".join(long[5:2000])), (None, " ".join(passage)), (502, " ".join(passage))]
+    docs = spark.createDataFrame([(*r, 1, "a", "b") for r in rows], "doc_id long, text string, key int, found string, REST string")
+    out = substring_dedup(docs)
+    assert set(out.columns) == {"doc_id", "text", "key", "found", "REST", "n_words", "n_removed", "kept_sha256", "kept_text"}
+    got = {(r.doc_id, r.n_words): r.n_removed for r in out.collect()}
+    assert got[0, 100] == 0 and {got[i, 100] for i in range(1, 120)} == {60}
+    assert got[500, 30_000] == 0 and got[501, 30_001] == 30_000 and got[501, 1995] == 1995 and got[None, 60] == 0 and got[502, 60] == 60
