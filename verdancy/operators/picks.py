@@ -66,7 +66,7 @@ def token_batches(df: DataFrame, length: str, row_id: str, budget: int) -> DataF
     length says where each of its rows goes, and no task sees more than the rows
     of a length.
     """
-    counts = sorted((r[length], r["n"]) for r in df.groupBy(length).agg(F.count("*").alias("n")).collect())
+    counts = sorted((r[length], r["_n"]) for r in df.groupBy(length).agg(F.count("*").alias("_n")).collect())
     plan, batch, held = [], -1, 0  # the open batch and its rows
     for size, n in counts:
         most = max(1, budget // max(size, 1))
