@@ -55,12 +55,14 @@ def test_long_documents_are_labelled_as_by_one_pass(monkeypatch):
     begin, doc = np.cumsum(count) - count, np.repeat(np.arange(6), count)
     scores = np.repeat(rng.normal(0, 6, (len(doc) // 3 + 1, 4)), 3, axis=0)[: len(doc)].astype(np.float32)
     want = np.zeros(len(doc), dtype=np.int32)
-    language_id._viterbi(scores, begin, count, want)
+    free = np.full(6, -1, dtype=np.int32)
+    language_id._viterbi(scores, begin, count, free, free, want)
     model = language_id.LanguageModel(list("abcd"), None, None, None)
     model.word_scores = lambda x: scores
     zero = np.zeros(len(doc), dtype=np.int64)
     for segment in (1, 2, 7, 16, 64):
         monkeypatch.setattr(language_id, "SEGMENT", segment)
+        monkeypatch.setattr(language_id, "TRANSFER", 16 * segment)
         got = model.label(language_id.Letters(zero, zero, doc, zero, zero, zero, zero, zero, zero), 6)
         assert (got == want).all() and len(set(got)) == 4
 

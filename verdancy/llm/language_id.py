@@ -44,7 +44,8 @@ PENALTY = 12.0
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 CHUNK_BYTES = 1 << 20
-SEGMENT = 2048  # words
+SEGMENT = 1024  # words
+TRANSFER = 1 << 21  # numbers of the segments' values that are held at once
 RESULT = ("lang_pred", "score", "known_share", "spans")
 SPANS = "array<struct<start:int,end:int,lang:string>>"
 
@@ -150,28 +151,30 @@ class LanguageModel:
         count = np.bincount(x.doc, minlength=n_docs)
         begin = np.cumsum(count) - count
         out = np.zeros(len(scores), dtype=np.int32)
+        # runs: short documents whole, with any state ahead and at the end, and the segments of long ones
         short = np.flatnonzero((count > 0) & (count <= SEGMENT))
-        _viterbi(scores, begin[short], count[short], out)
-        for d in np.flatnonzero(count > SEGMENT).tolist():
-            _long_viterbi(scores[begin[d] : begin[d] + count[d]], out[begin[d] : begin[d] + count[d]])
+        free = np.full(len(short), -1, dtype=np.int32)
+        runs = [(begin[short], count[short], free, free)]
+        long = np.flatnonzero(count > SEGMENT)
+        if len(long):
+            runs.append(_segments(scores, begin[long], count[long]))
+        _viterbi(scores, *(np.concatenate(x) for x in zip(*runs)), out)
         return out
 
 
-def _viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, out: np.ndarray, before: np.ndarray | None = None, last: np.ndarray | None = None) -> None:
-    """Label runs of words side by side, the longest first; before holds the state ahead of a run, last the state that ends it."""
+def _viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, before: np.ndarray, last: np.ndarray, out: np.ndarray) -> None:
+    """Label runs of words side by side, the longest first; before holds the state ahead of a run, last the one that ends it, -1 any."""
     if not len(begin):
         return
     order = np.argsort(-count, kind="stable")
-    begin, count = begin[order], count[order]
+    begin, count, before, last = begin[order], count[order], before[order, None], last[order]
     n_langs = scores.shape[1]
     steps = int(count[0])
     active = np.searchsorted(-count, -np.arange(steps), side="left")  # runs of more than t words
     jump = np.empty(len(scores), dtype=np.int32)  # state before a switch into a word
     stay = np.empty((len(scores), n_langs), dtype=bool)
-    value = scores[begin].astype(np.float64)
-    if before is not None:
-        value -= np.where(np.arange(n_langs) == before[order][:, None], 0, PENALTY)
-    final = np.empty((len(order), n_langs))
+    value = scores[begin] - np.where((before < 0) | (before == np.arange(n_langs)), 0, PENALTY).astype(scores.dtype)
+    final = np.empty((len(order), n_langs), dtype=scores.dtype)
     for t in range(1, steps):
         k = active[t]
         if k < len(value):
@@ -184,41 +187,53 @@ def _viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, out: np.n
         jump[at], stay[at] = top, keep
         value = np.where(keep, value, switch) + scores[at]
     final[: len(value)] = value
-    state = final.argmax(axis=1) if last is None else last[order]
-    out[begin + count - 1] = state
+    out[begin + count - 1] = np.where(last < 0, final.argmax(axis=1), last)
     for t in range(steps - 1, 0, -1):
         at = begin[: active[t]] + t
         now = out[at]
         out[at - 1] = np.where(stay[at, now], now, jump[at])
 
 
-def _long_viterbi(scores: np.ndarray, out: np.ndarray) -> None:
-    """Viterbi over one long document by segments."""
-    n, n_langs = scores.shape
-    begin = np.arange(0, n, SEGMENT)
-    count = np.minimum(SEGMENT, n - begin)
-    # best[s, i, j]: the greatest value of segment s from state i ahead of it to state j at its end; the last segment may be short
-    best = scores[begin][:, None, :] - PENALTY * (1 - np.eye(n_langs))
-    for t in range(1, SEGMENT):
-        rows = len(begin) if t < count[-1] else len(begin) - 1
-        if not rows:
-            break
-        now = best[:rows]
-        now = np.maximum(now, now.max(axis=2, keepdims=True) - PENALTY)
-        best[:rows] = now + scores[begin[:rows] + t][:, None, :]
-    value = np.zeros(n_langs)  # ahead of the first word any state is free
-    come = np.empty((len(begin), n_langs), dtype=np.int32)
-    for k in range(len(begin)):
-        total = value[:, None] + best[k]
-        come[k] = total.argmax(axis=0)
-        value = total.max(axis=0)
-    last = np.empty(len(begin), dtype=np.int32)
-    state = int(value.argmax())
-    before = np.empty(len(begin), dtype=np.int32)
-    for k in range(len(begin) - 1, -1, -1):
-        last[k] = state
-        state = before[k] = come[k, state]
-    _viterbi(scores, begin, count, out, before, last)
+def _segments(scores: np.ndarray, begin: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, words, state ahead, state at the end) of the segments of long documents, on each document's best path."""
+    n_langs = scores.shape[1]
+    of = np.repeat(np.arange(len(begin)), -(-count // SEGMENT))
+    first = np.searchsorted(of, np.arange(len(begin) + 1))
+    at = (np.arange(len(of)) - first[of]) * SEGMENT
+    starts, sizes = begin[of] + at, np.minimum(SEGMENT, count[of] - at)
+    come = np.empty((len(of), n_langs), dtype=np.int32)
+    final = np.empty((len(begin), n_langs))
+    value = np.zeros(n_langs)
+    held = max(1, TRANSFER // n_langs**2)
+    for a in range(0, len(of), held):
+        best = _transfers(scores, starts[a : a + held], sizes[a : a + held])
+        for k in range(a, min(a + held, len(of))):
+            if k == first[of[k]]:
+                value = np.zeros(n_langs)  # ahead of the first word any state is free
+            total = value[:, None] + best[k - a]
+            come[k] = total.argmax(axis=0)
+            value = total.max(axis=0)
+            final[of[k]] = value
+    before, last = np.empty(len(of), dtype=np.int32), np.empty(len(of), dtype=np.int32)
+    for k in range(len(of) - 1, -1, -1):
+        last[k] = final[of[k]].argmax() if k + 1 == first[of[k] + 1] else before[k + 1]
+        before[k] = come[k, last[k]]
+    return starts, sizes, before, last
+
+
+def _transfers(scores: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """[s, i, j]: the greatest value of segment s from state i ahead of it to state j at its end."""
+    order = np.argsort(-count, kind="stable")
+    active = np.searchsorted(-count[order], -np.arange(int(count.max())), side="left")
+    best = scores[begin[order]][:, None, :].astype(np.float64) - PENALTY * (1 - np.eye(scores.shape[1]))
+    for t in range(1, len(active)):
+        k = active[t]
+        now = best[:k]
+        np.maximum(now, now.max(axis=2, keepdims=True) - PENALTY, out=now)
+        now += scores[begin[order[:k]] + t][:, None, :]
+    out = np.empty_like(best)
+    out[order] = best
+    return out
 
 
 def _collect_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
