@@ -204,3 +204,30 @@ def test_streams(spark, tmp_path):
 
     assert sorted(r.state_key for r in result(exact_dedup_stream(stream, "t", "1 hour"), "firsts", "append")) == ["a b", "c"]
     assert sorted((r.model, r.calls, r.seconds) for r in result(usage_stream(stream, "t", "1 hour", "10 minutes"), "usage", "complete")) == [("m", 2, 3.0), ("n", 1, 4.0)]
+
+
+def test_sets_fail_alone_and_rounds_top_up(spark):
+    written = {}
+    failed = S.fix_stage({"f1": lambda: spark.range(3), "f2": lambda: 1 / 0, "f3": lambda: spark.range(2)}, lambda name, df: written.update({name: df.count()}))
+    assert written == {"f1": 3, "f3": 2} and failed == [("f2", "ZeroDivisionError: division by zero")]
+    asked = []
+    rows = S.topped_up(lambda k, missing: (asked.append(missing), spark.range(10 * k, 10 * k + 4))[1], 10)
+    assert asked == [10, 6, 2] and rows.count() == 10
+
+
+def test_command_line_runs_queries_and_answers_requests(spark, tmp_path, capsys):
+    from verdancy.__main__ import main
+
+    assert main(["list"]) == 0 and "dedup_split_report" in capsys.readouterr().out.split()
+    assert main(["run", "word_counts", "/root/testdata/sf0.001", str(tmp_path / "out")]) == 0 and spark.read.parquet(str(tmp_path / "out")).count() == 200
+    assert main(["run", "no_such", "x", "y"]) == 2
+    field = {"id": "r1", "field": "team", "pos": 0, "kind": "choice", "lang": "en", "values": ["a", "b", "c"], "logits": [0.0, 2.0, 0.0], "reasoning": "off", "prompt_tokens": 7}
+    lines = [field, {**field, "field": "urgent", "pos": 1, "kind": "noul", "values": ["no", "yes"], "logits": [0.0, 1.0]}]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    (tmp_path / "cal.json").write_text(json.dumps({"temperatures": {"choice:en": 2.0}, "auto_threshold": {"choice": 0.9}}))
+    assert main(["predict", str(tmp_path / "in.jsonl"), str(tmp_path / "res"), "--calibration", str(tmp_path / "cal.json")]) == 0
+    got = json.loads(next(p for p in (tmp_path / "res").glob("*.json") if p.read_text()).read_text())
+    e = 2.718281828459045
+    assert got["answers"]["team"]["choice"] == "b" and got["answers"]["team"]["probabilities"] == pytest.approx([1 / (2 + e), e / (2 + e), 1 / (2 + e)])
+    assert got["answers"]["urgent"]["noul"] == pytest.approx(e / (1 + e)) and "score" not in got["answers"]["urgent"] and got["usage"] == {"input_tokens": 7, "output_tokens": 2}
+    assert all(t.count() == 0 for t in RC.calibration(spark, "")) and RC.stage_path("r", "x", "de", "g") == "r/run=x/lang=de/stage=g"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions import dist as D
 
@@ -24,6 +25,9 @@ USER_HEAD = "Return one answer for every field using the supplied answer symbols
 
 OPTION = "struct<value:string,description:string>"
 
+#: A line of a request file: one field with the logits of its options.
+REQUEST = ST.StructType.fromDDL("id string, field string, pos int, kind string, lang string, values array<string>, logits array<double>, reasoning string, prompt_tokens long")
+
 
 def options(kind: Column, criteria: Column, criteria_kind: Column) -> Column:
     """Ordered array<struct<value, description>> of a question's criteria JSON.
@@ -145,3 +149,14 @@ def predicted(requests: DataFrame, temperatures: DataFrame, thresholds: DataFram
     )
     redone = F.transform(F.filter("answers", lambda a: a["redo"]), lambda a: a["field"])
     return out.withColumn("reasoned_fields", F.when(F.col("reasoning_mode") != "off", redone))
+
+
+def responses(predictions: DataFrame) -> DataFrame:
+    """(id, answers, usage) as a response has them: answers keyed by field, parts that a kind has not left out."""
+
+    def one(a: Column) -> Column:
+        return F.struct(a["type"].alias("type"), a["probabilities"].alias("probabilities"), a["confidence"].alias("confidence"), a["choice"].alias("choice"), a["score"].alias("score"), a["noul"].alias("noul"), a["unknown"].alias("unknown"))
+
+    answers_by_field = F.map_from_arrays(F.transform("answers", lambda a: a["field"]), F.transform("answers", one))
+    usage = F.struct("input_tokens", "output_tokens").alias("usage")
+    return predictions.select("id", answers_by_field.alias("answers"), usage, "reasoning_mode", "reasoned_fields")

@@ -95,6 +95,18 @@ def word_list_problem(kind: Column, value: Column, least: Column) -> Column:
     return F.when(~F.coalesce(sound, F.lit(False)), F.concat(F.lit("bad "), kind))
 
 
+def pool_problem(people: Column, orgs: Column, villagers: Column, least: int = 10) -> Column:
+    """Why a pool of names is too small or holds a blank one, or null."""
+    ok = lambda names: (F.size(F.array_distinct(names)) >= least) & F.forall(names, lambda n: F.trim(n) != "")
+    return F.coalesce(*[F.when(~F.coalesce(ok(c), F.lit(False)), f"bad {name}") for name, c in (("people", people), ("orgs", orgs), ("villagers", villagers))])
+
+
+def usable_snippets(snippets: Column, placeholders: tuple[str, ...], least: int = 12) -> Column:
+    """The snippets that hold every placeholder, null if they are too few."""
+    good = F.filter(snippets, lambda s: F.coalesce(*[F.when(~s.contains("{" + p + "}"), F.lit(False)) for p in placeholders], F.lit(True)))
+    return F.when(F.size(good) >= least, good)
+
+
 def trace_writer(order: list[tuple[str, str, str]], labs: Column, up: Column) -> Column:
     """The first trace writer (name, lab, provider) whose lab did not label the row and whose provider is up."""
     return F.coalesce(*[F.when(~F.array_contains(labs, lab) & F.array_contains(up, provider), F.lit(name)) for name, lab, provider in order])

@@ -6,6 +6,8 @@ the stage's name, the reason and a detail.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,6 +177,29 @@ def label_stage(rows: DataFrame, answers: DataFrame, writer: DataFrame, target_r
     return out, log
 
 
+def fix_stage(builders: dict[str, Callable[[], DataFrame]], write: Callable[[str, DataFrame], None]) -> list[tuple[str, str]]:
+    """Build and write every set by itself; a set that fails costs none of the others. Gives (set, problem) of the failed ones."""
+    failed = []
+    for name, build in builders.items():
+        try:
+            write(name, build())
+        except Exception as e:  # whatever a builder raises is its own set's problem
+            failed.append((name, f"{type(e).__name__}: {e}"[:DETAIL]))
+    return failed
+
+
+def topped_up(make: Callable[[int, int], DataFrame], target: int, rounds: int = 3) -> DataFrame:
+    """Rows of several rounds of make(round, missing) up to the target; a round asks for what the ones before left open."""
+    kept, have = None, 0
+    for k in range(rounds):
+        part = make(k, target - have)
+        kept = part if kept is None else kept.unionByName(part)
+        have = kept.count()
+        if have >= target:
+            break
+    return kept.limit(target)
+
+
 def abstains(targets: Column) -> Column:
     """Whether some target has mass on the unknown option."""
     return F.exists(targets, lambda t: F.coalesce(F.get(t["dist"], (F.array_position(t["values"], UNKNOWN) - 1).cast("int")) > 0, F.lit(False)) & F.array_contains(t["values"], UNKNOWN))

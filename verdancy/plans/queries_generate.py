@@ -181,3 +181,21 @@ def report_table(spark, sf):
 WITH {_teacher_sql()}, g AS (SELECT vec_id, field, string_agg(teacher, '+' ORDER BY teacher) AS teachers FROM t WHERE d IS NOT NULL GROUP BY vec_id, field) SELECT teachers, count(*) AS n FROM g GROUP BY teachers""")
 def agreement_sets(spark, sf):
     return L.teacher_sets(teachers(spark, sf), ["vec_id", "field"])
+
+
+@query("name_pools", """
+SELECT source, CASE WHEN count(DISTINCT lang) < 3 THEN 'bad people' WHEN count(DISTINCT doc_id) < 3 THEN 'bad orgs' WHEN source = 'src3' THEN 'bad villagers' END AS problem FROM documents GROUP BY source""")
+def name_pools(spark, sf):
+    pools = docs(spark, sf).groupBy("source").agg(F.collect_set("lang").alias("p"), F.collect_set(F.col("doc_id").cast("string")).alias("o"))
+    villagers = F.when(F.col("source") == "src3", F.array(F.lit("a"), F.lit(" "), F.lit("c"))).otherwise(F.array(F.lit("a"), F.lit("b"), F.lit("c")))
+    return pools.select("source", G.pool_problem(F.col("p"), F.col("o"), villagers, 3).alias("problem"))
+
+
+@query("snippet_pools", """
+SELECT conv_id, count_if(turn % 3 = 0) AS n FROM conversations GROUP BY conv_id HAVING count_if(turn % 3 = 0) >= 1""")
+def snippet_pools(spark, sf):
+    both = F.concat(F.lit("say {answer} to {field}: "), "text")
+    snippet = F.when(F.col("turn") % 3 == 0, both).when(F.col("turn") % 3 == 1, F.replace(both, F.lit("{field}"), F.lit("it"))).otherwise(F.col("role"))
+    pools = table(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list(snippet).alias("s"))
+    good = pools.select("conv_id", G.usable_snippets(F.col("s"), ("answer", "field"), 1).alias("g")).where("g is not null")
+    return good.select("conv_id", F.size("g").cast("long").alias("n"))

@@ -125,3 +125,18 @@ def with_traces(rows: DataFrame, traces: DataFrame) -> DataFrame:
     joined = rows.join(found, "id", "left")
     tags = F.when(F.col("_m").isNotNull(), F.array_append("tags", F.concat(F.lit("reasoner:"), "_m"))).otherwise(F.col("tags"))
     return joined.withColumns({"reasoning": F.coalesce("_t", "reasoning"), "tags": tags}).drop("_t", "_m")
+
+
+def calibration(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(temperatures, thresholds) as key, value tables from a JSON file; both are empty without one: an uncalibrated engine."""
+    kinds = "temperatures map<string,double>, auto_threshold map<string,double>"
+    if not path or not exists(spark, path):
+        empty = spark.createDataFrame([], "key string, value double")
+        return empty, empty
+    rows = spark.read.schema(kinds).option("multiLine", True).json(path)
+    return rows.select(F.explode("temperatures").alias("key", "value")), rows.select(F.explode("auto_threshold").alias("key", "value"))
+
+
+def stage_path(root: str, run: str, lang: str, stage: str) -> str:
+    """Where write_stage puts a stage's rows of one run and language."""
+    return f"{root}/run={run}/lang={lang}/stage={stage}"
