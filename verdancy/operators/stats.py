@@ -145,3 +145,8 @@ def mix_manifest(rows: DataFrame, dropped: DataFrame) -> DataFrame:
 def split_report(rows: DataFrame, source: Column) -> DataFrame:
     """Rows by split and source suffix, the part after the last + of a derived row's source."""
     return rows.groupBy("split", F.substring_index(source, "+", -1).alias("suffix")).agg(F.count("*").alias("n"))
+
+
+def language_summary(rows: DataFrame) -> DataFrame:
+    """One line over (ok, folded, prob): rows checked, passed, written without their own letters, and the least probability."""
+    return rows.agg(F.count("*").alias("checked"), F.count_if("ok").alias("passed"), F.count_if("folded").alias("folded"), F.min("prob").alias("min_prob"))

@@ -307,3 +307,45 @@ def mix_specs(spark, sf):
 SELECT count(*) AS n, sha256(string_agg(l, chr(10) ORDER BY l)) AS digest FROM (SELECT concat('{"doc_id":', doc_id, ',"source":"', source, '"}') AS l FROM documents)""")
 def sorted_manifest(spark, sf):
     return RC.manifest(docs(spark, sf), "doc_id", "source")
+
+
+@query("variant_checks", """
+SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' WHEN 4 THEN 'questions repeat case facts'
+WHEN 5 THEN CASE WHEN n_words < 200 THEN 'too short' END WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END AS problem
+FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 2 AS n_words, text FROM documents) WHERE NOT regexp_matches(text, '\\{[A-Za-z_0-9]+\\}') AND (doc_id % 10 IN (0, 1, 2, 3, 4, 5) OR n_words >= 200)""")
+def variant_checks(spark, sf):
+    k = F.col("doc_id") % 10
+    d = docs(spark, sf).where(~F.col("text").rlike(r"\{[A-Za-z_0-9]+\}"))
+    slots = F.when(k == 0, " {price}").when(k == 1, " {price} {weight} {other}").when(k == 2, " {price} EUR {weight}").when(k == 3, " {price} {weight} kg").otherwise(" {price} {weight}")
+    state = F.concat("text", slots)
+    asks = F.when(k == 4, "Is {weight} fine?").when(k == 6, "Say A = yes").otherwise("Is it within {price}?")
+    option = lambda v: F.struct(F.lit(v).alias("value"), F.lit("what it means").alias("description"))
+    options = F.when(k == 8, F.array(option("same"), option("Same"))).otherwise(F.array(option("yes_it_is"), option("no_it_is_not")))
+    one = lambda field: F.struct(field.alias("field"), F.lit("choice").alias("type"), asks.alias("instructions"), options.alias("options"))
+    questions = F.array(one(F.lit("first")), one(F.when(k == 7, "first").otherwise("second")))
+    problem = C.variant_problem(state, questions, ["price", "weight"], ["price"], money=["price"], units=["weight"], min_words=200)
+    out = d.select("doc_id", problem.alias("problem"), X.word_count(state).alias("n"))
+    return out.where("doc_id % 10 < 6 or n >= 200").select("doc_id", "problem")
+
+
+@query("language_summary", r"""
+WITH l AS (SELECT doc_id, lang, n_chars, length(regexp_replace(text, '\P{L}', '', 'g')) AS letters, length(regexp_replace(lower(text), '[^äöüß]', '', 'g')) AS special FROM documents),
+v AS (SELECT *, lang = 'de' AND letters >= 400 AND special = 0 AS folded, CASE WHEN doc_id % 4 = 0 THEN 50.0 / (50 + 30) ELSE 30.0 / (50 + 30) END AS share FROM l)
+SELECT count(*) AS checked, count_if(letters < 20 OR (share >= 0.6 AND NOT folded)) AS passed, count_if(folded) AS folded, 0.9::DOUBLE AS min_prob FROM v""")
+def language_summary(spark, sf):
+    k = F.col("doc_id")
+    part = lambda n, label: F.struct(F.lit(n).alias("n"), label.alias("label"))
+    segments = F.array(part(50, F.when(k % 4 == 0, F.col("lang")).otherwise("xx")), part(30, F.when(k % 4 == 0, "xx").otherwise(F.col("lang"))), part(5, F.lit("xx")))
+    verdict = C.language_verdict(F.col("lang"), F.col("text"), F.col("lang"), F.lit(0.9), segments)
+    return ST.language_summary(docs(spark, sf).select(verdict.alias("v")).select("v.ok", "v.folded", F.lit(0.9).alias("prob")))
+
+
+@query("mix_valid_first", """
+WITH r AS (SELECT d.doc_id, concat(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), '|', doc_id % 2 = 0) AS k, toxic, doc_id % 5 = 0 AS valid FROM documents d JOIN labels l USING (doc_id)),
+f AS (SELECT k, min(toxic) <> max(toxic) AS differ, arg_min(doc_id, (NOT valid, doc_id)) AS first FROM r GROUP BY k)
+SELECT doc_id, CASE WHEN differ THEN 'conflict' WHEN doc_id = first THEN 'keep' ELSE 'duplicate' END AS verdict FROM r JOIN f USING (k)""")
+def mix_valid_first(spark, sf):
+    """Valid rows win over train rows; rows that show the unknown option are other rows than those that do not."""
+    rows = docs(spark, sf).join(table(spark, sf, "labels"), "doc_id").withColumn("part", F.when(F.col("doc_id") % 5 == 0, 0).otherwise(1))
+    key = F.concat_ws("|", X.state_key(F.col("text")), (F.col("doc_id") % 2 == 0).cast("string"))
+    return DD.resolve_conflicts(rows, key, F.col("toxic"), ["part", "doc_id"]).select("doc_id", "verdict")
