@@ -35,3 +35,11 @@ def test_matches_oracle(spark, duck, name):
     assert sorted(names) == columns
     places = [names.index(c) for c in columns]
     assert got == sorted(tuple(_text(r[i]) for i in places) for r in result.fetchall())
+
+
+def test_catalogue_loads_without_a_session():
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert q and set(o) <= set(q)"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -26,7 +26,11 @@ USER_HEAD = "Return one answer for every field using the supplied answer symbols
 OPTION = "struct<value:string,description:string>"
 
 #: A line of a request file: one field with the logits of its options.
-REQUEST = ST.StructType.fromDDL("id string, field string, pos int, kind string, lang string, values array<string>, logits array<double>, reasoning string, prompt_tokens long")
+REQUEST = ST.StructType(
+    [ST.StructField(c, ST.StringType()) for c in ("id", "field", "kind", "lang", "reasoning")]
+    + [ST.StructField("pos", ST.IntegerType()), ST.StructField("prompt_tokens", ST.LongType())]
+    + [ST.StructField("values", ST.ArrayType(ST.StringType())), ST.StructField("logits", ST.ArrayType(ST.DoubleType()))]
+)
 
 
 def options(kind: Column, criteria: Column, criteria_kind: Column) -> Column:
