@@ -312,12 +312,12 @@ def sorted_manifest(spark, sf):
 @query("variant_checks", """
 SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' WHEN 4 THEN 'questions repeat case facts'
 WHEN 5 THEN CASE WHEN n_words < 200 THEN 'too short' END WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END AS problem
-FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 2 AS n_words, text FROM documents) WHERE NOT regexp_matches(text, '\\{[A-Za-z_0-9]+\\}') AND (doc_id % 10 IN (0, 1, 2, 3, 4, 5) OR n_words >= 200)""")
+FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 3 AS n_words, text FROM documents) WHERE NOT regexp_matches(text, '\\{[A-Za-z_0-9]+\\}') AND (doc_id % 10 IN (0, 1, 2, 3, 4, 5) OR n_words >= 200)""")
 def variant_checks(spark, sf):
     k = F.col("doc_id") % 10
     d = docs(spark, sf).where(~F.col("text").rlike(r"\{[A-Za-z_0-9]+\}"))
     slots = F.when(k == 0, " {price}").when(k == 1, " {price} {weight} {other}").when(k == 2, " {price} EUR {weight}").when(k == 3, " {price} {weight} kg").otherwise(" {price} {weight}")
-    state = F.concat("text", slots)
+    state = F.concat("text", F.lit(" end"), slots)
     asks = F.when(k == 4, "Is {weight} fine?").when(k == 6, "Say A = yes").otherwise("Is it within {price}?")
     option = lambda v: F.struct(F.lit(v).alias("value"), F.lit("what it means").alias("description"))
     options = F.when(k == 8, F.array(option("same"), option("Same"))).otherwise(F.array(option("yes_it_is"), option("no_it_is_not")))
