@@ -199,3 +199,31 @@ def snippet_pools(spark, sf):
     pools = table(spark, sf, "conversations").groupBy("conv_id").agg(F.collect_list(snippet).alias("s"))
     good = pools.select("conv_id", G.usable_snippets(F.col("s"), ("answer", "field"), 1).alias("g")).where("g is not null")
     return good.select("conv_id", F.size("g").cast("long").alias("n"))
+
+
+def _draw(salt: str, low: str, high: str) -> str:
+    return f"({low} + floor({_unit(salt, 'k')} * ({high} - {low} + 1)))::INTEGER"
+
+
+def _offset(salt: str, span: int = 20) -> str:
+    far, low, high = _draw(f"{salt}:far", "2", str(span)), _draw(f"{salt}:low", "0", "3"), _draw(f"{salt}:high", "0", "2")
+    return f"(CASE WHEN {_unit(salt, 'k')} < 0.5 THEN CASE {low} WHEN 2 THEN -1 WHEN 3 THEN -{far} ELSE 0 END ELSE CASE {high} WHEN 2 THEN {far} ELSE 1 END END)::INTEGER"
+
+
+@query("rule_instances", f"""
+WITH x AS (SELECT o_orderkey, cast(o_orderkey AS VARCHAR) AS k FROM orders),
+f AS (SELECT o_orderkey, {_offset('late')} AS late, {_offset('asked', 14)} AS asked, {_offset('budget', 50)} AS budget, {_offset('limit', 40)} AS lim,
+  DATE '2024-01-01' + {_draw('got', '0', '1460')} + {_draw('days', '14', '60')} AS last_day, DATE '2024-01-01' + {_draw('day', '0', '1460')} AS day, {_draw('limit', '16', '21')} AS age, {_offset('birth')} AS born,
+  [{', '.join(_draw(f'amount{i}', '500', '30000') for i in range(4))}] AS amounts, [{', '.join(_draw(f'score{i}', '30', '100') for i in range(3))}] AS scores, {_draw('mark', '50', '80')} AS mark FROM x),
+b AS (SELECT *, (day - to_years(age))::DATE + born AS birth FROM f)
+SELECT o_orderkey, 'deadline' AS rule, concat(CASE WHEN late <= 0 THEN 'yes' ELSE 'no' END, ',', CASE WHEN late <= 0 THEN 'on_time' WHEN late <= 7 THEN 'late_1_7' ELSE 'late_8_plus' END) AS answers FROM f
+UNION ALL SELECT o_orderkey, 'return_window', concat(CASE WHEN asked <= 0 THEN 'yes' ELSE 'no' END, ',', ['monday','tuesday','wednesday','thursday','friday','saturday','sunday'][isodow(last_day)]) FROM f
+UNION ALL SELECT o_orderkey, 'age_limit', CASE WHEN year(day) - year(birth) - CASE WHEN (month(day), dayofmonth(day)) < (month(birth), dayofmonth(birth)) THEN 1 ELSE 0 END >= age THEN 'yes' ELSE 'no' END FROM b
+UNION ALL SELECT o_orderkey, 'discount', CASE WHEN budget >= 0 THEN 'yes' ELSE 'no' END FROM f
+UNION ALL SELECT o_orderkey, 'sum_limit', concat(CASE WHEN lim < 0 THEN 'yes' ELSE 'no' END, ',item ', list_position(amounts, list_max(amounts))) FROM f
+UNION ALL SELECT o_orderkey, 'average_pass', CASE WHEN list_sum(scores) >= 3 * mark THEN 'yes' ELSE 'no' END FROM f""")
+def rule_instances(spark, sf):
+    from ..operators import instances as I
+
+    out = I.every_rule(orders(spark, sf), "o_orderkey")
+    return out.select("o_orderkey", "rule", F.array_join(F.transform("answers", lambda a: a["label"]), ",").alias("answers"))
