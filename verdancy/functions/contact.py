@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from .jsontext import map_values
+from .jsontext import NOT_JSON, map_values
 
 SCRUBBED = ST.StructType([ST.StructField("text", ST.StringType()), ST.StructField("hits", ST.IntegerType()), ST.StructField("problem", ST.StringType())])
 
@@ -128,7 +128,7 @@ def _rows(text: pd.Series, lang: pd.Series, scrubbed: Callable[[str, str], tuple
     for t, g in zip(text, lang):
         try:
             out.append((*scrubbed(t, g), None) if t is not None else (None, 0, None))
-        except ValueError:
+        except NOT_JSON:
             out.append((None, None, "invalid JSON"))
     return pd.DataFrame(out, columns=SCRUBBED.names).astype({"hits": "Int32"})
 

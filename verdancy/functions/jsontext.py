@@ -22,6 +22,8 @@ _TOKEN = re.compile(rf"(?P<key>{STRING}(?=\s*:))|(?P<str>{STRING})|(?P<float>-?\
 _SIGNS = re.compile(rf'{STRING}|"(?:[^"\\]|\\.)*\Z|[{{}}\[\]]', re.S)
 _CLOSER = {"{": "}", "[": "]"}
 _DECODER = json.JSONDecoder()
+#: What the parser raises for text that is not JSON, or nested too deeply to be held.
+NOT_JSON = (ValueError, RecursionError)
 
 # The mark before a card's reply, and values that name things rather than say them.
 CARD_MARK = r"(?im)^\s*#{2,}\s*card\s*(\d+)\s*$"
@@ -74,7 +76,7 @@ def first_object(chunk: str) -> dict:
     body = chunk[start:]
     try:
         return _DECODER.raw_decode(body)[0]
-    except ValueError:
+    except NOT_JSON:
         body = re.sub(r"\s*(```)?\s*\Z", "", body)
         return json.loads(body + closers(body))
 
@@ -97,7 +99,7 @@ def cards_of(text: str) -> list[tuple[int, str | None, str | None]]:
     for number, body in zip(parts[1::2], parts[2::2]):
         try:
             found[int(number)] = (compact(unnested(first_object(body))), None)
-        except ValueError as e:
+        except NOT_JSON as e:
             found[int(number)] = (None, "no JSON object" if "no JSON object" in str(e) else "invalid JSON")
     return [(number, *got) for number, got in found.items()]
 
@@ -112,12 +114,12 @@ def json_in(text: str) -> str | None:
     bare = re.sub(r"(?m)^```(?:json)?\s*|\s*```$", "", text.strip())
     try:
         return compact(json.loads(bare))
-    except ValueError:
+    except NOT_JSON:
         pass
     for m in re.finditer(r"[{\[]", text):
         try:
             return compact(_DECODER.raw_decode(text, m.start())[0])
-        except ValueError:
+        except NOT_JSON:
             continue
     return None
 
@@ -145,7 +147,7 @@ def natural_text(text: pd.Series, kind: pd.Series) -> pd.Series:
     def one(t: str | None, k: str) -> list[str]:
         try:
             values = [] if t is None else string_values(t) if k == "json" else [t]
-        except ValueError:
+        except NOT_JSON:
             values = [t]
         return [v for v in values if says_something(v)]
 
@@ -162,7 +164,7 @@ def _or_null(change: Callable[[str], str]):
     def one(t: str | None) -> str | None:
         try:
             return None if t is None else change(t)
-        except ValueError:
+        except NOT_JSON:
             return None
 
     return one
