@@ -46,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, shuffle_partitions
+from .common import Scratch, saved, shuffle_partitions
 
 SAMPLE = 4096
 PIVOTS = 64
@@ -153,10 +153,10 @@ def _keyed(pivots):
     return run
 
 
-def build_index(vectors: DataFrame, n_pivots: int = PIVOTS) -> tuple[DataFrame, np.ndarray, list[dict]]:
+def build_index(vectors: DataFrame, scratch: Scratch, n_pivots: int = PIVOTS) -> tuple[DataFrame, np.ndarray, list[dict]]:
     """(rows keyed by pivot, ring and block; pivots; one entry per pivot and ring, a bounded table)."""
     spark = vectors.sparkSession
-    rows = saved(integers(vectors), "vectors")
+    rows = scratch.saved(integers(vectors), "vectors")
     rate = min(1.0, SAMPLE / max(1, rows.count()))
     drawn = rows.where(F.pmod(F.xxhash64(F.lit("pivot"), "vec_id"), F.lit(1_000_000)) < int(rate * 1_000_000)).limit(2 * SAMPLE)
     # pivots have the first PIVOT_WIDTH components at most: any pivot gives right bounds
@@ -168,7 +168,7 @@ def build_index(vectors: DataFrame, n_pivots: int = PIVOTS) -> tuple[DataFrame,
     for row, v in zip(sample, found):
         row[: len(v)] = v
     pivots = fit_pivots(sample, n_pivots)
-    keyed = saved(rows.mapInArrow(_keyed(spark.sparkContext.broadcast(pivots)), "vec_id long, v array<long>, pivot int, dist double, norm double"), "keyed")
+    keyed = scratch.saved(rows.mapInArrow(_keyed(spark.sparkContext.broadcast(pivots)), "vec_id long, v array<long>, pivot int, dist double, norm double"), "keyed")
     reach = {r["pivot"]: r["m"] for r in keyed.groupBy("pivot").agg(F.max("dist").alias("m")).collect()}
     width = F.element_at(F.create_map(*[F.lit(x) for k, m in reach.items() for x in (k, max(m, 1e-9) / RINGS)]), F.col("pivot"))
     ringed = keyed.withColumn("ring", F.least(F.lit(RINGS - 1), F.floor(F.col("dist") / width).cast("int")))
@@ -181,7 +181,7 @@ def build_index(vectors: DataFrame, n_pivots: int = PIVOTS) -> tuple[DataFrame,
     indexed = ringed.withColumn("cell", F.element_at(number, F.col("pivot") * RINGS + F.col("ring")))
     # equal vectors differ in id, and rows of one id in their place in the table
     indexed = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.element_at(blocks, F.col("cell")).cast("long")).cast("int"))
-    return saved(indexed.select("cell", "block", "vec_id", "v"), "index"), pivots, cells
+    return scratch.saved(indexed.select("cell", "block", "vec_id", "v"), "index"), pivots, cells
 
 
 def _bounds(q: np.ndarray, pivots: np.ndarray, cells: list[dict]) -> np.ndarray:
@@ -299,9 +299,14 @@ def _scores(asks: pa.RecordBatch, ids: np.ndarray, runs: list, k: int) -> Iterat
 
 def topk(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best vectors of each row of queries, the row's own id apart."""
+    with Scratch(vectors.sparkSession) as scratch:
+        return _topk(queries, vectors, k, scratch)
+
+
+def _topk(queries: DataFrame, vectors: DataFrame, k: int, scratch: Scratch) -> DataFrame:
     spark = vectors.sparkSession
     parts = shuffle_partitions(spark)
-    index, pivots, cells = build_index(vectors)
+    index, pivots, cells = build_index(vectors, scratch)
     empty = "query_id long, rank int, vec_id long, score long"
     if not cells:
         return spark.createDataFrame([], empty)
@@ -321,11 +326,11 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
     plan = "cell int, block int, query_id long, q_key long, q array<long>"
-    near = saved(ranked(search(asks.mapInArrow(_plan(shared, k, True), plan))), "near")
+    near = scratch.saved(ranked(search(asks.mapInArrow(_plan(shared, k, True), plan))), "near")
     floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "q_key", F.col("score").cast("double").alias("floor"))
     rest = asks.join(floors, ["vec_id", "q_key"], "left").select("vec_id", "q_key", "v", "floor")
     far = search(rest.mapInArrow(_plan(shared, k, False), plan))
-    return ranked(near.drop("rank").unionByName(far)).select("query_id", "rank", "vec_id", "score")
+    return saved(ranked(near.drop("rank").unionByName(far)).select("query_id", "rank", "vec_id", "score"), "topk")
 
 
 def op6_topk_search(spark, sf_dir: str) -> DataFrame:
