@@ -69,6 +69,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9]){11,}")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
+_PIECE = re.compile(r"[A-Za-z0-9._%+-]+")
+_ENDS = "._%+-"
 
 
 def luhn(digits: str) -> bool:
@@ -133,7 +135,7 @@ def _features(word: str, digits: str, before: bool, after: bool, near: tuple[str
 CONTEXT = 16  # hashed places of the word before, and of the word after
 N_FEATURES = 25 + 2 * CONTEXT
 N_LABELS = len(KINDS) + 1
-LEAST_LOCAL = 4  # characters of a local part that other words are searched for
+LEAST_LOCAL = 4  # characters of a local part that is looked for in other words
 
 
 @dataclass
@@ -212,14 +214,13 @@ def graph(texts: pa.Array, planted_spans: list[list[tuple[int, int, int]]] | Non
     for d in np.flatnonzero(some).tolist():
         line = lines[d] = texts[d].as_py()
         base[d] = base_spans(line)
-        for local in sorted({line[a:b].split("@")[0] for a, b, kind in base[d] if kind == 0}):
-            at = line.find(local) if len(local) >= LEAST_LOCAL else -1
-            while at >= 0:
-                if not (line[at - 1 : at].isalnum() or line[at + len(local) : at + len(local) + 1].isalnum()):
-                    word = int(np.searchsorted(word_from, at + first_char[d], side="right")) - 1
-                    is_node[word] = True
-                    held[word] = local
-                at = line.find(local, at + len(local))
+        locals_ = {line[a:b].split("@")[0].strip(_ENDS) for a, b, kind in base[d] if kind == 0}
+        for m in _PIECE.finditer(line) if locals_ else ():
+            piece = m[0].strip(_ENDS)
+            if len(piece) >= LEAST_LOCAL and piece in locals_:
+                word = int(np.searchsorted(word_from, m.start() + first_char[d], side="right")) - 1
+                is_node[word] = True
+                held[word] = piece
     node = np.flatnonzero(is_node)
     doc_of = w.doc_of()[node]
     start, end = word_from[node] - first_char[doc_of], word_to[node] - first_char[doc_of]
@@ -235,14 +236,15 @@ def graph(texts: pa.Array, planted_spans: list[list[tuple[int, int, int]]] | Non
     edges = []
     for d in np.flatnonzero(np.diff(bounds)).tolist():
         a, b = int(bounds[d]), int(bounds[d + 1])
-        spans = base[d] + (planted_spans[d] if planted_spans else [])
-        for x, y, kind in reversed(spans):
-            mine = np.flatnonzero((start[a:b] < y) & (end[a:b] > x)) + a
-            label[mine] = kind + 1
-            if kind and (x, y, kind) in base[d]:
-                whole = _DIGITS.sub("", lines[d][x:y])
-                for k in mine.tolist():  # the span's last node stands for it
-                    digits[k] = whole if k == mine[-1] else ""
+        starts, ends = start[a:b], end[a:b]
+        spans = [(*s, True) for s in base[d]] + [(*s, False) for s in (planted_spans[d] if planted_spans else [])]
+        for x, y, kind, is_base in reversed(spans):
+            # nodes are words in order, so those that a span touches are a run
+            first, last = a + int(np.searchsorted(ends, x, side="right")), a + int(np.searchsorted(starts, y, side="left"))
+            label[first:last] = kind + 1
+            if kind and is_base and first < last:
+                digits[first:last] = [""] * (last - first)
+                digits[last - 1] = _DIGITS.sub("", lines[d][x:y])  # the span's last node stands for it
         mine = [(i + a, j + a, kind) for i, j, kind in ties(words[a:b], digits[a:b], [held.get(k) for k in node[a:b].tolist()])]
         if planted_spans is not None:
             # a mention beside a span that the patterns miss may well be of the same entity: neither label is taught
@@ -421,10 +423,12 @@ def added_spans(g: Graph, field: Field | None, texts: pa.Array) -> list[list[tup
     best = p.argmax(axis=1)
     take = np.flatnonzero((best > 0) & (p.max(axis=1) >= ACCEPT) & (g.label == 0))
     linked = set(map(tuple, g.chain.tolist()))
-    last = None
+    last, of, line = None, -1, ""
     for i in take.tolist():
         d, kind = int(g.doc[i]), int(best[i]) - 1
-        text = texts[d].as_py()[int(g.start[i]) : int(g.end[i])]
+        if d != of:
+            of, line = d, texts[d].as_py()
+        text = line[int(g.start[i]) : int(g.end[i])]
         core = _TRIM.match(text)
         a, b = int(g.start[i]) + core.start(1), int(g.start[i]) + core.end(1)
         if a >= b:
