@@ -5,6 +5,8 @@ from __future__ import annotations
 from .jaccard_join import op2_jaccard_join
 from .language_id import op1_language_id
 from .mil_quality import op7_mil_quality
+from .name_join import ORACLE as OP12_SQL
+from .name_join import op12_name_join
 from .packing import op10_packing
 from .pii_crf import op3_pii_crf
 from .quality_rules import op9_quality_rules
@@ -15,7 +17,7 @@ from .topk_search import ORACLE as OP6_SQL
 from .topk_search import op6_topk_search
 from .trie_bpe import op8_trie_bpe
 
-_QUERIES = [op1_language_id, op2_jaccard_join, op3_pii_crf, op4_token_files, op5_substring_dedup, op6_topk_search, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing]
+_QUERIES = [op1_language_id, op2_jaccard_join, op3_pii_crf, op4_token_files, op5_substring_dedup, op6_topk_search, op7_mil_quality, op8_trie_bpe, op9_quality_rules, op10_packing, op12_name_join]
 
 
 def queries() -> dict:
@@ -23,4 +25,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op5_substring_dedup.__name__: OP5_SQL, op6_topk_search.__name__: OP6_SQL}
+    return {op5_substring_dedup.__name__: OP5_SQL, op6_topk_search.__name__: OP6_SQL, op12_name_join.__name__: OP12_SQL}
