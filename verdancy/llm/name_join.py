@@ -22,7 +22,8 @@ between reads an earlier row, so the last k + 1 rows of the path are retained.
 A subtree is left when no live row can still lead to k: the newest row's least
 cell and those of the retained rows plus their age all exceed k.
 
-Nothing is broadcast or collected; the totals of a query are summed in the
+Nothing is broadcast or collected (joins are hinted to shuffle, whatever the
+size, and adaptive execution splits their hot keys); the totals of a query are summed in the
 tasks and then by a partial aggregation.
 
 Edge cases.  Null names, and names that are empty once normalised, take no part.
@@ -247,7 +248,7 @@ def _dealt(forms: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> Da
     """The rows of both sides in their chunks, one partition a chunk, forms before queries and each in order."""
     own, asked = _keys_of_forms(forms, k), _keys_of_queries(queries, k)
     count = lambda rows, name: rows.groupBy(*_SHARD).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias(name))
-    shards = scratch.saved(count(own, "form_chunks").join(count(asked, "query_chunks"), _SHARD), "shards")
+    shards = scratch.saved(count(own, "form_chunks").join(count(asked, "query_chunks").hint("merge"), _SHARD), "shards").hint("merge")
     dealt = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = own.join(shards, _SHARD).withColumn("form_chunk", dealt("form", "form_chunks")).withColumn("query_chunk", spread("query_chunks"))
@@ -281,7 +282,7 @@ def name_join(left: DataFrame, right: DataFrame, left_id: str, left_name: str, r
         rows = _dealt(forms, asked.select("form").distinct(), k, scratch)
         found = rows.mapInArrow(_chunks(k, _totals, _TOTAL), "form string, distance int, n long, first long, crc long")
         totals = found.groupBy("form", "distance").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("crc").alias("crc"))
-        return saved(asked.join(totals, "form").select("id", "distance", "n", "first", "crc"), "name_join")
+        return saved(asked.join(totals.hint("merge"), "form").select("id", "distance", "n", "first", "crc"), "name_join")
 
 
 def op12_name_join(spark, sf_dir: str) -> DataFrame:
