@@ -1,7 +1,11 @@
 """The pipeline against a brute-force version of its stages on a small fixture."""
 
+import os
 import random
 import re
+import subprocess
+import sys
+import tempfile
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -87,3 +91,28 @@ def test_stages_keep_extra_columns_and_rows_without_an_id(spark):
     assert masked.text.endswith("[PHONE]") and masked.n_chars == len(masked.text)
     packed = corpus_pipeline.packed(spark, docs, "")
     assert packed.count() == len(rows) and corpus_pipeline.packed(spark, docs.limit(0), "").count() == 0
+
+
+def test_a_column_called_like_an_inner_one_stays(spark):
+    text = "the reed and the thin reed of onshen were there for all the erble to see and hear "
+    df = spark.createDataFrame([(1, text * 3, f"own {k}", 5) for k in range(2)] + [(2, text * 3 + "end", "two", 6), (3, "another text of other words that is not near any of them", "three", 7)], "doc_id long, text string, _text_hash string, th int")
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, r._text_hash[:3]) for r in got.collect()) == [(1, "own"), (3, "thr")]
+
+
+def test_scratch_folder_of_a_session_without_one():
+    code = """
+import os
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+spark.conf.unset("spark.checkpoint.dir") if spark.conf.isModifiable("spark.checkpoint.dir") else None
+from verdancy.llm import common, jaccard_join
+assert not spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.checkpoint.dir")
+df = spark.createDataFrame([(k, "one two three four five six seven " + "eight " * (k // 2)) for k in range(6)], "doc_id long, text string")
+assert jaccard_join.grouped_rows(df).count() == 6
+assert common.shared_dir(spark) == common.shared_dir(spark)
+"""
+    empty = tempfile.mkdtemp(prefix="spark-conf-", dir="/tmp")
+    env = os.environ | {"SPARK_CONF_DIR": empty, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=300)

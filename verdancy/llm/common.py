@@ -16,14 +16,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; in local mode one of our own where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir; in local mode one of our own where it is unset.
+
+    That setting cannot be changed in a running session, so our own folder is kept as the context's checkpoint folder.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        path = tempfile.mkdtemp(prefix="verdancy-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
 
 
