@@ -4,10 +4,13 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents.  A stage's result is written as Parquet
 and read again as the next one's input; extra columns of documents pass through,
 and on a name clash with a column that an operator works with, the input's stays.
+Null texts count as empty: the language stage drops both, as they hold no letter.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +54,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     group's texts with its smallest doc_id, that of the smallest hash stays.
     """
     found = jaccard_join.grouped_rows(docs).where("doc_id = class_id")
-    kept = found.groupBy("doc_id", "label").agg(F.min("th").alias("_text_hash")).select("doc_id", "_text_hash")
-    named = docs.where("doc_id is not null").withColumn("_text_hash", F.xxhash64("text"))
-    named = named.join(kept, ["doc_id", "_text_hash"], "left_semi").dropDuplicates(["doc_id", "_text_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    mark = f"text_hash_{uuid.uuid4().hex}"  # no input column is called so
+    kept = found.groupBy("doc_id", "label").agg(F.min("th").alias(mark)).select("doc_id", mark)
+    named = docs.where("doc_id is not null").withColumn(mark, F.xxhash64("text"))
+    named = named.join(kept, ["doc_id", mark], "left_semi").dropDuplicates(["doc_id", mark]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.unionByName(docs.where("doc_id is null"))
 
 
