@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcore as T
-from .common import Scratch, saved, widened, without
+from .common import saved, widened, without
 
 RESULT = ("text", "n_chars")
 #: Winning paths are broadcast up to so many bytes of text; beyond, they are joined.
@@ -391,19 +391,19 @@ def _texts(html: int, names: list[str]):
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """The columns of pages(url, html, ...) with text and n_chars (its code points)."""
-    spark = pages.sparkSession
-    with Scratch(spark) as scratch:
-        winners = scratch.saved(host_paths(pages), "host_paths")
-        size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("path"))).first()[0] or 0
-        mark = uuid.uuid4().hex  # no input column is called so
-        host, path = f"host_{mark}", f"path_{mark}"
-        named = winners.select(F.col("host").alias(host), F.col("path").alias(path))
-        rows = without(pages, RESULT)
-        html = [c.lower() for c in rows.columns].index("html")
-        hosted = rows.withColumn(host, F.lower(F.regexp_extract("url", _HOST, 1))).join(F.broadcast(named) if size <= BROADCAST_BYTES else named, host, "left")
-        found = hosted.select(*[F.col(f"`{c}`") for c in rows.columns], path).mapInArrow(_texts(html, rows.columns), widened(rows, zip(RESULT, ("string", "long"))))
-        return saved(found, "html_text")
+    """The columns of pages(url, html, ...) with text and n_chars (its code points).
+
+    The winning paths are worked out and written at once; the pages are read again when the result is.
+    """
+    winners = saved(host_paths(pages), "host_paths")
+    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length("path"))).first()[0] or 0
+    mark = uuid.uuid4().hex  # no input column is called so
+    host, path = f"host_{mark}", f"path_{mark}"
+    named = winners.select(F.col("host").alias(host), F.col("path").alias(path))
+    rows = without(pages, RESULT)
+    html = [c.lower() for c in rows.columns].index("html")
+    hosted = rows.withColumn(host, F.lower(F.regexp_extract("url", _HOST, 1))).join(F.broadcast(named) if size <= BROADCAST_BYTES else named, host, "left")
+    return hosted.select(*[F.col(f"`{c}`") for c in rows.columns], path).mapInArrow(_texts(html, rows.columns), widened(rows, zip(RESULT, ("string", "long"))))
 
 
 def op13_html_extract(spark, sf_dir: str) -> DataFrame:
