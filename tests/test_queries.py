@@ -9,7 +9,6 @@ import pytest
 from verdancy.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
-SLOW = {"ngram_contamination"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +24,7 @@ def _text(v):
     return f"{v:.9g}" if isinstance(v, float) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_matches_oracle(spark, duck, name):
     df = catalogue.queries()[name](spark, DATA)
     columns = sorted(df.columns)

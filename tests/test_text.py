@@ -9,6 +9,8 @@ from verdancy.functions import checks as C
 from verdancy.functions import text as X
 from verdancy.functions import contact as CT
 from verdancy.functions import jsontext as J
+from verdancy.functions import locale as LO
+from verdancy.operators import stats as ST
 
 
 def col(spark, c):
@@ -156,3 +158,21 @@ def test_slots_are_filled_once(spark):
     assert col(spark, got) == "{b} and $1\\, {c} {b}"
     raw = X.raw_filled(F.lit('{"n": "{n}", "t": "has {n}"}'), {"n": F.lit("[1, 2]")})
     assert col(spark, X.filled(raw, {"n": F.lit("x")})) == '{"n": [1, 2], "t": "has x"}'
+
+
+def test_fixed_decimals_round_the_binary_value(spark):
+    rng = random.Random(2)
+    values = [0.25, 0.35, 0.05, 0.15, 12.25, 0.0625, 2.5, 0.5, 1.5, -0.25, -0.04, 0.0, -0.0, 9.995, 99.95, 1e-300, float("nan"), float("inf"), -float("inf")]
+    values += [k / 16 for k in range(200)] + [k / 1000 + 0.0005 for k in range(1000)] + [rng.random() * 10 ** rng.randint(-3, 9) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 1, 2, 3):
+        for r in df.select("x", X.fixed_text(F.col("x"), digits).alias("t")).collect():
+            assert r.t == f"{r.x:.{digits}f}"
+
+
+def test_texts_of_exact_ties(spark):
+    x = F.col("x")
+    row = spark.createDataFrame([(0.0625,)], "x double").select(
+        X.percent(F.lit(49), F.lit(400)), LO.percent_text(x * 1.96), LO.points_text(x * 1.96), LO.decimal_text(x), ST.gold_position(F.lit(1), F.lit(5)), ST.share_text(F.lit(49), F.lit(400)), LO.decimal_text(F.lit(None).cast("double"))
+    ).first()
+    assert tuple(row) == ("12.2%", "12.2%", "12.2 pts", "0.062", "0.2", "49/400 (12.2%)", "-")

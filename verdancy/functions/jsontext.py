@@ -140,6 +140,12 @@ def says_something(value: str) -> bool:
     return not named and sum(map(str.isalpha, value)) >= LEAST_LETTERS
 
 
+def speaks(value: Column) -> Column:
+    """says_something as an expression."""
+    named = value.rlike("(?U)" + IDENTIFIER.pattern) & value.rlike(r"_|\d")
+    return F.coalesce(~named & (F.length(F.regexp_replace(value, r"\P{L}", "")) >= LEAST_LETTERS), F.lit(False))
+
+
 @F.pandas_udf(ST.ArrayType(ST.StringType()))
 def natural_text(text: pd.Series, kind: pd.Series) -> pd.Series:
     """The natural-language strings of a state or of questions: of its string values if kind is json, else of the text itself."""

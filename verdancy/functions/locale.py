@@ -97,12 +97,12 @@ def ascii_label(name: Column) -> Column:
 
 
 def percent_text(value: Column) -> Column:
-    return F.when(value.isNull(), "-").otherwise(F.format_string("%.1f%%", value * 100))
+    return F.when(value.isNull(), "-").otherwise(F.concat(X.fixed_text(value * 100, 1), F.lit("%")))
 
 
 def points_text(value: Column) -> Column:
-    return F.when(value.isNull(), "-").otherwise(F.format_string("%.1f pts", value * 100))
+    return F.when(value.isNull(), "-").otherwise(F.concat(X.fixed_text(value * 100, 1), F.lit(" pts")))
 
 
 def decimal_text(value: Column, digits: int = 3) -> Column:
-    return F.when(value.isNull(), "-").otherwise(F.format_string(f"%.{digits}f", value))
+    return F.when(value.isNull(), "-").otherwise(X.fixed_text(value, digits))

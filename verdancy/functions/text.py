@@ -189,6 +189,37 @@ def content_id(prefix: Column, sha: Column) -> Column:
     return F.concat(prefix, F.substring(sha, 1, 10))
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """A double with so many decimals, rounded by its exact binary value, ties to even (as printf does).
+
+    value * 10**digits is worked out as product and exact error of the product
+    (the value is split into two halves, whose products with a power of ten
+    below 2**26 are exact), so no tie is made or missed by rounding on the way.
+    Where value * 10**digits is beyond 2**52, the shortest text is rounded.
+    """
+    scale = 10.0**digits
+    if not 0 <= digits <= 7:
+        raise ValueError("0 to 7 decimals")
+
+    def text(x: Column) -> Column:
+        size = F.abs(x)
+        wide = size * 134217729.0
+        high = wide - (wide - size)
+        product = size * scale
+        error = (high * scale - product) + (size - high) * scale
+        below = F.floor(product)
+        beyond = (product - below.cast("double")) - 0.5  # exact, as both lie within a unit of each other
+        up = (beyond > -error) | ((beyond == -error) & (below % 2 == 1))
+        units = below + F.when(up, 1).otherwise(0)
+        rest = F.pmod(units, F.lit(int(scale)))
+        whole = F.floor((units - rest) / int(scale))
+        shown = F.concat(whole.cast("string"), F.lit("."), F.lpad(rest.cast("string"), digits, "0")) if digits else units.cast("string")
+        sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+        return F.when(F.isnan(x), "nan").when(size > 1.7976931348623157e308, F.concat(sign, F.lit("inf"))).when(size * scale < 2.0**52, F.concat(sign, shown)).otherwise(F.format_string(f"%.{digits}f", x))
+
+    return let(value.cast("double"), text)
+
+
 def percent(a: Column, b: Column) -> Column:
     """One digit, or n/a for nothing of nothing."""
-    return F.when(b == 0, "n/a").otherwise(F.format_string("%.1f%%", F.try_divide(100.0 * a, b)))
+    return F.when(b == 0, "n/a").otherwise(F.concat(fixed_text(F.try_divide(100.0 * a, b), 1), F.lit("%")))

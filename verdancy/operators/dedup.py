@@ -251,10 +251,3 @@ def permuted(df: DataFrame, options: str, seed: int, row_id: str, least: int = 3
     out = df.where(F.size(options) >= least).withColumn(options, F.when(mixed == F.col(options), turned).otherwise(mixed))
     return out.withColumn(row_id, F.concat(F.col(row_id).cast("string"), F.lit("-perm")))
 
-
-def contaminated(df: DataFrame, text: str, reference: DataFrame, reference_text: str, row_id: str, n: int = 8) -> DataFrame:
-    """Rows that share a run of n words with a reference text. Only ids and hashes of the runs are shuffled."""
-    grams = lambda c: F.explode(F.array_distinct(F.transform(X.ngrams(X.word_tokens(F.col(c)), n), lambda g: F.struct(F.xxhash64(g).alias("a"), F.xxhash64(F.lit(n), g).alias("b"))))).alias("_gram")
-    known = reference.select(grams(reference_text)).distinct()
-    hits = df.select(row_id, grams(text)).join(known, "_gram", "left_semi").select(row_id).distinct()
-    return df.join(hits, row_id, "left_semi")

@@ -17,11 +17,12 @@ from ..functions import dist as D
 from ..functions import jsontext as J
 from ..functions import text as X
 from ..sources import records as R
+from . import copyguard as G
 from . import dedup as DD
 from . import labels as L
 from . import picks as P
 from . import stats as ST
-from .rows import QUESTIONS, UNKNOWN
+from .rows import QUESTIONS, UNKNOWN, clean_writer_dist
 
 DETAIL = 300
 NONE = "cast(null as string)"
@@ -55,6 +56,9 @@ def salvaged(rows: DataFrame) -> DataFrame:
     renamed = F.transform("questions", lambda q, i: F.struct(F.get("_new", i).alias("field"), q["type"].alias("type"), q["instructions"].alias("instructions"), q["options"].alias("options")))
     moved = F.array_compact(F.transform("questions", lambda q, i: F.when(q["field"] != F.get("_new", i), F.concat(F.lit("renamed '"), q["field"], F.lit("'")))))
     done = names.withColumns({"_old": F.col("questions"), "questions": renamed, "_moved": moved})
+    if "writer_dist" in rows.columns:  # the writer's answers follow their questions
+        place = lambda w: F.array_position(F.transform("_old", lambda q: q["field"]), w["field"])
+        done = done.withColumn("writer_dist", F.transform("writer_dist", lambda w: w.withField("field", F.when(place(w) > 0, F.get("_new", (place(w) - 1).cast("int"))).otherwise(w["field"]))))
     judged = F.transform("questions", lambda q: F.struct(q.alias("q"), C.question_problems(q).alias("p")))
     done = done.withColumn("_judged", judged)
     bad = F.transform(F.filter("_judged", lambda j: F.size(j["p"]) > 0), lambda j: F.concat(F.lit("dropped malformed question "), j["q"]["field"], F.lit(": "), F.substring(F.array_join(j["p"], "; "), 1, 120)))
@@ -76,12 +80,50 @@ def leak_problems(questions: Column, writer: Column | None = None) -> Column:
     return F.flatten(F.transform(questions, one))
 
 
-def validated(rows: DataFrame, min_q: int = 2, denied: Column | None = None) -> DataFrame:
-    """Rows with reason and detail, null for those that stay: scrub, salvage, enough questions, row checks, leaks."""
+def with_natural_text(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with their natural-language strings joined by spaces: the state's, then of each question the instructions and descriptions."""
+    asked = F.flatten(F.transform("questions", lambda q: F.concat(F.array(q["instructions"]), F.transform(q["options"], lambda o: o["description"]))))
+    kind = F.when(F.col("state_kind") == "string", "string").otherwise("json")
+    parts = rows.withColumn("_a", J.natural_text(F.col("state"), kind))
+    return parts.withColumn(name, F.concat_ws(" ", "_a", F.filter(asked, J.speaks))).drop("_a")
+
+
+def cleaned_writer(questions: Column, writer_dist: Column) -> Column:
+    """array<struct<field, values, dist, label>>: the writer's distributions over the options of the questions asked; broken ones go."""
+
+    def one(w: Column) -> Column:
+        q = F.get(F.filter(questions, lambda q: q["field"] == w["field"]), F.lit(0))
+        values = F.when(q["type"] == "noul", F.array(F.lit("no"), F.lit("yes"))).otherwise(F.transform(q["options"], lambda o: o["value"]))
+        dist = clean_writer_dist(values, w["keys"], w["probabilities"])
+        return F.struct(w["field"].alias("field"), values.alias("values"), dist.alias("dist"), D.label_of(dist, values).alias("label"))
+
+    return F.filter(F.transform(writer_dist, one), lambda w: w["values"].isNotNull() & w["dist"].isNotNull())
+
+
+def validated(rows: DataFrame, min_q: int = 2, denied: Column | None = None, prompts: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """Rows with reason and detail, null for those that stay: scrub, salvage, enough questions, row checks, leaks.
+
+    With prompts (a table and its text column; ids are unique then), rows that
+    copy a run of their words fail the row checks.  A column writer_dist (field,
+    keys, probabilities) comes back clean and says what the writer holds right;
+    with a column detected (label, probability, segments of n characters and
+    label) the rows get language, which marks and drops nothing.
+    """
     done = salvaged(scrubbed(rows))
     few = F.col("n_kept") < F.greatest(F.lit(min_q), F.floor((F.col("asked") + 1) / 2))
-    problems = C.row_problems(F.col("state"), F.col("state_kind"), F.col("questions"), denied, min_q)
-    writer = F.col("writer") if "writer" in rows.columns else None
+    copied = None
+    if prompts is not None or "detected" in rows.columns:
+        done = with_natural_text(done, "_natural")
+    if prompts is not None:
+        done, copied = G.with_copied(done, "_natural", *prompts, "id"), F.col("copied")
+    problems = C.row_problems(F.col("state"), F.col("state_kind"), F.col("questions"), denied, min_q, copied=copied)
+    if "writer_dist" in rows.columns:
+        done = done.withColumn("writer_dist", cleaned_writer(F.col("questions"), F.col("writer_dist")))
+    if "detected" in rows.columns:
+        d = F.col("detected")
+        done = done.withColumn("language", C.language_verdict(F.col("lang"), F.col("_natural"), d["label"], d["probability"], d["segments"]))
+    done = done.drop("_natural", "copied")
+    writer = F.col("writer_dist") if "writer_dist" in rows.columns else F.col("writer") if "writer" in rows.columns else None
     done = done.withColumns({"_p": problems, "_l": leak_problems(F.col("questions"), writer)})
     reason = F.when(few | (F.size("_p") > 0), "schema").when(F.size("_l") > 0, "leak")
     notes = F.array_join("notes", "; ")

@@ -45,7 +45,7 @@ def option_bucket(n: Column) -> Column:
 
 def gold_position(place: Column, n: Column) -> Column:
     """The gold's place as a share of the way, one digit."""
-    return F.format_string("%.1f", place / F.greatest(F.lit(1), n - 1))
+    return X.fixed_text(place / F.greatest(F.lit(1), n - 1), 1)
 
 
 def label_balance(df: DataFrame, key: str, label: str) -> DataFrame:

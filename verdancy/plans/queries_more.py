@@ -9,6 +9,7 @@ from ..functions import dist as D
 from ..functions import text as X
 from ..operators import compare as CP
 from ..operators import decide as DC
+from ..operators import copyguard as G
 from ..operators import dedup as DD
 from ..operators import fixsets as FX
 from ..operators import labels as L
@@ -264,12 +265,20 @@ def stripped_records(spark, sf):
     return out.select(F.col("id").cast("long").alias("doc_id"), "reasoning", F.lit(len(out.columns)).alias("n_columns"))
 
 
-@query("row_problems", """
-SELECT doc_id, concat_ws('; ', CASE WHEN length(trim(text)) < 15 THEN 'state too short' END, CASE WHEN contains(text, '<decision>') THEN 'reserved marker in text' END,
-CASE WHEN doc_id % 5 = 0 THEN 'topic: bad option label' END, CASE WHEN doc_id % 7 = 0 THEN 'mood: empty score level' END) AS problems FROM documents""")
+@query("row_problems", r"""
+WITH n AS (SELECT doc_id, text, concat_ws('; ', CASE WHEN length(trim(text)) < 15 THEN 'state too short' END, CASE WHEN doc_id % 5 = 0 THEN 'topic: bad option label' END,
+CASE WHEN doc_id % 7 = 0 THEN 'mood: empty score level' END, CASE WHEN contains(text, '<decision>') THEN 'reserved marker in text' END) AS problems FROM documents),
+t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM n WHERE problems = ''),
+b AS (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT w, unnest(range(1, len(w) - 6)) AS i FROM b)),
+x AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t)),
+h AS (SELECT doc_id, arg_min(gram, i) AS copied FROM x SEMI JOIN g USING (gram) GROUP BY doc_id)
+SELECT n.doc_id, CASE WHEN copied IS NOT NULL THEN concat('copies prompt text: ', chr(39), copied, chr(39)) ELSE problems END AS problems FROM n LEFT JOIN h ON h.doc_id = n.doc_id""")
 def row_problems(spark, sf):
-    questions = F.transform("questions", lambda q, i: q.withField("field", F.when(i == 0, "quality").otherwise(q["field"])))
-    return document_rows(spark, sf).select("doc_id", F.array_join(C.row_problems(F.col("state"), F.col("state_kind"), questions), "; ").alias("problems"))
+    """The benchmark stands for the prompts that no state may copy."""
+    rows = document_rows(spark, sf).withColumn("questions", F.transform("questions", lambda q, i: q.withField("field", F.when(i == 0, "quality").otherwise(q["field"]))))
+    rows = G.with_copied(rows, "state", table(spark, sf, "benchmark"), "text", "doc_id")
+    return rows.select("doc_id", F.array_join(C.row_problems(F.col("state"), F.col("state_kind"), F.col("questions"), copied=F.col("copied")), "; ").alias("problems"))
 
 
 @query("paraphrase_records", """

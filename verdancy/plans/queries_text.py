@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import checks as C
 from ..functions import contact as CT
 from ..functions import text as X
+from ..operators import copyguard as G
 from ..operators import dedup as DD
 from ..operators import fixsets as FX
 from ..operators import picks as P
@@ -103,7 +104,7 @@ g AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT w, u
 x AS (SELECT doc_id, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t))
 SELECT DISTINCT doc_id FROM x WHERE gram IN (SELECT gram FROM g)""")
 def ngram_contamination(spark, sf):
-    return DD.contaminated(docs(spark, sf).select("doc_id", "text"), "text", table(spark, sf, "benchmark"), "text", "doc_id").select("doc_id")
+    return G.contaminated(docs(spark, sf).select("doc_id", "text"), "text", table(spark, sf, "benchmark"), "text", "doc_id").select("doc_id")
 
 
 @query("state_decontamination", f"SELECT doc_id FROM documents WHERE {KEY} IN (SELECT {KEY} FROM benchmark)")
