@@ -122,13 +122,12 @@ def validated(rows: DataFrame, min_q: int = 2, denied: Column | None = None, pro
     if "detected" in rows.columns:
         d = F.col("detected")
         done = done.withColumn("language", C.language_verdict(F.col("lang"), F.col("_natural"), d["label"], d["probability"], d["segments"]))
-    done = done.drop("_natural", "copied")
     writer = F.col("writer_dist") if "writer_dist" in rows.columns else F.col("writer") if "writer" in rows.columns else None
     done = done.withColumns({"_p": problems, "_l": leak_problems(F.col("questions"), writer)})
     reason = F.when(few | (F.size("_p") > 0), "schema").when(F.size("_l") > 0, "leak")
     notes = F.array_join("notes", "; ")
     detail = F.when(few, F.when(notes == "", "too few valid questions").otherwise(notes)).when(F.size("_p") > 0, F.array_join("_p", "; ")).when(F.size("_l") > 0, F.array_join("_l", "; "))
-    return done.withColumns({"reason": reason, "detail": F.substring(detail, 1, DETAIL)}).drop("_p", "_l")
+    return done.withColumns({"reason": reason, "detail": F.substring(detail, 1, DETAIL)}).drop("_p", "_l", "_natural", "copied")
 
 
 def target_problems(rows: DataFrame) -> Column:
