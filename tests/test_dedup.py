@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,3 +42,28 @@ def test_permuted_copies_differ_and_hold_the_same_options(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("id"), F.array(F.lit("a"), F.lit("b"), F.lit("c")).alias("o"))
     rows = DD.permuted(df, "o", 3, "id").collect()
     assert len(rows) == 50 and all(r.o != ["a", "b", "c"] and sorted(r.o) == ["a", "b", "c"] and r.id.endswith("-perm") for r in rows)
+
+
+def in_order(entries):
+    """The rows that a plain pass keeps, of {ord: (group, buckets)}."""
+    kept, held = set(), {}
+    for o, (g, buckets) in sorted(entries.items()):
+        if not any(other != g for b in buckets for other in held.get(b, ())):
+            kept.add(o)
+            for b in buckets:
+                held.setdefault(b, []).append(g)
+    return kept
+
+
+@pytest.mark.parametrize("seed, groups, buckets", [(1, 3, 8), (2, 40, 5), (3, 2, 60), (4, 1, 4)])
+def test_rounds_keep_what_a_pass_in_order_keeps(spark, seed, groups, buckets):
+    rng = random.Random(seed)
+    entries = {o: (f"g{rng.randrange(groups)}", {rng.randrange(buckets) for _ in range(rng.randint(1, 3))}) for o in rng.sample(range(5000), 160)}
+    df = spark.createDataFrame([(o, g, f"b{b}") for o, (g, bs) in entries.items() for b in bs], "ord long, grp string, bucket string")
+    assert {r.ord for r in DD.kept_first(df).collect()} == in_order(entries)
+
+
+def test_a_chain_of_rows_that_wait_for_each_other(spark):
+    entries = {o: (f"g{o}", {o, o + 1}) for o in range(9)}
+    df = spark.createDataFrame([(o, g, f"b{b}") for o, (g, bs) in entries.items() for b in bs], "ord long, grp string, bucket string")
+    assert {r.ord for r in DD.kept_first(df).collect()} == in_order(entries) == {0, 2, 4, 6, 8}

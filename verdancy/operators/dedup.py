@@ -7,7 +7,6 @@ order of partitions.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -98,75 +97,77 @@ def band_table(df: DataFrame, key: Column, *columns: str) -> DataFrame:
     return df.select(*columns, _bands(key).alias("bands"))
 
 
-def band_edges(bands: DataFrame, order: str) -> DataFrame:
-    """(u, v) links of rows(order, bands) that share a band, as stars round each band's first row."""
-    each = bands.select(order, F.posexplode("bands").alias("band", "hash"))
-    first = each.groupBy("band", "hash").agg(F.min(order).alias("v"), F.count("*").alias("n")).where("n > 1")
-    return each.join(first, ["band", "hash"]).select(F.col(order).alias("u"), "v").where("u <> v").distinct()
+def _two_firsts(rows: DataFrame, bucket: list[str], when: Column | None = None, name: str = "") -> DataFrame:
+    """For each bucket of rows(ord, grp) the first row (struct o, grp) and the first of another group than its (other).
 
+    Partial minima by bucket and group, then over the groups: a bucket's rows never meet in one task.
+    """
+    order = F.col("ord") if when is None else F.when(when, F.col("ord"))
+    each = rows.groupBy(*bucket, "grp").agg(F.min(order).alias("o")).where("o is not null")
+    first = each.groupBy(*bucket).agg(F.min(F.struct("o", "grp")).alias("_f"))
+    other = F.min(F.when(F.col("grp") != F.col("_f.grp"), F.col("o")))
+    return each.join(first, bucket).groupBy(*bucket, F.col("_f").alias(f"{name}first")).agg(other.alias(f"{name}other"))
 
-class _Pass:
-    """The keep-first pass over one component: a row goes if a kept row of another group shares a band or key.
 
-    Of each band only the first kept row and the first of another group than its can ever be the answer.
-    """
+def _earlier(name: str) -> Column:
+    """The first row of the bucket of another group than the row's, if it comes before the row."""
+    found = F.when(F.col("grp") != F.col(f"{name}first.grp"), F.col(f"{name}first.o")).otherwise(F.col(f"{name}other"))
+    return F.when(found < F.col("ord"), found)
+
 
-    def __init__(self):
-        self.bands: dict[tuple[int, int], list[tuple[int, str]]] = {}
-        self.keys: dict[bytes, tuple[int, str]] = {}
-        self.whole: dict[bytes, int] = {}
-
-    def judge(self, order: int, key: bytes, group: str, sha: bytes, bands) -> tuple[int | None, str | None]:
-        if sha in self.whole:
-            return self.whole[sha], "identical_row"
-        self.whole[sha] = order
-        if key in self.keys and self.keys[key][1] != group:
-            return self.keys[key][0], "exact"
-        places = list(enumerate(bands))
-        near = [next((o for o, g in self.bands.get(k, ()) if g != group), None) for k in places]
-        near = [o for o in near if o is not None]
-        if near:
-            return min(near), "minhash"
-        self.keys.setdefault(key, (order, group))
-        for k in places:
-            kept = self.bands.setdefault(k, [])
-            if not kept or (len(kept) == 1 and kept[0][1] != group):
-                kept.append((order, group))
-        return None, None
-
-
-def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by component and order; the state of one component is held, its rows are not."""
-    label, run = None, _Pass()
-    for pdf in batches:
-        out = []
-        for row in pdf.itertuples(index=False):
-            if row.label != label:
-                label, run = row.label, _Pass()
-            out.append((row.ord, *run.judge(row.ord, row.key, row.grp, row.sha, row.bands)))
-        yield pd.DataFrame(out, columns=["ord", "dup_of", "kind"]).astype({"dup_of": "Int64"})
+def kept_first(entries: DataFrame) -> DataFrame:
+    """The rows that a pass in order keeps: (ord) of entries(ord, grp, bucket), where a row goes if a kept row before it,
+    of another group, shares a bucket.
+
+    Decided in rounds, whole buckets at a time: a row stays once no undecided or kept row of another group is before it
+    in any of its buckets, and goes once a kept one is.  The first undecided row is always decided, and a bucket's first
+    row decides all that it beats, so the rounds are as many as the longest chain of rows that wait for each other.
+    """
+    require_shared_dir(entries)
+    mixed = entries.groupBy("bucket").agg((F.min("grp") != F.max("grp")).alias("_mixed")).where("_mixed").select("bucket")
+    live = entries.join(mixed, "bucket", "left_semi").withColumn("kept", F.lit(False)).checkpoint()
+    gone = None
+    while True:
+        undecided = live.where("not kept")
+        if undecided.isEmpty():
+            break
+        firsts = _two_firsts(live, ["bucket"], name="any_").join(_two_firsts(live.where("kept"), ["bucket"], name="kept_"), "bucket", "left")
+        seen = undecided.join(firsts, "bucket").groupBy("ord").agg(F.max(_earlier("any_").isNotNull()).alias("_waits"), F.max(_earlier("kept_").isNotNull()).alias("_goes"))
+        seen = seen.where("_goes or not _waits").checkpoint()
+        lost = seen.where("_goes").select("ord")
+        gone = lost if gone is None else gone.union(lost)
+        after = live.join(seen, "ord", "left").where("not coalesce(_goes, false)")
+        live = after.select("ord", "grp", "bucket", (F.col("kept") | ~F.coalesce("_waits", F.lit(True))).alias("kept")).checkpoint()
+    rows = entries.select("ord").distinct()
+    return rows if gone is None else rows.join(gone, "ord", "left_anti")
 
 
 def dedup(df: DataFrame, key: Column, group: Column, sha: Column, order: str) -> DataFrame:
     """df with dup_of and kind by the order-dependent pass: identical row, exact key, shared MinHash band.
 
-    Only components of rows that share a band, a key or an identical row are
-    replayed, each apart; everything else is kept without a pass.  Keys travel as
-    digests and the signatures are worked out once.
+    A row goes if a row before it is the same (identical_row, whether that one
+    stayed or not), or if a kept row before it, of another group, has its key
+    (exact) or shares a band (minhash).  Which rows stay is settled in rounds
+    (:func:`kept_first`); what a row is a copy of is read off the kept rows after.
+    Keys travel as digests and the signatures are worked out once.  Orders must be
+    unique and not null.
     """
     require_shared_dir(df)
     rows = band_table(df.withColumn("_key", key).withColumns({"_grp": group.cast("string"), "_sha": sha}), F.col("_key"), order, "_key", "_grp", "_sha")
-    rows = rows.select(F.col(order).alias("ord"), X.digest(F.col("_key")).alias("key"), F.col("_grp").alias("grp"), X.digest(F.col("_sha")).alias("sha"), "bands").checkpoint()
-
-    def stars(column: str) -> DataFrame:
-        first = rows.groupBy(column).agg(F.min("ord").alias("v"), F.count("*").alias("n")).where("n > 1")
-        return rows.join(first, column).select(F.col("ord").alias("u"), "v").where("u <> v")
-
-    label = connected(band_edges(rows, "ord").union(stars("sha")).union(stars("key")))
-    members = rows.join(label.withColumnRenamed("node", "ord"), "ord")
-    dealt = members.repartition("label").sortWithinPartitions("label", "ord")
-    judged = dealt.mapInPandas(_replay, "ord long, dup_of long, kind string")
-    return df.join(judged.withColumnRenamed("ord", order), order, "left")
+    rows = rows.select(F.col(order).alias("ord"), X.digest(F.col("_key")).alias("key"), F.coalesce("_grp", F.lit("\0")).alias("grp"), X.digest(F.col("_sha")).alias("sha"), "bands").checkpoint()
+    same = rows.groupBy("sha").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
+    repeated = rows.select("ord", "sha").join(same, "sha").where("ord > first").select("ord", F.col("first").alias("dup_of"), F.lit("identical_row").alias("kind"))
+    judged = rows.join(repeated.select("ord"), "ord", "left_anti")
+    buckets = F.concat(F.array(F.hex("key")), F.transform("bands", lambda h, i: F.concat_ws(":", i.cast("string"), h.cast("string"))))
+    stay = kept_first(judged.select("ord", "grp", F.explode(buckets).alias("bucket"))).checkpoint()
+    kept, lost = judged.join(stay, "ord", "left_semi"), judged.join(stay, "ord", "left_anti")
+    by_key = lost.join(_two_firsts(kept, ["key"]), "key").select("ord", _earlier("").alias("exact"))
+    band = lambda side: side.select("ord", "grp", F.posexplode("bands").alias("place", "hash"))
+    by_band = band(lost).join(_two_firsts(band(kept), ["place", "hash"]), ["place", "hash"]).groupBy("ord").agg(F.min(_earlier("")).alias("near"))
+    found = lost.select("ord").join(by_key, "ord", "left").join(by_band, "ord", "left")
+    found = found.select("ord", F.coalesce("exact", "near").alias("dup_of"), F.when(F.col("exact").isNotNull(), "exact").otherwise("minhash").alias("kind"))
+    verdicts = repeated.unionByName(found).withColumnRenamed("ord", order)
+    return df.join(verdicts, order, "left")
 
 
 def require_shared_dir(df: DataFrame) -> None:
@@ -179,22 +180,6 @@ def require_shared_dir(df: DataFrame) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each component, by repeated minima until nothing changes."""
-    require_shared_dir(edges)
-    both = edges.select("u", "v").union(edges.select(F.col("v"), F.col("u"))).distinct().checkpoint()
-    label = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")).checkpoint()
-    while True:
-        near = both.join(label.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("m"))
-        low = label.join(near, "node").select("node", F.least("label", "m").alias("label"), (F.col("m") < F.col("label")).alias("moved"))
-        # follow the label's own label, so that chains halve
-        up = low.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        now = low.join(up, "label", "left").select("node", F.least("label", F.coalesce("top", "label")).alias("label"), "moved").checkpoint()
-        if not now.where("moved").limit(1).count():
-            return now.select("node", "label")
-        label = now.select("node", "label")
-
-
 def split_name(group: Column, seed: str = SPLIT_SEED) -> Column:
     """Stable split of a group: its hash against cumulative shares."""
     number = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}|"), group), 256), 1, 12), 16, 10).cast("double") / float(16**12)

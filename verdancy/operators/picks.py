@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import scans as SC
+
 
 def round_robin(df: DataFrame, bucket: str, row_id: str, n: int, reserved: str | None = None, reserve: int = 10) -> DataFrame:
     """n rows: the reserved bucket's first ones, then one row of each bucket in turn; buckets by their first id.
@@ -45,17 +47,12 @@ def plan_and_fill(df: DataFrame, name: str, row_id: str, plan: dict[str, int], f
 
 def islands(df: DataFrame, run: str, order: list[str], same: Column, size: int = 6) -> DataFrame:
     """df with island (consecutive rows of equal same within run) and chunk (size rows of an island)."""
-    w = Window.partitionBy(run).orderBy(*order)
-    marked = df.withColumn("_same", same).withColumn("_new", F.when(F.col("_same").eqNullSafe(F.lag("_same").over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1))
-    numbered = marked.withColumn("island", F.sum("_new").over(w))
-    inside = F.row_number().over(Window.partitionBy(run, "island").orderBy(*order))
-    return numbered.withColumn("chunk", F.floor((inside - 1) / size)).drop("_same", "_new")
+    return SC.islands(df, [run], [F.col(c) for c in order], same, size)
 
 
 def until_budget(df: DataFrame, run: str, order: list[Column], size: Column, start: Column, budget: Column) -> DataFrame:
     """Rows of each run until the running size, begun at start, reaches the budget; the row that reaches it stays."""
-    before = F.coalesce(F.sum(size).over(Window.partitionBy(run).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("_before", before + start).where(F.col("_before") < budget).drop("_before")
+    return SC.running(df, [run], order, {"_before": size}).where(F.col("_before") + start < budget).drop("_before")
 
 
 def token_batches(df: DataFrame, length: str, row_id: str, budget: int) -> DataFrame:
@@ -63,8 +60,8 @@ def token_batches(df: DataFrame, length: str, row_id: str, budget: int) -> DataF
 
     The pass runs over the histogram of lengths: rows of one length fill what is
     open up to budget // length rows, then batches of that many.  So one line a
-    length says where each of its rows goes, and no task sees more than the rows
-    of a length.
+    length says where each of its rows goes; rows of one length are numbered in
+    ranges, so no task sees more than a range.
     """
     counts = sorted((r[length], r["_n"]) for r in df.groupBy(length).agg(F.count("*").alias("_n")).collect())
     plan, batch, held = [], -1, 0  # the open batch and its rows
@@ -79,14 +76,14 @@ def token_batches(df: DataFrame, length: str, row_id: str, budget: int) -> DataF
             held += n
     kinds = dict(df.dtypes)
     lines = df.sparkSession.createDataFrame(plan, f"{length} {kinds[length]}, _batch long, _free long, _most long")
-    place = F.row_number().over(Window.partitionBy(length).orderBy(row_id)) - 1
-    placed = df.select(row_id, length).withColumn("_k", place).join(lines, length)
+    placed = SC.numbered(df.select(row_id, length), [length], [F.col(row_id)], "_k").join(lines, length)
     later = F.col("_batch") + 1 + F.floor((F.col("_k") - F.col("_free")) / F.col("_most"))
     return placed.select(row_id, length, F.when(F.col("_k") < F.col("_free"), F.col("_batch")).otherwise(later).cast("long").alias("batch"))
 
 
 def fixed_batches(df: DataFrame, run: str, order: list[str], size: int) -> DataFrame:
-    return df.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(run).orderBy(*order)) - 1) / size))
+    """df with batch: slices of so many rows of a run in that order."""
+    return SC.numbered(df, [run], [F.col(c) for c in order], "_place").withColumn("batch", F.floor(F.col("_place") / size)).drop("_place")
 
 
 def cyclic(index: Column, items: list) -> Column:

@@ -21,6 +21,7 @@ from . import copyguard as G
 from . import dedup as DD
 from . import labels as L
 from . import picks as P
+from . import scans as SC
 from . import stats as ST
 from .rows import QUESTIONS, UNKNOWN, clean_writer_dist
 
@@ -263,9 +264,7 @@ def assembled(parts: list[DataFrame], traces: DataFrame) -> tuple[DataFrame, Dat
     rows = gated(parts, traces)
     failed = rows.where("problem is not null").select("id", F.lit("row_check").alias("reason"), F.col("problem").alias("detail"))
     good = rows.where("problem is null").drop("problem")
-    DD.require_shared_dir(good)
-    # numbers in the order of (ord, id) without a window over all rows: they rise within and across the ranges
-    numbered = good.repartitionByRange("ord", "id").sortWithinPartitions("ord", "id").withColumn("_n", F.monotonically_increasing_id()).checkpoint()
+    numbered = SC.numbered(good, [], [F.col("ord"), F.col("id")], "_n")
     key = F.when(F.col("state_kind") == "string", X.state_key(F.col("state"))).otherwise(X.json_state_key(F.col("state")))
     sha = X.canonical_sha(key, F.to_json("questions"), F.to_json("targets"))
     marked = DD.dedup(numbered, key, X.group_key(F.col("tags"), F.col("id")), sha, "_n")

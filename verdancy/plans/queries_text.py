@@ -12,6 +12,7 @@ from ..operators import copyguard as G
 from ..operators import dedup as DD
 from ..operators import fixsets as FX
 from ..operators import picks as P
+from ..operators import scans as SC
 from ..operators import stats as ST
 from .catalogue import query
 
@@ -292,3 +293,24 @@ def set_labels(spark, sf):
     fix = F.when(k < 14, F.get(F.array(*[F.lit(name) for name, _ in ST.FIX_SETS]), F.greatest(k - 2, F.lit(0)))).when(k == 14, F.col("source"))
     tags = F.array(F.lit("domain:d"), F.concat(F.lit("fix:"), fix))
     return docs(spark, sf).select("doc_id", ST.set_of(origin, X.tag(F.array_compact(tags), "fix")).alias("s"))
+
+
+@query("positional_join", """
+WITH p AS (SELECT page_id, url, row_number() OVER (ORDER BY page_id) - 1 AS place FROM pages), d AS (SELECT doc_id, lang, row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS place FROM documents)
+SELECT place, page_id, url, doc_id, lang FROM p JOIN d USING (place)""")
+def positional_join(spark, sf):
+    """Pages in their order, each with the document that is as far down by length."""
+    pages, d = table(spark, sf, "pages").select("page_id", "url"), docs(spark, sf).select("doc_id", "lang", "n_chars")
+    return SC.zipped(pages, d, [F.col("page_id")], [-F.col("n_chars"), F.col("doc_id")]).select("place", "page_id", "url", "doc_id", "lang")
+
+
+@query("sales_running_totals", """
+WITH s AS (SELECT sale_id, client_id, sold_at, total, priority, arrived_at, status FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL AND total IS NOT NULL),
+r AS (SELECT *, row_number() OVER w AS rn, sum(cast(round(total * 100) AS BIGINT)) OVER w - cast(round(total * 100) AS BIGINT) AS before FROM s
+  WINDOW w AS (PARTITION BY client_id ORDER BY sold_at, sale_id, total ROWS UNBOUNDED PRECEDING))
+SELECT client_id, count(*) AS n, max(rn) - 1 AS last_place, sum(before)::BIGINT AS befores, count_if(before < 100000) AS in_budget FROM r GROUP BY client_id""")
+def sales_running_totals(spark, sf):
+    """What a client had bought before each sale, in cents: one client may hold a third of all sales."""
+    s = table(spark, sf, "sales").select("sale_id", "client_id", "sold_at", "total").where("client_id is not null and sold_at is not null and total is not null")
+    r = SC.running(s, ["client_id"], [F.col(c) for c in ("sold_at", "sale_id", "total")], {"before": F.round(F.col("total") * 100).cast("long")}, "place")
+    return r.groupBy("client_id").agg(F.count("*").alias("n"), F.max("place").alias("last_place"), F.sum("before").alias("befores"), F.count_if(F.col("before") < 100_000).alias("in_budget"))
