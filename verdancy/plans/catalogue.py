@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from . import queries_dist, queries_generate, queries_more, queries_rules, queries_stages, queries_text  # noqa: F401  they register themselves
+    from . import queries_cases, queries_dist, queries_generate, queries_more, queries_rules, queries_stages, queries_text  # noqa: F401  they register themselves
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
