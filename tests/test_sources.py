@@ -1,6 +1,8 @@
 import gzip
 import json
 
+from pyspark.sql import functions as F
+
 from verdancy.operators import picks as P
 from verdancy.sources import converters as CV
 from verdancy.sources import records as RC
@@ -47,3 +49,28 @@ def test_token_batches_are_the_sequential_pass(spark):
             want[i] = batch
         assert got == want
     assert P.token_batches(spark.createDataFrame([], "id long, n long"), "n", "id", 8).count() == 0
+
+
+def test_lines_keep_their_number_in_split_and_packed_files(spark, tmp_path):
+    import gzip
+
+    for k, n in enumerate([0, 1, 700, 40]):
+        text = "".join(f'{{"v": {k * 1000 + i}}}\n' if i % 9 else "\n" for i in range(n))
+        (tmp_path / f"plain{k}.jsonl").write_text(text)
+        with gzip.open(tmp_path / f"packed{k}.jsonl.gz", "wt") as f:
+            f.write(text)
+    want = {(f"{name}{k}", i, k * 1000 + i) for name in ("plain", "packed") for k, n in enumerate([0, 1, 700, 40]) for i in range(n) if i % 9}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = RC.read_numbered(spark, str(tmp_path / "*.jsonl*"), "v long").collect()
+        assert {(r.file.rsplit("/", 1)[1].split(".")[0], r.line, r.v) for r in rows} == want and len(rows) == len(want)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_manifest_is_the_digest_of_the_sorted_file(spark):
+    import hashlib
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.concat(F.lit("name "), F.col("id").cast("string")).alias("name")).repartition(7)
+    lines = sorted(f'{{"id":{i * 7919 % 5000},"name":"name {i}"}}' for i in range(5000))
+    assert tuple(RC.manifest(df, "id", "name").first()) == (5000, hashlib.sha256("\n".join(lines).encode()).hexdigest())

@@ -170,14 +170,16 @@ def dedup(df: DataFrame, key: Column, group: Column, sha: Column, order: str) ->
     return df.join(verdicts, order, "left")
 
 
-def require_shared_dir(df: DataFrame) -> None:
-    """checkpoint() needs a folder that executors share; only a local session gets one of its own."""
+def require_shared_dir(df: DataFrame) -> str:
+    """The folder that executors share, which checkpoint() needs; only a local session gets one of its own."""
     spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() is not None:
-        return
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="verdancy-"))
+        path = spark.sparkContext.getCheckpointDir()
+    return path.rstrip("/")
 
 
 def split_name(group: Column, seed: str = SPLIT_SEED) -> Column:

@@ -31,8 +31,9 @@ NONE = "cast(null as string)"
 
 def scrubbed(rows: DataFrame) -> DataFrame:
     """Rows with contact data replaced in state and questions, and pii_replaced, how much was."""
-    plain = CT.scrub("state", "lang")
-    nested = CT.scrub_json("state", "lang")
+    text = F.col("state_kind") == "string"  # each state goes through the pass of its kind, the other gets a null
+    plain = CT.scrub(F.when(text, F.col("state")), "lang")
+    nested = CT.scrub_json(F.when(~text, F.col("state")), "lang")
     done = rows.withColumns({"_t": plain, "_j": nested, "_q": CT.scrub_json(F.to_json("questions"), "lang")})
     state = F.when(F.col("state_kind") == "string", F.col("_t")).otherwise(F.col("_j"))
     return done.withColumns({"state": F.coalesce(state["text"], "state"), "questions": F.from_json("_q.text", QUESTIONS), "pii_replaced": F.coalesce(state["hits"], F.lit(0)) + F.coalesce("_q.hits", F.lit(0))}).drop("_t", "_j", "_q")

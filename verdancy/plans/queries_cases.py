@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import casebook as CB
+from ..operators import dedup as DD
+from ..sources import converters as CV
 from .catalogue import query
 from .queries_generate import UNIT
 from .queries_text import table
@@ -118,3 +122,44 @@ def pool_names(spark, sf):
     person = CB.cases(rows, "o_orderkey", "leave_policy", own).select("o_orderkey", F.regexp_extract("state", r"^(.*?) asks for", 1).alias("person"))
     org = CB.cases(rows, "o_orderkey", "insurance_claim", own).select("o_orderkey", F.regexp_extract("state", r"^(.*?): devices", 1).alias("org"))
     return person.join(org, "o_orderkey")
+
+
+HEAD = "id string, group_id string, source string, state string, state_kind string, kind string, question string, options array<string>, target array<double>, question_id string, language string, license string"
+
+
+@query("grouped_heads", """
+WITH t AS (SELECT conv_id % 4 AS run, conv_id // 8 AS grp, conv_id, turn, role, row_number() OVER (PARTITION BY conv_id % 4, conv_id // 8 ORDER BY conv_id, turn, role, text) - 1 AS rn FROM conversations WHERE conv_id % 5 <> 0),
+c AS (SELECT run, grp, rn // 6 AS chunk, count(*) AS n, string_agg(CASE WHEN role = 'user' THEN 'asks' ELSE 'answers' END, ',' ORDER BY rn) AS labels FROM t GROUP BY ALL)
+SELECT concat('a conversation of group ', grp) AS state, n, array_to_string(list_transform(range(0, n), lambda i: concat('speaker', repeat('_2', i))), ',') AS fields, labels FROM c""")
+def grouped_heads(spark, sf):
+    """Turns as decision heads, written to four gzipped files of JSON lines and read back in the order of their lines."""
+    c = table(spark, sf, "conversations")
+    asks = F.col("role") == "user"
+    heads = c.select(
+        (F.col("conv_id") % 4).alias("run"), "conv_id", "turn", "role", "text", F.concat_ws(":", "conv_id", "turn").alias("id"), F.floor(F.col("conv_id") / 8).cast("string").alias("group_id"), F.lit("talks").alias("source"),
+        F.concat(F.lit("a conversation of group "), F.floor(F.col("conv_id") / 8).cast("string")).alias("state"), F.lit("string").alias("state_kind"), F.lit("choice").alias("kind"), F.lit("Who speaks?").alias("question"),
+        F.array(F.lit("asks: wants to know"), F.lit("answers: knows")).alias("options"), F.when(asks, F.array(F.lit(0.9), F.lit(0.1))).otherwise(F.array(F.lit(0.2), F.lit(0.8))).alias("target"),
+        F.lit("speaker").alias("question_id"), F.when(F.col("conv_id") % 5 == 0, "de").otherwise("en").alias("language"), F.lit("CC0-1.0").alias("license"),
+    )
+    path = f"{DD.require_shared_dir(c)}/verdancy/heads-{uuid.uuid4().hex}"
+    ordered = heads.repartitionByRange(4, "run").sortWithinPartitions("run", "conv_id", "turn", "role", "text")
+    ordered.drop("conv_id", "turn", "role", "text").write.option("compression", "gzip").partitionBy("run").json(path)
+    out = CV.grouped_heads(CV.head_files(spark, f"{path}/*/*.json.gz", HEAD), "en", "talks", "file", "line")
+    said = lambda c, f: F.array_join(F.transform(c, lambda x: x[f]), ",")
+    return out.select("state", F.size("questions").cast("long").alias("n"), said("questions", "field").alias("fields"), said("targets", "label").alias("labels"))
+
+
+@query("typed_decisions", """
+SELECT concat('en-p-typed-', doc_id) AS id, CASE WHEN p > 1 - p THEN 'yes' ELSE 'no' END AS good, round(greatest(p, 1 - p), 4) AS sure, CASE WHEN q >= 0.5 THEN 'short' ELSE 'long' END AS size
+FROM (SELECT doc_id, text, CASE quality WHEN 1 THEN 0.8 ELSE 0.3 END AS p, (n_chars % 11) / 10.0 AS q FROM documents JOIN labels USING (doc_id)) WHERE length(trim(text)) >= 15 AND NOT contains(text, '<decision>')""")
+def typed_decisions(spark, sf):
+    """Labelled documents as rows with JSON questions and JSON probabilities."""
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    p, q = F.when(F.col("quality") == 1, 0.8).otherwise(0.3), F.col("n_chars") % 11 / F.lit(10.0)
+    questions = F.lit('{"good": {"type": "noul", "instructions": "Is it good?"}, "size": {"type": "choice", "instructions": "How long?", "criteria": {"short": "a few words", "long": "many words"}}}')
+    share = lambda *held: F.to_json(F.struct(F.struct(*[v.alias(k) for k, v in held]).alias("probabilities")))
+    gold = F.concat(F.lit('{"good": '), share(("true", p), ("false", 1 - p)), F.lit(', "size": '), share(("short", q), ("long", 1 - q)), F.lit("}"))
+    rows = d.select(F.col("doc_id").alias("id"), F.col("text").alias("state"), F.col("source").alias("workflow"), questions.alias("questions"), gold.alias("gold"))
+    t = F.col("targets")
+    out = CV.typed_decisions(rows)
+    return out.select("id", t[0]["label"].alias("good"), F.round(F.array_max(t[0]["dist"]), 4).alias("sure"), t[1]["label"].alias("size"))

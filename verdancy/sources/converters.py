@@ -10,6 +10,7 @@ from ..functions import dist as D
 from ..functions import text as X
 from ..operators.picks import islands
 from ..operators.rows import OPTION
+from . import records as R
 
 QUESTIONS_PER_ROW = 6
 # What a line about a licence looks like, what says which one applies, and what is legal text alone.
@@ -211,6 +212,6 @@ def typed_decisions(df: DataFrame, split: str = "train", limit: int | None = Non
     return records(rows, "en", "typed-decisions", "apache-2.0", F.concat(F.lit("en-p-typed-"), key), tags, F.col("_q"), F.col("_t"), limit)
 
 
-def gzip_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Gzipped JSON lines with their place in the file, as one head's order matters."""
-    return spark.read.schema(schema).json(path).withColumn("ord", F.monotonically_increasing_id())
+def head_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Decision heads of (compressed) JSON-line files with file and line, for grouped_heads(run="file", order="line")."""
+    return R.read_numbered(spark, path, schema)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -20,6 +24,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value) of text files, also compressed ones: line counts from 0 in each file, however the files are split and packed.
+
+    A split knows where in its file it begins, so its lines are numbered by themselves and the lines of the splits before it are added.
+    """
+    meta = F.col("_metadata")
+    lines = spark.read.text(path).select(meta["file_path"].alias("file"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_id"), "value")
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("file", "_block").agg(F.count("*").alias("_n")).select("file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("file", "_block").orderBy("_id")) - 1  # a split is read by one task, so its ids rise
+    return lines.withColumn("_at", inside).join(blocks, ["file", "_block"]).select("file", (F.col("_before") + F.col("_at")).alias("line"), "value")
+
+
+def read_numbered(spark: SparkSession, path: str, schema: ST.StructType | str) -> DataFrame:
+    """JSON lines with file and line; blank lines are skipped and keep their number."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
+    return lines.select("file", "line", F.from_json("value", schema).alias("r")).select("file", "line", "r.*")
+
+
 def read_lines(spark: SparkSession, path: str, schema: ST.StructType = RECORD) -> DataFrame:
     """JSON lines, also gzipped; a missing file is empty and blank lines are skipped.
 
@@ -75,9 +98,11 @@ def first_ids(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     rows = None
     for k, path in enumerate(paths):
-        part = read_lines(spark, path).withColumn("_file", F.lit(k)).withColumn("_line", F.monotonically_increasing_id())
+        if not exists(spark, path):
+            continue
+        part = read_numbered(spark, path, RECORD).withColumn("_file", F.struct(F.lit(k), "file")).withColumnRenamed("line", "_line").drop("file")
         rows = part if rows is None else rows.unionByName(part)
-    return first_by(rows, ["id"], ["_file", "_line"]).drop("_file", "_line")
+    return spark.createDataFrame([], RECORD) if rows is None else first_by(rows, ["id"], ["_file", "_line"]).drop("_file", "_line")
 
 
 def union_in_order(parts: list[DataFrame]) -> DataFrame:
@@ -96,13 +121,30 @@ def digest(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.sum(half).alias("digest"))
 
 
+def _hashed(ends: str):
+    """The lines of a stream as (n, digest): state and one batch are all that is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha, n = hashlib.sha256(), 0
+        for batch in batches:
+            if batch.num_rows:
+                text = ends.join(batch.column(0).to_pylist())
+                sha.update(((ends if n else "") + text).encode())
+                n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([sha.hexdigest()])], names=["n", "digest"])
+
+    return run
+
+
 def manifest(df: DataFrame, *columns: str) -> DataFrame:
     """One row: rows, and the SHA-256 of the table's JSON lines in sorted order, as of the file itself.
 
-    The lines are hashed in one place, so this is for files that ship as one (test splits); digest() has no order and no bound.
+    The lines are sorted in ranges and hashed as one stream over the ranges in order, a batch at a time: such a digest
+    goes over its bytes one after the other, so this is for files that ship as one (test splits).  digest() has no order
+    and is summed up anywhere.
     """
     lines = df.select(F.to_json(F.struct(*columns)).alias("l"))
-    return lines.agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("l")), "\n"), 256).alias("digest"))
+    return lines.orderBy("l").coalesce(1).mapInArrow(_hashed("\n"), "n long, digest string")
 
 
 def append_log(df: DataFrame, path: str, text: str) -> None:
