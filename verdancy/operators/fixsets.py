@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dist as D
 from ..functions import text as X
+from . import scans as SC
 from .dedup import require_shared_dir
 from .picks import cyclic
 
@@ -167,10 +168,10 @@ def ordinal_rows(answers: DataFrame, keys: list[str]) -> DataFrame:
     return split.select(*keys, D.ordinal_smooth(D.mean(F.transform("_all", lambda s: s["dist"]))).alias("dist"))
 
 
-def rule_rows(n: int, rules: list[str], variants: int, spark) -> DataFrame:
-    """(i, rule, variant), cycling over the rules and then over their variants."""
-    rows = spark.range(n).withColumnRenamed("id", "i")
-    return rows.withColumn("rule", cyclic(F.col("i"), rules)).withColumn("variant", F.pmod(F.floor(F.col("i") / len(rules)), F.lit(variants)))
+def rule_rows(rows: DataFrame, order: list[Column], rules: list[str], variants: int) -> DataFrame:
+    """rows with i (their place in that order), rule and variant, cycling over the rules and then over their variants."""
+    placed = SC.numbered(rows, [], order, "i")
+    return placed.withColumn("rule", cyclic(F.col("i"), rules)).withColumn("variant", F.pmod(F.floor(F.col("i") / len(rules)), F.lit(variants)))
 
 
 def numbered(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import locale as LO
+from . import scans as SC
+from .dedup import require_shared_dir
 from .picks import weighted_choice
 
 #: Weights of the card plan.
@@ -157,9 +159,36 @@ def example_lines(rows: DataFrame, number: Column) -> DataFrame:
     return rows.select("id", F.concat_ws("\n", title, F.lit(""), facts, F.lit(""), F.lit("```"), F.col("state"), F.lit("```"), F.lit(""), tables).alias("text"))
 
 
-def markdown_table(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """One row: a report table as markdown. For reports of a few lines; the lines are joined in one place."""
-    cells = F.concat(F.lit("| "), F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]), " | "), F.lit(" |"))
-    lines = df.select(F.struct(*order, cells.alias("_line")).alias("s")).agg(F.array_sort(F.collect_list("s")).alias("all"))
-    head = f"| {' | '.join(columns)} |\n|{'---|' * len(columns)}\n"
-    return lines.select(F.concat(F.lit(head), F.array_join(F.transform("all", lambda s: s["_line"]), "\n")).alias("text"))
+def _cells(df: DataFrame, columns: list[str]) -> Column:
+    return F.concat(F.lit("| "), F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]), " | "), F.lit(" |"))
+
+
+def table_lines(df: DataFrame, columns: list[str], order: list[Column], title: str | None = None) -> DataFrame:
+    """(place, line): a table as markdown, its rows in order; with a title a section of a report, which ends in an empty line.
+
+    Rows are numbered in ranges, so a table of any length is laid out by many tasks.
+    """
+    head = [] if title is None else [f"## {title}", ""]
+    head += [f"| {' | '.join(columns)} |", f"|{'---|' * len(columns)}"]
+    fixed = [(i, line) for i, line in enumerate(head)] + ([] if title is None else [(1 << 62, "")])
+    rows = SC.numbered(df, [], order, "place").select((F.col("place") + len(head)).alias("place"), _cells(df, columns).alias("line"))
+    return df.sparkSession.createDataFrame(fixed, "place long, line string").unionByName(rows)
+
+
+def counted(rows: DataFrame, keys: dict[str, Column]) -> dict[str, DataFrame]:
+    """name -> (key, n): rows counted by each key, all in one pass over them (grouping sets)."""
+    require_shared_dir(rows)
+    named = {f"_g{i}": k.cast("string") for i, k in enumerate(keys.values())}
+    flat = rows.select(*[k.alias(c) for c, k in named.items()])
+    sets = flat.groupingSets([[c] for c in named], *named).agg(F.count("*").alias("n"), *[F.grouping(c).alias(f"{c}_off") for c in named]).checkpoint()
+    return {name: sets.where(F.col(f"{c}_off") == 0).select(F.col(c).alias("key"), "n") for name, c in zip(keys, named)}
+
+
+def report(title: str, sections: list[tuple[str, DataFrame, list[str], list[Column]]]) -> DataFrame:
+    """(section, place, line) of a report with a title and a table for each section (title, rows, columns, order)."""
+    out = None
+    for i, (name, df, columns, order) in enumerate(sections):
+        if out is None:
+            out = df.sparkSession.createDataFrame([(0, 0, f"# {title}"), (0, 1, "")], "section int, place long, line string")
+        out = out.unionByName(table_lines(df, columns, order, name).withColumn("section", F.lit(i + 1)))
+    return out

@@ -20,6 +20,11 @@ def round_robin(df: DataFrame, bucket: str, row_id: str, n: int, reserved: str |
     return ranked.orderBy(F.when(ahead, 0).otherwise(1), F.when(ahead, F.col("_rn")).otherwise(turn), "_first").limit(n).drop("_rn", "_first")
 
 
+def first(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first n rows in that order: each task keeps n at most, so nothing is sorted as a whole."""
+    return df.orderBy(*order).limit(n)
+
+
 def spread(df: DataFrame, bucket: str, row_id: str, order: Column, n: int) -> DataFrame:
     """n rows, one per id, cycling over the buckets in hash order."""
     one = df.withColumn("_k", order).withColumn("_rn", F.row_number().over(Window.partitionBy(row_id).orderBy("_k"))).where("_rn = 1")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import checks as C
 from ..functions import locale as LO
+from ..operators import dedup as DD
 from ..operators import generate as G
 from ..operators import labels as L
 from ..operators import rules as R
@@ -172,9 +175,31 @@ def example_pages(spark, sf):
 
 
 @query("report_table", """
-SELECT concat('| lang | n |', chr(10), '|---|---|', chr(10), string_agg(concat('| ', lang, ' | ', n, ' |'), chr(10) ORDER BY lang)) AS text FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)""")
+WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang)
+SELECT unnest([0, 1]) AS place, unnest(['| lang | n |', '|---|---|']) AS line UNION ALL SELECT row_number() OVER (ORDER BY lang) + 1, concat('| ', lang, ' | ', n, ' |') FROM c""")
 def report_table(spark, sf):
-    return G.markdown_table(docs(spark, sf).groupBy("lang").agg(F.count("*").alias("n")), ["lang", "n"], ["lang"])
+    return G.table_lines(docs(spark, sf).groupBy("lang").agg(F.count("*").alias("n")), ["lang", "n"], [F.col("lang")])
+
+
+_SECTION = "SELECT {i} AS section, place, line FROM (SELECT unnest([0, 1, 2, 3, 4611686018427387904]) AS place, unnest(['## {title}', '', '| key | n |', '|---|---|', '']) AS line UNION ALL SELECT row_number() OVER (ORDER BY n DESC, key NULLS FIRST) + 3, concat('| ', coalesce(key, '-'), ' | ', n, ' |') FROM (SELECT {key} AS key, count(*) AS n FROM {table} GROUP BY 1))"
+
+
+@query("written_report", f"""
+WITH l AS (SELECT 0 AS section, 0 AS place, '# Corpus' AS line UNION ALL SELECT 0, 1, ''
+UNION ALL {_SECTION.format(i=1, title='Languages', key='lang', table='documents')}
+UNION ALL {_SECTION.format(i=2, title='Sources', key='source', table='documents')}
+UNION ALL {_SECTION.format(i=3, title='Sizes', key="CASE WHEN n_chars < 1000 THEN 'short' WHEN n_chars < 5000 THEN 'middle' ELSE 'long' END", table='documents')}
+UNION ALL {_SECTION.format(i=4, title='Statuses', key='status', table='sales')})
+SELECT row_number() OVER (ORDER BY section, place) - 1 AS place, line AS value FROM l""")
+def written_report(spark, sf):
+    """A report of four sections (three of them counted in one pass), written in order and read back in the order of its files."""
+    size = F.when(F.col("n_chars") < 1000, "short").when(F.col("n_chars") < 5000, "middle").otherwise("long")
+    found = G.counted(docs(spark, sf), {"Languages": F.col("lang"), "Sources": F.col("source"), "Sizes": size})
+    found["Statuses"] = table(spark, sf, "sales").groupBy(F.col("status").alias("key")).agg(F.count("*").alias("n"))
+    lines = G.report("Corpus", [(name, df, ["key", "n"], [-F.col("n"), F.col("key")]) for name, df in found.items()])
+    path = f"{DD.require_shared_dir(lines)}/verdancy/report-{uuid.uuid4().hex}"
+    RC.write_ordered(lines, [F.col("section"), F.col("place")], "line", path)
+    return RC.read_ordered(spark, path)
 
 
 @query("agreement_sets", f"""

@@ -198,11 +198,17 @@ def rule_inverted(spark, sf):
 
 
 @query("rule_variants", """
-WITH n AS (SELECT unnest(range(0, 90)) AS i) SELECT i, ['deadline', 'discount', 'sum_limit'][i % 3 + 1] AS rule, (i // 3) % 4 AS variant, count(o_orderkey) AS orders FROM n LEFT JOIN orders ON o_orderkey % 90 = i GROUP BY ALL""")
+WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i FROM orders)
+SELECT o_orderkey, i, ['deadline', 'discount', 'sum_limit'][i % 3 + 1] AS rule, (i // 3) % 4 AS variant FROM n""")
 def rule_variants(spark, sf):
-    rows = FX.rule_rows(90, ["deadline", "discount", "sum_limit"], 4, spark)
-    o = table(spark, sf, "orders").groupBy((F.col("o_orderkey") % 90).alias("i")).agg(F.count("*").alias("orders"))
-    return rows.join(o, "i", "left").select("i", "rule", "variant", F.coalesce("orders", F.lit(0)).alias("orders"))
+    """Orders in the order of their dates, rules and variants taking turns."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return FX.rule_rows(o, [F.col("o_orderdate"), F.col("o_orderkey")], ["deadline", "discount", "sum_limit"], 4).select("o_orderkey", "i", "rule", "variant")
+
+
+@query("first_of_order", "SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 25")
+def first_of_order(spark, sf):
+    return P.first(docs(spark, sf).select("doc_id", "n_chars"), [F.desc("n_chars"), F.col("doc_id")], 25)
 
 
 @query("post_check", """

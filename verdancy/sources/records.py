@@ -37,6 +37,21 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.withColumn("_at", inside).join(blocks, ["file", "_block"]).select("file", (F.col("_before") + F.col("_at")).alias("line"), "value")
 
 
+def write_ordered(df: DataFrame, order: list[Column], text: str, path: str) -> None:
+    """A text column as files whose names follow the order: ranges, each sorted and written by one task."""
+    keys = {f"_o{i}": o for i, o in enumerate(order)}
+    rows = df.select(F.col(text).alias("value"), *[o.alias(c) for c, o in keys.items()])
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("value").write.text(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """(place, value) of the lines of a folder, from 0, file after file by name: what write_ordered wrote, in its order."""
+    lines = numbered_lines(spark, path)
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    files = lines.groupBy("file").agg(F.count("*").alias("_n")).select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return lines.join(files, "file").select((F.col("_before") + F.col("line")).alias("place"), "value")
+
+
 def read_numbered(spark: SparkSession, path: str, schema: ST.StructType | str) -> DataFrame:
     """JSON lines with file and line; blank lines are skipped and keep their number."""
     lines = numbered_lines(spark, path).where(F.trim("value") != "")
