@@ -151,3 +151,26 @@ def test_substring_dedup_of_long_and_common_passages(spark):
     got = {(r.doc_id, r.n_words): r.n_removed for r in out.collect()}
     assert got[0, 100] == 0 and {got[i, 100] for i in range(1, 120)} == {60}
     assert got[500, 30_000] == 0 and got[501, 30_001] == 30_000 and got[501, 1995] == 1995 and got[None, 60] == 0 and got[502, 60] == 60
+
+
+@pytest.mark.parametrize("seed", [31, 32, 33])
+def test_measured_recall_of_pairs_about_the_threshold(spark, monkeypatch, seed):
+    """Small leaves, so that every pair has to survive the splitting: links found of those that brute force finds."""
+    monkeypatch.setattr(J, "LEAF", 8)
+    rng = random.Random(seed)
+    docs = []
+    for _ in range(30):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 200))]
+        docs.append(base)
+        for _ in range(4):
+            near, n = list(base), len(base)
+            for place in rng.sample(range(n), rng.randint(1, max(1, n // 45))):  # each changes five of the shingles
+                near[place] = f"x{rng.randrange(10**6)}"
+            docs.append(near)
+    sets = [shingles(" ".join(d)) for d in docs]
+    links = {(i, j) for i in range(len(docs)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    close = sum(len(sets[i] & sets[j]) < 0.85 * len(sets[i] | sets[j]) for i, j in links)
+    assert len(links) > 150 and close > 20
+    got = J.jaccard_join(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")).collect()
+    found, wanted = sum(r.n_links for r in got), 2 * len(links)
+    assert wanted - 2 * 1 <= found <= wanted, (found, wanted)

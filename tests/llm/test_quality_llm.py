@@ -115,3 +115,14 @@ def test_rules_edges(spark):
     docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, n_words int, REASON string")
     out = Q.quality_rules(docs)
     assert sorted(out.columns) == sorted(["doc_id", "text", *Q.RESULT]) and out.count() == 4 and Q.quality_rules(docs.limit(0)).count() == 0
+
+
+def test_bands_reject_what_the_base_rules_pass(spark):
+    """Planted texts without repeated word windows and of enough words: noise and repetition go by their compression alone."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice(["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    noise = lambda n: " ".join("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(60)) for _ in range(n))
+    rows = [(1, prose(300)), (2, prose(3000)), (3, noise(60)), (4, noise(900)), (5, prose(120) + " " + "ab" * 9000), (6, prose(60) + " " + "-=" * 4000 + " " + prose(60)), (7, prose(900) + " " + noise(200)), (8, prose(80))]
+    got = {r.doc_id: r for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if r.kept} == {1, 2, 8}
