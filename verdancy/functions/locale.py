@@ -13,6 +13,7 @@ MONTHS = {
     "tr": ("Ocak", "Şubat", "Mart", "Nisan", "Mayıs", "Haziran", "Temmuz", "Ağustos", "Eylül", "Ekim", "Kasım", "Aralık"),
     "de": ("Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"),
 }
+MONTHS["de_AT"] = ("Jänner", *MONTHS["de"][1:])
 SHORT_MONTHS = {"en": ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")}
 DAYS = {
     "en": ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"),
@@ -26,9 +27,11 @@ DATE_PATTERNS = {
     "tr_TR": ("dd.MM.yyyy", "d MMMM y", "d MMMM y EEEE", "dd/MM/yyyy", "yyyy-MM-dd"),
     "de_DE": ("dd.MM.yyyy", "d. MMMM y", "EEEE, d. MMMM y", "d.M.yyyy", "yyyy-MM-dd"),
 }
-# Thousands sign, decimal sign, and money before or after the number.
-SIGNS = {"en_US": (",", "."), "en_GB": (",", "."), "tr_TR": (".", ","), "de_DE": (".", ",")}
-MONEY = {"en_US": "${}", "en_GB": "£{}", "tr_TR": "₺{}", "de_DE": "{} €"}
+DATE_PATTERNS["de_AT"] = DATE_PATTERNS["de_CH"] = DATE_PATTERNS["de_DE"]
+# Thousands sign, decimal sign, and money before or after the number; Austrian money has other thousands than its numbers.
+SIGNS = {"en_US": (",", "."), "en_GB": (",", "."), "tr_TR": (".", ","), "de_DE": (".", ","), "de_AT": ("\u00a0", ","), "de_CH": ("’", ".")}
+MONEY_SIGNS = {"de_AT": (".", ",")}
+MONEY = {"de_AT": "€\u00a0{}", "de_CH": "CHF\u00a0{}", "en_US": "${}", "en_GB": "£{}", "tr_TR": "₺{}", "de_DE": "{} €"}
 UNAMBIGUOUS_DAY = 12
 
 
@@ -36,18 +39,19 @@ def _name(names: tuple[str, ...], place: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), place)
 
 
-def _parts(day: Column, lang: str) -> dict[str, Column]:
-    month = F.month(day) - 1
+def _parts(day: Column, locale: str) -> dict[str, Column]:
+    month, lang = F.month(day) - 1, locale[:2]
+    months = MONTHS.get(locale, MONTHS[lang])
     return {
         "yyyy": F.lpad(F.year(day).cast("string"), 4, "0"), "y": F.year(day).cast("string"),
-        "MMMM": _name(MONTHS[lang], month), "MMM": _name(SHORT_MONTHS.get(lang, MONTHS[lang]), month), "MM": F.lpad(F.month(day).cast("string"), 2, "0"), "M": F.month(day).cast("string"),
+        "MMMM": _name(months, month), "MMM": _name(SHORT_MONTHS.get(lang, months), month), "MM": F.lpad(F.month(day).cast("string"), 2, "0"), "M": F.month(day).cast("string"),
         "dd": F.lpad(F.dayofmonth(day).cast("string"), 2, "0"), "d": F.dayofmonth(day).cast("string"), "EEEE": _name(DAYS[lang], F.weekday(day)),
     }
 
 
 def date_by(day: Column, pattern: str, locale: str) -> Column:
     """A date by one pattern."""
-    parts, out, at = _parts(day, locale[:2]), [], 0
+    parts, out, at = _parts(day, locale), [], 0
     while at < len(pattern):
         run = pattern[at]
         while at + len(run) < len(pattern) and pattern[at + len(run)] == run[0]:
@@ -64,15 +68,15 @@ def date_text(day: Column, locale: str, place: Column) -> Column:
     return F.get(F.array(*texts), F.pmod(place, F.lit(len(patterns))).cast("int"))
 
 
-def number_text(value: Column, locale: str, digits: int = 0) -> Column:
+def number_text(value: Column, locale: str, digits: int = 0, signs: tuple[str, str] | None = None) -> Column:
     """A number with the locale's signs."""
-    thousands, decimal = SIGNS[locale]
+    thousands, decimal = signs or SIGNS[locale]
     return F.translate(F.format_number(value, digits), ",.", thousands + decimal)
 
 
 def money_text(value: Column, locale: str, spelt: bool = False) -> Column:
     """An amount with cents in the locale's currency; Turkish amounts also with TL after them."""
-    amount = number_text(value, locale, 2)
+    amount = number_text(value, locale, 2, MONEY_SIGNS.get(locale))
     if spelt and locale == "tr_TR":
         return F.concat(amount, F.lit(" TL"))
     before, after = MONEY[locale].split("{}")

@@ -102,6 +102,18 @@ def deadline_instances(spark, sf):
     return facts.select("o_orderkey", "due", state.alias("state"), on_time.alias("on_time"), lateness.alias("lateness"))
 
 
+@query("locale_alpine", r"""
+SELECT o_orderkey, concat(day(o_orderdate), '. ', ['Jänner','Februar','März','April','Mai','Juni','Juli','August','September','Oktober','November','Dezember'][month(o_orderdate)], ' ', year(o_orderdate)) AS austrian,
+strftime(o_orderdate, '%d.%m.%Y') AS swiss, concat('€', chr(160), translate(format('{:,.2f}', o_totalprice), ',.', '.,')) AS euros, concat('CHF', chr(160), translate(format('{:,.2f}', o_totalprice), ',', '’')) AS francs,
+translate(format('{:,d}', o_orderkey * 1000), ',', chr(160)) AS number FROM orders""")
+def locale_alpine(spark, sf):
+    day, price = F.to_date("o_orderdate"), F.col("o_totalprice")
+    return table(spark, sf, "orders").select(
+        "o_orderkey", LO.date_by(day, LO.DATE_PATTERNS["de_AT"][1], "de_AT").alias("austrian"), LO.date_by(day, LO.DATE_PATTERNS["de_CH"][0], "de_CH").alias("swiss"),
+        LO.money_text(price, "de_AT").alias("euros"), LO.money_text(price, "de_CH").alias("francs"), LO.number_text(F.col("o_orderkey") * 1000, "de_AT").alias("number"),
+    )
+
+
 @query("word_lists", """
 SELECT doc_id, CASE doc_id % 7 WHEN 1 THEN 'bad strings' WHEN 3 THEN 'bad labeled' WHEN 5 THEN 'bad priced' WHEN 6 THEN 'bad groups' END AS problem FROM documents""")
 def word_lists(spark, sf):

@@ -325,8 +325,12 @@ def sorted_manifest(spark, sf):
 
 
 @query("variant_checks", """
-SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' WHEN 4 THEN 'questions repeat case facts'
-WHEN 5 THEN CASE WHEN n_words < 200 THEN 'too short' END WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END AS problem
+WITH b AS (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT w, unnest(range(1, len(w) - 6)) AS i FROM b)),
+t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+h AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t)) SEMI JOIN g USING (gram))
+SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' ELSE CASE WHEN doc_id IN (SELECT doc_id FROM h) THEN 'copies the brief' ELSE CASE doc_id % 10 WHEN 4 THEN 'questions repeat case facts'
+WHEN 5 THEN CASE WHEN n_words < 200 THEN 'too short' END WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END END END AS problem
 FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 3 AS n_words, text FROM documents) WHERE NOT regexp_matches(text, '\\{[A-Za-z_0-9]+\\}') AND (doc_id % 10 IN (0, 1, 2, 3, 4, 5) OR n_words >= 200)""")
 def variant_checks(spark, sf):
     k = F.col("doc_id") % 10
@@ -338,8 +342,10 @@ def variant_checks(spark, sf):
     options = F.when(k == 8, F.array(option("same"), option("Same"))).otherwise(F.array(option("yes_it_is"), option("no_it_is_not")))
     one = lambda field: F.struct(field.alias("field"), F.lit("choice").alias("type"), asks.alias("instructions"), options.alias("options"))
     questions = F.array(one(F.lit("first")), one(F.when(k == 7, "first").otherwise("second")))
-    problem = C.variant_problem(state, questions, ["price", "weight"], ["price"], money=["price"], units=["weight"], min_words=200)
-    out = d.select("doc_id", problem.alias("problem"), X.word_count(state).alias("n"))
+    rows = d.select("doc_id", state.alias("state"), questions.alias("questions"), F.regexp_replace(state, C.SLOT, " ").alias("words"))
+    rows = G.with_copied(rows, "words", table(spark, sf, "benchmark"), "text", "doc_id")
+    problem = C.variant_problem(F.col("state"), F.col("questions"), ["price", "weight"], ["price"], money=["price"], units=["weight"], min_words=200, copied=F.col("copied"))
+    out = rows.select("doc_id", problem.alias("problem"), X.word_count(F.col("state")).alias("n"))
     return out.where("doc_id % 10 < 6 or n >= 200").select("doc_id", "problem")
 
 
