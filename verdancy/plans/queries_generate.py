@@ -140,11 +140,11 @@ def trace_writers(spark, sf):
     return docs(spark, sf).select("doc_id", G.trace_writer(order, labs, up).alias("writer"))
 
 
-@query("accepted_traces", "SELECT conv_id, turn, turn % 3 > 0 AND NOT contains(text, '#') AND len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) <= 90 AND NOT regexp_matches(text, '(?m)^\\s*([-*•]|\\d+[.)])\\s') AND NOT regexp_matches(text, '`') AS accepted FROM conversations WHERE trim(text) <> ''")
+@query("accepted_traces", "SELECT conv_id, turn, trim(coalesce(text, '')) <> '' AND turn % 3 > 0 AND NOT contains(text, '#') AND len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) <= 90 AND NOT regexp_matches(text, '(?m)^\\s*([-*•]|\\d+[.)])\\s') AND NOT regexp_matches(text, '`') AS accepted FROM conversations")
 def accepted_traces(spark, sf):
     one = lambda label: F.array(F.struct(F.lit("q").alias("field"), label.alias("label")))
     said = one(F.when(F.col("turn") % 3 > 0, "yes").otherwise("no"))
-    c = table(spark, sf, "conversations").where(F.trim("text") != "")
+    c = table(spark, sf, "conversations")
     return c.select("conv_id", "turn", G.trace_accepted(said, one(F.lit("yes")), C.trace_problems(F.col("text"), F.lit(True))).alias("accepted"))
 
 
@@ -178,11 +178,11 @@ def gold_teachers(spark, sf):
 
 
 @query("example_pages", """
-SELECT doc_id, md5(concat_ws(chr(10), concat('### Example ', doc_id, ': `', doc_id, '`'), '', concat('source `gen:', source, '` · license `CC0-1.0`'), '', '```', text, '```', '', '**`quality`** (noul): Is it good?', '', '| option | gold |', '|---|---|',
-  CASE WHEN doc_id % 4 = 1 THEN concat('| `no` | 0.200 |', chr(10), '| `yes` | 0.300 |', chr(10), '| `unknown` **←** | 0.500 |') ELSE concat('| `no` **←** | 0.900 |', chr(10), '| `yes` | 0.100 |') END)) AS digest FROM documents WHERE doc_id % 11 > 0 AND doc_id % 13 > 0""")
+SELECT doc_id, md5(concat_ws(chr(10), concat('### Example ', doc_id, ': `', doc_id, '`'), '', concat('source `gen:', source, '` · license `CC0-1.0`'), '', '```', text, '```', '', concat('**`quality`** (noul): Is it good?', CASE WHEN doc_id % 11 = 0 THEN ' The answer is yes.' ELSE '' END), '', '| option | gold |', '|---|---|',
+  CASE WHEN doc_id % 4 = 1 THEN concat('| `no` | 0.200 |', chr(10), '| `yes` | 0.300 |', chr(10), '| `unknown` **←** | 0.500 |') WHEN doc_id % 13 = 0 THEN concat('| `no` **←** | 0.400 |', chr(10), '| `yes` | 0.400 |') ELSE concat('| `no` **←** | 0.900 |', chr(10), '| `yes` | 0.100 |') END)) AS digest FROM documents""")
 def example_pages(spark, sf):
     parts, _ = _parts(spark, sf)
-    rows = RC.union_in_order(parts).where("doc_id % 11 > 0 and doc_id % 13 > 0")
+    rows = RC.union_in_order(parts)
     return G.example_lines(rows, F.col("doc_id")).select(F.col("id").cast("long").alias("doc_id"), F.md5("text").alias("digest"))
 
 

@@ -248,10 +248,12 @@ def license_lines(spark, sf):
 
 
 @query("license_sections", r"""
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN array_to_string(list_filter(list_transform(string_split(text, chr(10))[1:11], lambda x: trim(x)), lambda x: x <> '' AND x[1] <> '#' AND NOT starts_with(x, '```'))[1:3], '|') ELSE '' END AS section
-FROM documents WHERE NOT regexp_matches(text, '(?im)^\s*#.*licen[cs]') AND NOT contains(text, chr(13))""")
+WITH l AS (SELECT doc_id, string_split(replace(CASE WHEN doc_id % 2 = 0 THEN concat('intro', chr(10), '## Licensing', chr(10), text) ELSE text END, concat(chr(13), chr(10)), chr(10)), chr(10)) AS l FROM documents),
+h AS (SELECT *, list_position(list_transform(l, lambda x: regexp_matches(x, '(?i)^\s*#.*licen[cs]')), true) AS h FROM l)
+SELECT doc_id, CASE WHEN h > 0 THEN array_to_string(list_filter(list_transform(l[h + 1:h + 11], lambda x: trim(x)), lambda x: x <> '' AND x[1] <> '#' AND NOT starts_with(x, '```'))[1:3], '|') ELSE '' END AS section FROM h""")
 def license_sections(spark, sf):
-    d = docs(spark, sf).where(~F.col("text").rlike(r"(?im)^\s*#.*licen[cs]") & ~F.col("text").contains("\r"))
+    """Every second document under a heading about licensing; others have a section where they hold such a heading."""
+    d = docs(spark, sf)
     body = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("intro\n## Licensing\n"), "text")).otherwise(F.col("text"))
     return d.select("doc_id", F.array_join(CV.license_section(body), "|").alias("section"))
 
@@ -329,12 +331,11 @@ WITH b AS (SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM b
 g AS (SELECT DISTINCT array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT w, unnest(range(1, len(w) - 6)) AS i FROM b)),
 t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
 h AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, array_to_string(w[i:i + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM t)) SEMI JOIN g USING (gram))
-SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' ELSE CASE WHEN doc_id IN (SELECT doc_id FROM h) THEN 'copies the brief' ELSE CASE doc_id % 10 WHEN 4 THEN 'questions repeat case facts'
-WHEN 5 THEN CASE WHEN n_words < 200 THEN 'too short' END WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END END END AS problem
-FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 3 AS n_words, text FROM documents) WHERE NOT regexp_matches(text, '\\{[A-Za-z_0-9]+\\}') AND (doc_id % 10 IN (0, 1, 2, 3, 4, 5) OR n_words >= 200)""")
+SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'placeholders missing' WHEN 1 THEN 'unknown placeholders' WHEN 2 THEN 'currency beside price' WHEN 3 THEN 'unit beside weight' ELSE CASE WHEN doc_id IN (SELECT doc_id FROM h) THEN 'copies the brief' WHEN doc_id % 10 = 4 THEN 'questions repeat case facts' WHEN n_words < 200 THEN 'too short' ELSE CASE doc_id % 10 WHEN 6 THEN 'outcome letters' WHEN 7 THEN 'duplicate field names' WHEN 8 THEN 'bad labels' END END END AS problem
+FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) + 3 + CASE WHEN doc_id % 10 = 0 THEN -1 WHEN doc_id % 10 IN (1, 2, 3) THEN 1 ELSE 0 END AS n_words FROM documents)""")
 def variant_checks(spark, sf):
     k = F.col("doc_id") % 10
-    d = docs(spark, sf).where(~F.col("text").rlike(r"\{[A-Za-z_0-9]+\}"))
+    d = docs(spark, sf)
     slots = F.when(k == 0, " {price}").when(k == 1, " {price} {weight} {other}").when(k == 2, " {price} EUR {weight}").when(k == 3, " {price} {weight} kg").otherwise(" {price} {weight}")
     state = F.concat("text", F.lit(" end"), slots)
     asks = F.when(k == 4, "Is {weight} fine?").when(k == 6, "Say A = yes").otherwise("Is it within {price}?")
@@ -345,8 +346,7 @@ def variant_checks(spark, sf):
     rows = d.select("doc_id", state.alias("state"), questions.alias("questions"), F.regexp_replace(state, C.SLOT, " ").alias("words"))
     rows = G.with_copied(rows, "words", table(spark, sf, "benchmark"), "text", "doc_id")
     problem = C.variant_problem(F.col("state"), F.col("questions"), ["price", "weight"], ["price"], money=["price"], units=["weight"], min_words=200, copied=F.col("copied"))
-    out = rows.select("doc_id", problem.alias("problem"), X.word_count(F.col("state")).alias("n"))
-    return out.where("doc_id % 10 < 6 or n >= 200").select("doc_id", "problem")
+    return rows.select("doc_id", problem.alias("problem"))
 
 
 @query("language_summary", r"""

@@ -291,9 +291,9 @@ def display_order(spark, sf):
     return docs(spark, sf).select("doc_id", F.array_join(RW.display_order(v, F.col("doc_id").cast("string"), F.lit("topic"), F.lit("ds")), ",").alias("shown"))
 
 
-@query("teacher_blocks", "SELECT doc_id, md5(concat('State: ', text, chr(10), 'Qualität (noul): Is it good?', chr(10), '  options: yes, no')) AS digest FROM documents WHERE doc_id % 11 > 0")
+@query("teacher_blocks", "SELECT doc_id, md5(concat('State: ', text, chr(10), 'Qualität (noul): Is it good?', CASE WHEN doc_id % 11 = 0 THEN ' The answer is yes.' ELSE '' END, chr(10), '  options: yes, no')) AS digest FROM documents")
 def teacher_blocks(spark, sf):
-    rows = document_rows(spark, sf).where("doc_id % 11 > 0")
+    rows = document_rows(spark, sf)
     return rows.select("doc_id", F.md5(RW.teacher_block(F.col("id"), F.col("state"), F.slice("questions", 1, 1), F.lit("ds"))).alias("digest"))
 
 
