@@ -176,4 +176,4 @@ def rule_rows(rows: DataFrame, order: list[Column], rules: list[str], variants:
 
 def numbered(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:
     """rows with index, from 0 inside each partition."""
-    return rows.withColumn("index", F.row_number().over(Window.partitionBy(partition).orderBy(*order)) - 1)
+    return SC.numbered(rows, [partition], [F.col(c) for c in order], "index")

@@ -133,4 +133,4 @@ def diverse(df: DataFrame, domain: str, row_id: str, order: Column, n: int) -> D
 def most_common(df: DataFrame, key: str) -> DataFrame:
     """key, n and rank: values by count, ties by value."""
     counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    return counts.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), key)))
+    return SC.numbered(counts, [], [-F.col("n"), F.col(key)], "rank").withColumn("rank", (F.col("rank") + 1).cast("int"))
