@@ -2,9 +2,12 @@
 
 import itertools
 import random
+import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pytest
 
 from verdancy.llm import pii_crf as P
@@ -133,3 +136,38 @@ def test_edges(spark):
     assert by[2].masked is None and by[3].masked == "" and by[2].spans == by[3].spans == by[5].spans == ""
     assert by[None].n_phone == 1 and by[6].masked == "\x00 [EMAIL] \x00"
     assert P.train(docs.limit(0)) is None and P.find_pii(docs.limit(0), None).count() == 0
+
+
+def unseen(entity, kind, rng):
+    """Mentions in shapes that no planting rule makes."""
+    digits = re.sub(r"\D", "", entity)
+    if kind == 0:
+        local, domain = entity.split("@")[:2]
+        return rng.choice([f"{local}{{at}}{domain}", f"{local}_AT_{domain}", f"mailto={local}", f"{local}#{domain}", f"{local}/{domain}"])
+    if kind == 1:
+        return entity.replace(".", rng.choice(["(dot)", "|", "~", "x"]))
+    if kind == 2:
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return rng.choice(["~".join(groups), "|".join(groups), ":".join(groups), "*" + digits[-4:], "ending:" + digits[-4:], "_".join([digits[:8], digits[8:]])])
+    area, middle, last = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return rng.choice([f"{area}/{middle}/{last}", f"{area}_{middle}_{last}", f"{area}:{middle}{last}", f"0{area}{middle}{last}", f"{area}~{middle}~{last}"])
+
+
+def test_mentions_in_shapes_that_training_never_makes(spark, monkeypatch):
+    path = "/root/testdata/sf0.1/documents.parquet"
+    field = P.train(spark.read.parquet(path).where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2"))
+    swap = lambda c, kind, rng: str(rng.randrange(10)) if c.isdigit() else rng.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() and kind == 0 else c
+    monkeypatch.setattr(P, "rewritten", unseen)
+    monkeypatch.setattr(P, "decoy", lambda e, kind, rng: "".join(swap(c, kind, rng) for c in unseen(e, kind, rng)))
+    found = total = false = 0
+    for row in ds.dataset(path).to_table(columns=["doc_id", "text"]).to_pylist():
+        text = row["text"] or ""
+        if zlib.crc32(str(row["doc_id"]).encode()) % 4 != 2 or not P.base_spans(text) or len(text) > 20_000:
+            continue
+        new, spans = P.planted(text, random.Random(row["doc_id"]), 1.0)
+        (added,) = P.added_spans(P.graph(pa.array([new], pa.large_string())), field, [pa.scalar(new)])
+        hit = lambda x, y: x[0] < y[1] and x[1] > y[0] and x[2] == y[2]
+        total += len(spans)
+        found += sum(any(hit(s, a) for a in added) for s in spans)
+        false += sum(not any(a[0] < s[1] and a[1] > s[0] for s in spans) for a in added)
+    assert total > 150 and found > 0.7 * total and false < 0.1 * found, (found, total, false)
