@@ -91,16 +91,18 @@ KINDS: tuple[tuple[re.Pattern, Callable[[re.Match, str], str | None]], ...] = (
     (re.compile(CARD), _card),
     (re.compile(PHONE), _phone),
 )
+#: What a match of each kind holds; it is looked for first, as most texts have none of it.
+NEEDED = (re.compile("@"), *[re.compile(r"\d")] * 4)
 
 
 def scrub_text(text: str, lang: str) -> tuple[str, int]:
     """The text without contact data, and how much was replaced."""
     pieces, hits = [(text, True)], 0
-    for pattern, safe in KINDS:
+    for (pattern, safe), needed in zip(KINDS, NEEDED):
         after = []
         for piece, is_open in pieces:
             at = 0
-            for m in pattern.finditer(piece) if is_open else ():
+            for m in pattern.finditer(piece) if is_open and needed.search(piece) else ():
                 new = safe(m, lang)
                 hits += new is not None
                 after += [(piece[at : m.start()], True), (m[0] if new is None else new, False)]
