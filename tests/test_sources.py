@@ -74,3 +74,10 @@ def test_manifest_is_the_digest_of_the_sorted_file(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.concat(F.lit("name "), F.col("id").cast("string")).alias("name")).repartition(7)
     lines = sorted(f'{{"id":{i * 7919 % 5000},"name":"name {i}"}}' for i in range(5000))
     assert tuple(RC.manifest(df, "id", "name").first()) == (5000, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def test_license_section_keeps_digits_and_strips_spaces_of_any_kind(spark):
+    body = "intro\n \f#x\rLICENſE\nends in 10\n ends in 1 　\r\n#no\n```\nends in 42\nfourth"
+    df = spark.createDataFrame([(1, body), (2, "\x0b# license\na"), (3, None)], "id int, body string")
+    found = {r.id: r.s for r in df.select("id", CV.license_section(F.col("body")).alias("s")).collect()}
+    assert found == {1: ["ends in 10", "ends in 1", "ends in 42"], 2: [], 3: []}
