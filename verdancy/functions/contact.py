@@ -93,10 +93,13 @@ KINDS: tuple[tuple[re.Pattern, Callable[[re.Match, str], str | None]], ...] = (
 )
 #: What a match of each kind holds; it is looked for first, as most texts have none of it.
 NEEDED = (re.compile("@"), *[re.compile(r"\d")] * 4)
+SHORTEST = 6  # characters of the shortest match of any kind, a@b.cc
 
 
 def scrub_text(text: str, lang: str) -> tuple[str, int]:
     """The text without contact data, and how much was replaced."""
+    if len(text) < SHORTEST:
+        return text, 0
     pieces, hits = [(text, True)], 0
     for (pattern, safe), needed in zip(KINDS, NEEDED):
         after = []
@@ -109,7 +112,7 @@ def scrub_text(text: str, lang: str) -> tuple[str, int]:
                 at = m.end()
             after.append((piece[at:], is_open))
         pieces = after
-    return "".join(piece for piece, _ in pieces), hits
+    return "".join(piece for piece, _ in pieces) if hits else text, hits
 
 
 def scrub_json_text(text: str, lang: str) -> tuple[str, int]:
