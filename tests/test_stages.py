@@ -231,3 +231,23 @@ def test_command_line_runs_queries_and_answers_requests(spark, tmp_path, capsys)
     assert got["answers"]["team"]["choice"] == "b" and got["answers"]["team"]["probabilities"] == pytest.approx([1 / (2 + e), e / (2 + e), 1 / (2 + e)])
     assert got["answers"]["urgent"]["noul"] == pytest.approx(e / (1 + e)) and "score" not in got["answers"]["urgent"] and got["usage"] == {"input_tokens": 7, "output_tokens": 2}
     assert all(t.count() == 0 for t in RC.calibration(spark, "")) and RC.stage_path("r", "x", "de", "g") == "r/run=x/lang=de/stage=g"
+
+
+def test_language_is_judged_on_the_state_as_it_came(spark):
+    """The letters of the questions and of replaced contact data do not count."""
+    ask = [question("a", instructions="Is it so, and if it is, why should it be so?"), question("b")]
+    mail = "ein Paket von a@" + "b" * 100 + ".de "
+    rows = [row("short", "Die Kiste kam heute hier an und war leer. " * 11 + "Nun.", ask, lang="de"), row("long", mail + "Die Kiste kam heute hier an. " * 14, ask, lang="de"), row("few", "zu 3 4 5 6 7 8 9 10 11 12", ask, lang="de")]
+    df = spark.createDataFrame(rows, ROW).withColumn("detected", F.expr("struct(if(id = 'few', 'xx', 'de') as label, 0.9D as probability, array(struct(50 as n, 'de' as label)) as segments)"))
+    got = {r.id: r.language for r in S.validated(df, 1).collect()}
+    assert not got["short"].folded and got["short"].ok
+    assert got["long"].folded and not got["long"].ok
+    assert got["few"].ok and not got["few"].detected
+
+
+def test_salvage_reads_its_questions_once(spark):
+    """The steps of the salvage are not repeated inside the lambdas that read them, neither in the rows nor in a filter on the reason."""
+    asked = F.from_json(F.col("state"), RW.QUESTIONS)
+    df = spark.createDataFrame([row("a", "[]")], ROW).withColumn("questions", asked)
+    drops = S.validated(df, 1).where("reason is not null").select("reason")
+    assert len(drops._jdf.queryExecution().optimizedPlan().toString()) < 200_000

@@ -79,7 +79,7 @@ def validate_rows(spark, sf):
     detail = F.when(F.col("n_kept") < 2, "dropped").otherwise(F.col("detail"))
     said = F.transform("writer_dist", lambda w: F.concat_ws(":", w["field"], w["label"], X.fixed_text(F.array_max(w["dist"]), 3)))
     fields = F.array_join(F.transform("questions", lambda q: q["field"]), ",")
-    return done.select("doc_id", "n_kept", "reason", detail.alias("detail"), F.array_join(said, ",").alias("writer"), F.col("language.ok").alias("lang_ok"), fields.alias("fields"))
+    return done.select("doc_id", "n_kept", "reason", detail.alias("detail"), F.array_join(said, ",").alias("writer"), (F.col("language.detected") & ~F.col("language.folded")).alias("lang_ok"), fields.alias("fields"))
 
 
 @query("validate_drops", f"WITH {VALIDATED} SELECT reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY reason")
