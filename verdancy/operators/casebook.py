@@ -3,9 +3,12 @@
 A case is a row's key.  Its facts are drawn from the key's hashes (so they hang on
 no order and no partition) and laid out as a user would find them: nights and
 meals of a trip, records of a list, leave taken, orders of customers in cities of
-depots.  The answers come out of those tables by joins and sums and the rules of
+depots.  The answers come out of those tables by lookups and sums and the rules of
 :mod:`rules`; nothing of the draw reaches them by another way.
 
+A case's tables have at most ten lines and are held as arrays in its row, so that
+no line is shuffled to be joined with lines that were drawn beside it.
+
 Names come from pools, tables of any size: a case is dealt a place of its pool by
 a hash, and the name is joined by that place, with a broadcast only while the
 pool's bytes, which are checked, are few.
@@ -13,6 +16,8 @@ pool's bytes, which are checked, are few.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +49,14 @@ class Pools:
         own = F.broadcast(own) if self.bytes.get(pool, 0) <= BROADCAST_BYTES else own
         return rows.withColumn("_place", place.cast("long")).join(own, "_place", "left").withColumn(column, F.coalesce(column, F.lit(EMPTY))).drop("_place")
 
+    def dealt_each(self, rows: DataFrame, pool: str, places: Column, most: int, column: str) -> DataFrame:
+        """rows with the pool's names of an array of at most so many places in column."""
+        named = [f"_name{i}" for i in range(most)]
+        out = rows.withColumn("_places", places)
+        for i, c in enumerate(named):
+            out = self.dealt(out, pool, F.get("_places", F.lit(i)), c)
+        return out.withColumn(column, F.slice(F.array(*named), F.lit(1), F.size("_places"))).drop("_places", *named)
+
     def place(self, key: Column, salt: str, pool: str) -> Column:
         return between(key, salt, 0, max(self.sizes.get(pool, 0) - 1, 0))
 
@@ -52,7 +65,13 @@ class Pools:
 
 
 def one_of(key: Column, salt: str, values: list) -> Column:
-    return F.get(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), between(key, salt, 0, len(values) - 1))
+    """One of the values; those that are columns are only worked out when they are the one."""
+    at = between(key, salt, 0, len(values) - 1)
+    plain = F.array(*[F.lit(None if isinstance(v, Column) else v) for v in values])
+    drawn = [(i, v) for i, v in enumerate(values) if isinstance(v, Column)]
+    if not drawn:
+        return F.get(plain, at)
+    return X.let(at, lambda place: F.coalesce(F.get(plain, place), *[F.when(place == i, v) for i, v in drawn]))
 
 
 def often(key: Column, salt: str, share: float = 0.5) -> Column:
@@ -61,12 +80,16 @@ def often(key: Column, salt: str, share: float = 0.5) -> Column:
 
 def _case(facts: DataFrame, key: str, rule: str, template: str, slots: dict[str, Column], answers: dict[str, Column]) -> DataFrame:
     labels = F.array(*[F.struct(F.lit(f).alias("field"), a.cast("string").alias("label")) for f, a in answers.items()])
-    return facts.select(key, F.lit(rule).alias("rule"), X.filled(F.lit(template), slots).alias("state"), labels.alias("answers"))
+    return facts.select(key, F.lit(rule).alias("rule"), X.filled_text(template, slots).alias("state"), labels.alias("answers"))
 
 
-def _lines(rows: DataFrame, count: Column, most: int) -> DataFrame:
-    """A row for each of count numbers from 0, at most so many."""
-    return rows.withColumn("i", F.explode(F.array(*[F.lit(i) for i in range(most)]))).where(F.col("i") < count)
+def _lines(count: Column, line: Callable[[Column], Column]) -> Column:
+    """A table of the case: line(i) for each of count numbers from 0."""
+    return F.transform(F.sequence(F.lit(0), count - 1), line)
+
+
+def _total(amounts: Column) -> Column:
+    return F.aggregate(amounts, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
 def business_days(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
@@ -94,17 +117,20 @@ def event_order(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame
 
 
 def count_records(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
-    """Records as a table of their own, counted by an aggregation."""
-    heads = pools.picked(rows, k, "cr:wanted", "statuses", "wanted").withColumn("least", between(k, "cr:least", 10, 90))
-    lines = _lines(heads, between(k, "cr:n", 4, 10), 10)
-    line = F.concat_ws(".", k, F.col("i").cast("string"))
-    near = one_of(line, "cr:near", [0, 1, -1, between(line, "cr:over", 2, 40), -between(line, "cr:under", 2, 9)])
-    records = pools.picked(lines, line, "cr:status", "statuses", "status").withColumn("value", F.col("least") + near)
-    found = records.groupBy(key, "wanted", "least").agg(
-        R.count_records_over(F.col("status"), F.col("wanted"), F.col("value"), F.col("least")).alias("n"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "status", "value"))), lambda r: F.concat_ws(" ", r["status"], r["value"].cast("string"))), "; ").alias("records"),
-    )
-    return _case(found, key, "count_records", "Records: {records}. How many are {wanted} with at least {least}?", {c: F.col(c) for c in ("records", "wanted", "least")}, {"count": F.col("n")})
+    """Records with the place of their status; names of a pool are distinct, so equal places are equal statuses."""
+    heads = rows.withColumns({"wanted_at": pools.place(k, "cr:wanted", "statuses"), "least": between(k, "cr:least", 10, 90), "n": between(k, "cr:n", 4, 10)})
+
+    def record(i: Column) -> Column:
+        line = F.concat_ws(".", k, i.cast("string"))
+        near = one_of(line, "cr:near", [0, 1, -1, between(line, "cr:over", 2, 40), -between(line, "cr:under", 2, 9)])
+        return F.struct(pools.place(line, "cr:status", "statuses").alias("status"), (F.col("least") + near).alias("value"))
+
+    records = heads.withColumn("lines", _lines(F.col("n"), record))
+    counted = F.size(F.filter("lines", lambda r: (r["status"] == F.col("wanted_at")) & (r["value"] >= F.col("least")))).cast("long")
+    found = pools.dealt(records.withColumn("count", counted), "statuses", F.col("wanted_at"), "wanted")
+    found = pools.dealt_each(found, "statuses", F.col("lines.status"), 10, "statuses")
+    said = F.array_join(F.zip_with("statuses", "lines", lambda status, r: F.concat_ws(" ", status, r["value"].cast("string"))), "; ")
+    return _case(found, key, "count_records", "Records: {records}. How many are {wanted} with at least {least}?", {"records": said, "wanted": F.col("wanted"), "least": F.col("least")}, {"count": F.col("count")})
 
 
 def unit_limit(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
@@ -119,21 +145,20 @@ def unit_limit(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
 
 
 def expense_policy(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
-    """Trips, with a line for each night and each day's meals; the policy is a table of its own, joined by how dear the city is."""
+    """Trips, with a line for each night and each day's meals; the policy has a line for dear and one for other cities."""
     trips = rows.withColumns({"dear": often(k, "ep:dear"), "nights": between(k, "ep:nights", 1, 6), "cap": between(k, "ep:cap", 80, 180) * 100, "meal_cap": between(k, "ep:meals", 25, 60) * 100, "receipt": one_of(k, "ep:receipt", [25, 50, 75, 100]) * 100})
     trips = trips.withColumn("dear_cap", F.col("cap") + between(k, "ep:more", 30, 90) * 100)
     trips = pools.dealt(trips, "cities", F.when(F.col("dear"), pools.place(k, "ep:dear_city", "cities")).otherwise(pools.place(k, "ep:city", "cities")), "city")
     money_side = lambda salt, most: F.when(often(k, salt), F.when(often(k, salt + ":zero"), 0).otherwise(-between(k, salt + ":low", 100, most))).otherwise(between(k, salt + ":high", 100, most))
-    policy = trips.select(key, F.explode(F.array(F.struct(F.lit(True).alias("dear"), F.col("dear_cap").alias("night_cap")), F.struct(F.lit(False).alias("dear"), F.col("cap").alias("night_cap")))).alias("p")).select(key, "p.*")
-    capped = trips.join(policy, [key, "dear"])
-    night = F.col("night_cap") + F.when(F.col("i") == 0, money_side("ep:hotel", 6000)).otherwise(0)
-    hotel = _lines(capped, F.col("nights"), 6).groupBy(key).agg(F.sum(night).alias("hotel"))
-    meal = F.col("meal_cap") + F.when(F.col("i") == 0, money_side("ep:food", 3000)).otherwise(0)
-    meals = _lines(trips, F.col("nights") + 1, 7).groupBy(key).agg(F.sum(meal).alias("meals"))
+    policy = F.array(F.struct(F.lit(True).alias("dear"), F.col("dear_cap").alias("night_cap")), F.struct(F.lit(False).alias("dear"), F.col("cap").alias("night_cap")))
+    trips = trips.withColumn("night_cap", F.get(F.filter(policy, lambda p: p["dear"] == F.col("dear")), F.lit(0))["night_cap"])
+    first_and = lambda off, line, n: F.concat(F.array(line + off), F.array_repeat(line, n - 1))
+    hotel = _total(first_and(money_side("ep:hotel", 6000), F.col("night_cap"), F.col("nights")))
+    meals = _total(first_and(money_side("ep:food", 3000), F.col("meal_cap"), F.col("nights") + 1))
     holds, small = often(k, "ep:holds"), often(k, "ep:small")
     below = F.when(often(k, "ep:below", 0.7), between(k, "ep:less", 100, 2000)).otherwise(0)
     above = between(k, "ep:over", 100, 8000)
-    facts = trips.join(hotel, key).join(meals, key).withColumns({"big": F.col("receipt") + F.when(holds & small, -below).otherwise(above), "attached": F.when(holds, ~small | often(k, "ep:attached")).otherwise(False)})
+    facts = trips.withColumns({"hotel": hotel, "meals": meals, "big": F.col("receipt") + F.when(holds & small, -below).otherwise(above), "attached": F.when(holds, ~small | often(k, "ep:attached")).otherwise(False)})
     answers = R.expense_policy(*[F.col(c) for c in ("hotel", "cap", "dear_cap", "dear", "nights", "meals", "meal_cap", "receipt", "big", "attached")])
     slots = {c: F.col(c) for c in ("city", "nights", "hotel", "meals", "big")} | {"status": F.when(F.col("attached"), "attached").otherwise("missing")}
     return _case(facts, key, "expense_policy", "{nights} nights in {city}: hotel {hotel}, meals {meals}, one item of {big} (receipt {status}).", slots, dict(zip(("hotel_ok", "meals_ok", "receipt_ok"), answers)))
@@ -156,9 +181,10 @@ def insurance_claim(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataF
     )
     over = F.when(often(k, "ic:over"), between(k, "ic:more", 5000, 150_000)).otherwise(-F.when(often(k, "ic:equal"), 0).otherwise(between(k, "ic:less", 5000, 90_000)))
     amounts = F.array(F.col("sublimit") + over, between(k, "ic:jewels", 20_000, 250_000), between(k, "ic:other", 0, 300_000))
-    lines = policy.select(key, F.posexplode(amounts).alias("kind", "amount"))
-    by_kind = lines.groupBy(key).agg(*[F.sum(F.when(F.col("kind") == i, F.col("amount")).otherwise(0)).alias(c) for i, c in enumerate(("devices", "jewels", "rest"))])
-    facts = policy.join(by_kind, key).withColumn("payout", R.insurance_payout(*[F.col(c) for c in ("devices", "sublimit", "jewels", "declared", "rest", "deductible", "most")]))
+    lines = F.transform(amounts, lambda amount, kind: F.struct(kind.alias("kind"), amount.alias("amount")))
+    of_kind = lambda i: _total(F.transform(F.filter("lines", lambda line: line["kind"] == i), lambda line: line["amount"]))
+    facts = policy.withColumn("lines", lines).withColumns({c: of_kind(i) for i, c in enumerate(("devices", "jewels", "rest"))})
+    facts = facts.withColumn("payout", R.insurance_payout(*[F.col(c) for c in ("devices", "sublimit", "jewels", "declared", "rest", "deductible", "most")]))
     facts = facts.withColumn("threshold", F.round((F.col("payout") + one_of(k, "ic:step", [4000, 30_000]) * F.when(often(k, "ic:up"), 1).otherwise(-1)) / 1000).cast("long") * 1000)
     capped, above = R.insurance_claim(*[F.col(c) for c in ("devices", "sublimit", "payout", "threshold")])
     slots = {c: F.col(c) for c in ("org", "devices", "jewels", "rest", "threshold")} | {"status": F.when(F.col("declared"), "declared").otherwise("not declared")}
@@ -166,12 +192,11 @@ def insurance_claim(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataF
 
 
 def leave_policy(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
-    """Employees, the leave they have taken (a table of entries), requests and blackouts."""
+    """Employees, the leave they have taken (a list of entries), requests and blackouts."""
     staff = pools.picked(rows, k, "lp:person", "people", "person").withColumns({"annual": one_of(k, "lp:annual", [20, 24, 26, 30]), "carry": one_of(k, "lp:carry", [5, 10]), "unused": between(k, "lp:unused", 0, 15)})
     staff = staff.withColumn("all_taken", between(k, "lp:taken", F.lit(0), F.col("annual")))
     part = lambda i: F.floor((F.col("all_taken") + i) / 3).cast("int")
-    entries = staff.select(key, F.explode(F.array(part(0), part(1), part(2))).alias("days"))
-    staff = staff.drop("all_taken").join(entries.groupBy(key).agg(F.sum("days").cast("int").alias("taken")), key)
+    staff = staff.withColumn("taken", _total(F.array(part(0), part(1), part(2))).cast("int")).drop("all_taken")
     day = day_between(k, "lp:start", "2025-01-06", "2027-11-30")
     available = F.col("annual") + F.least("unused", "carry") - F.col("taken")
     asked = staff.withColumns({"start": F.date_add(day, F.when(F.weekday(day) > 4, 7 - F.weekday(day)).otherwise(0)), "want": F.greatest(F.lit(1), available + side(k, "lp:side", 8))})
@@ -188,33 +213,54 @@ def leave_policy(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFram
 
 
 def depot_lookup(rows: DataFrame, key: str, k: Column, pools: Pools) -> DataFrame:
-    """Customers, orders and the depots of cities as three tables; both questions are answered by joins over them."""
-    cases = rows.withColumns({"n_city": between(k, "dl:cities", 4, 6), "n_customer": between(k, "dl:customers", 4, 6), "n_order": between(k, "dl:orders", 5, 8)})
-    line = F.concat_ws(".", k, F.col("i").cast("string"))
+    """Customers, orders and the depots of cities as three tables; both questions are answered by lookups from one to the other.
+
+    Cities and depots are known by their places in the pools, where names are distinct; only the named ones get their names.
+    """
+    line = lambda i: F.concat_ws(".", k, i.cast("string"))
     n_depots, n_cities = max(pools.sizes.get("depots", 0), 1), max(pools.sizes.get("cities", 0), 1)
-    cities = _lines(cases, F.col("n_city"), 6).withColumn("city_no", F.col("i"))
-    cities = pools.dealt(cities, "depots", F.pmod(pools.place(k, "dl:depot", "depots") + F.col("i"), F.lit(n_depots)), "depot")
-    cities = pools.dealt(cities, "cities", F.pmod(pools.place(k, "dl:city", "cities") + F.col("i"), F.lit(n_cities)), "city").select(key, "city_no", "city", "depot")
-    customers = _lines(cases, F.col("n_customer"), 6).select(key, F.col("i").alias("customer_no"), between(line, "dl:lives", F.lit(0), F.col("n_city") - 1).alias("city_no"))
-    orders = _lines(cases, F.col("n_order"), 8).select(key, F.col("i").alias("order_no"), between(line, "dl:buys", F.lit(0), F.col("n_customer") - 1).alias("customer_no"))
-    at = orders.join(customers, [key, "customer_no"]).join(cities, [key, "city_no"]).select(key, "order_no", "city", "depot")
-    first = cases.select(key, between(k, "dl:first", F.lit(0), F.col("n_order") - 1).alias("order_no"), often(k, "dl:same").alias("want")).join(at, [key, "order_no"])
-    first = first.select(key, F.col("order_no").alias("one"), "want", F.col("depot").alias("first_depot"), "city")
-    others = at.select(key, F.col("order_no").alias("two"), F.col("depot").alias("second_depot")).join(first, key).where("two <> one")
-    same = F.col("second_depot") == F.col("first_depot")
-    other = F.concat_ws(".", k, F.col("two").cast("string"))
-    chosen = others.groupBy(key, "one", "first_depot", "city").agg(F.min_by(F.struct("two", "second_depot"), F.struct(same != F.col("want"), unit(other, "dl:pick"), "two")).alias("p"))
-    facts = chosen.select(key, "one", "first_depot", "city", "p.*")
+    counts = F.struct(*[between(k, f"dl:{c}", low, high).alias(c) for c, low, high in (("cities", 4, 6), ("customers", 4, 6), ("orders", 5, 8))], pools.place(k, "dl:depot", "depots").alias("shift"))
+
+    def tables(n: Column) -> Column:
+        return F.struct(
+            _lines(n["cities"], lambda i: F.pmod(n["shift"] + i, F.lit(n_depots))).alias("cities"),
+            _lines(n["customers"], lambda i: between(line(i), "dl:lives", F.lit(0), n["cities"] - 1)).alias("customers"),
+            _lines(n["orders"], lambda i: between(line(i), "dl:buys", F.lit(0), n["customers"] - 1)).alias("orders"),
+            between(k, "dl:first", F.lit(0), n["orders"] - 1).alias("one"),
+            often(k, "dl:same").alias("want"),
+        )
+
+    def served(t: Column) -> Column:
+        """The city and the depot of each order."""
+        to = F.transform(t["orders"], lambda customer: F.get(t["customers"], customer))
+        by = F.transform(t["orders"], lambda customer: F.get(t["cities"], F.get(t["customers"], customer)))
+        return F.struct(t["one"].alias("one"), t["want"].alias("want"), F.get(to, t["one"]).alias("city_at"), F.get(by, t["one"]).alias("first_at"), by.alias("by"))
+
+    def asked(s: Column) -> Column:
+        other = lambda at, i: F.struct(((at == s["first_at"]) != s["want"]).alias("_other"), unit(line(i), "dl:pick").alias("_pick"), i.alias("two"), at.alias("second_at"))
+        second = F.array_min(F.filter(F.transform(s["by"], other), lambda o: o["two"] != s["one"]))
+        return F.struct(s["one"].alias("one"), s["first_at"].alias("first_at"), s["city_at"].alias("city_at"), second.alias("p"))
+
+    # every table is bound (let), or Catalyst would draw it again for each line that looks into it
+    found = X.let(counts, lambda n: X.let(tables(n), lambda t: X.let(served(t), asked)))
+    chosen = rows.select(key, k.alias("_k"), found.alias("f")).select(key, "_k", "f.one", "f.first_at", "f.city_at", "f.p.two", "f.p.second_at")
+    facts = pools.dealt(chosen, "depots", F.col("first_at"), "depot")
+    facts = pools.dealt(facts, "cities", F.pmod(pools.place(F.col("_k"), "dl:city", "cities") + F.col("city_at"), F.lit(n_cities)), "city")
     slots = {"one": F.col("one"), "two": F.col("two"), "city": F.col("city")}
-    return _case(facts, key, "depot_lookup", "Which depot serves order {one} (to {city}), and does it serve order {two}?", slots, {"depot": F.col("first_depot"), "same": R.yes(F.col("second_depot") == F.col("first_depot"))})
+    return _case(facts, key, "depot_lookup", "Which depot serves order {one} (to {city}), and does it serve order {two}?", slots, {"depot": F.col("depot"), "same": R.yes(F.col("second_at") == F.col("first_at"))})
 
 
 CASES = {f.__name__: f for f in (business_days, relative_date, event_order, count_records, unit_limit, expense_policy, return_policy, insurance_claim, leave_policy, depot_lookup)}
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """The keys alone, dealt over the shuffle partitions: a case is much work for few bytes, and a file of keys may be one task."""
+    return rows.select(key).repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def cases(rows: DataFrame, key: str, rule: str, pools: Pools) -> DataFrame:
     """rows(key), unique, with rule, state and answers, an array of field and label."""
-    return CASES[rule](rows.select(key), key, F.col(key).cast("string"), pools)
+    return CASES[rule](_dealt(rows, key), key, F.col(key).cast("string"), pools)
 
 
 def every_case(rows: DataFrame, key: str, pools: Pools) -> DataFrame:

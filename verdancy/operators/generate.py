@@ -40,8 +40,9 @@ def between(key: Column, salt: str, low: Column | int, high: Column | int) -> Co
 def side(key: Column, salt: str, span: int = 20) -> Column:
     """An offset from a boundary, at or below it half of the time, mostly on it or one off."""
     near = between(key, salt + ":far", 2, span)
-    low = F.get(F.array(F.lit(0), F.lit(0), F.lit(-1), -near), between(key, salt + ":low", 0, 3))
-    high = F.get(F.array(F.lit(1), F.lit(1), near), between(key, salt + ":high", 0, 2))
+    # get() past the end is null, so the far offset is only drawn where it is taken
+    low = F.coalesce(F.get(F.array(F.lit(0), F.lit(0), F.lit(-1)), between(key, salt + ":low", 0, 3)), -near)
+    high = F.coalesce(F.get(F.array(F.lit(1), F.lit(1)), between(key, salt + ":high", 0, 2)), near)
     return F.when(unit(key, salt) < 0.5, low).otherwise(high)
 
 
