@@ -67,3 +67,19 @@ def test_a_chain_of_rows_that_wait_for_each_other(spark):
     entries = {o: (f"g{o}", {o, o + 1}) for o in range(9)}
     df = spark.createDataFrame([(o, g, f"b{b}") for o, (g, bs) in entries.items() for b in bs], "ord long, grp string, bucket string")
     assert {r.ord for r in DD.kept_first(df).collect()} == in_order(entries) == {0, 2, 4, 6, 8}
+
+
+@pytest.mark.parametrize("seed, groups, buckets, at_once", [(5, 3, 8, 0), (6, 40, 5, 0), (7, 2, 60, 60), (8, 6, 40, 150)])
+def test_rounds_alone_and_rounds_before_the_pass_keep_the_same(spark, seed, groups, buckets, at_once):
+    rng = random.Random(seed)
+    entries = {o: (f"g{rng.randrange(groups)}", {rng.randrange(buckets) for _ in range(rng.randint(1, 3))}) for o in rng.sample(range(5000), 160)}
+    df = spark.createDataFrame([(o, g, f"b{b}") for o, (g, bs) in entries.items() for b in bs], "ord long, grp string, bucket string")
+    assert {r.ord for r in DD.kept_first(df, at_once).collect()} == in_order(entries)
+
+
+def test_a_long_chain_takes_no_round_for_each_row(spark, monkeypatch):
+    rounds = []
+    firsts = DD._firsts_of_both
+    monkeypatch.setattr(DD, "_firsts_of_both", lambda live: rounds.append(1) or firsts(live))
+    df = spark.createDataFrame([(o, f"g{o}", f"b{b}") for o in range(400) for b in (o, o + 1)], "ord long, grp string, bucket string")
+    assert sorted(r.ord for r in DD.kept_first(df).collect()) == list(range(0, 400, 2)) and not rounds

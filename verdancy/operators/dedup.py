@@ -6,6 +6,7 @@ order of partitions.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 
 import numpy as np
@@ -45,10 +46,18 @@ def identical_rows(df: DataFrame, parts: list[Column], order: str) -> DataFrame:
     return keyed.join(first, "_sha").select(*df.columns, F.when(F.col("_first") < F.col(order), F.col("_first")).alias("dup_of"))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(32))
+def _mix(x: np.ndarray, spare: np.ndarray | None = None) -> np.ndarray:
+    """x mixed in place; spare is room for as many numbers."""
+    spare = np.empty_like(x) if spare is None else spare
+    for shift, factor in _STEPS:
+        np.right_shift(x, shift, out=spare)
+        np.bitwise_xor(x, spare, out=x)
+        if factor is not None:
+            np.multiply(x, factor, out=x)
+    return x
+
+
+_STEPS = ((np.uint64(33), np.uint64(0xFF51AFD7ED558CCD)), (np.uint64(29), np.uint64(0xC4CEB9FE1A85EC53)), (np.uint64(32), None))
 
 
 def band_hashes(keys: list[str]) -> np.ndarray:
@@ -67,16 +76,17 @@ def band_hashes(keys: list[str]) -> np.ndarray:
         whole[starts + sizes - k] = False
     at = np.flatnonzero(whole)
     grams, first = grams[at], np.searchsorted(at, starts)
+    seeded, spare = np.empty_like(grams), np.empty_like(grams)
     out = np.zeros((len(keys), BANDS), dtype=np.uint64)
     for b in range(BANDS):
         for seed in _SEEDS[b * ROWS : (b + 1) * ROWS]:
-            out[:, b] = _mix(out[:, b] + np.minimum.reduceat(_mix(grams ^ seed), first))
+            out[:, b] = _mix(out[:, b] + np.minimum.reduceat(_mix(np.bitwise_xor(grams, seed, out=seeded), spare), first))
     return out.view(np.int64)
 
 
 _SEEDS = np.random.Generator(np.random.PCG64(17)).integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64)
-#: Characters that are hashed at once; a longer key is alone.
-CHARS_AT_ONCE = 1 << 19
+#: Characters that are hashed at once, so few that their hashes stay in a core's cache; a longer key is alone.
+CHARS_AT_ONCE = 1 << 15
 
 
 @F.pandas_udf(ST.ArrayType(ST.LongType()))
@@ -115,29 +125,61 @@ def _earlier(name: str) -> Column:
     return F.when(found < F.col("ord"), found)
 
 
-def kept_first(entries: DataFrame) -> DataFrame:
+def _firsts_of_both(live: DataFrame) -> DataFrame:
+    """_two_firsts of all rows of a bucket (any_) and of its kept ones (kept_), out of one table of minima by bucket and group."""
+    each = live.groupBy("bucket", "grp").agg(F.min("ord").alias("o"), F.min(F.when(F.col("kept"), F.col("ord"))).alias("ko"))
+    kept = F.when(F.col("ko").isNotNull(), F.struct(F.col("ko").alias("o"), "grp"))
+    first = each.groupBy("bucket").agg(F.min(F.struct("o", "grp")).alias("any_first"), F.min(kept).alias("kept_first"))
+    other = lambda name, o: F.min(F.when(F.col("grp") != F.col(f"{name}first.grp"), F.col(o))).alias(f"{name}other")
+    return each.join(first, "bucket").groupBy("bucket", "any_first", "kept_first").agg(other("any_", "o"), other("kept_", "ko"))
+
+
+#: So few open entries (tens of MB) are passed through in order by one task; more are settled in rounds.
+AT_ONCE = 1 << 18
+
+
+def _lost_in_order(live: pd.DataFrame) -> pd.DataFrame:
+    """The rows (ord) that go in a plain pass over entries(ord, grp, bucket, kept)."""
+    live = live.sort_values("ord", kind="stable")
+    held, lost = {}, []  # up to two groups a bucket say whether another than the row's has it
+    for o, rows in itertools.groupby(zip(live["ord"], live["grp"], live["bucket"], live["kept"]), key=lambda r: r[0]):
+        rows = list(rows)
+        if not rows[0][3] and any(other != g for _, g, b, _ in rows for other in held.get(b, ())):
+            lost.append(o)
+            continue
+        for _, g, b, _ in rows:
+            if len(groups := held.setdefault(b, set())) < 2:
+                groups.add(g)
+    return pd.DataFrame({"ord": pd.Series(lost, dtype=live["ord"].dtype)})
+
+
+def kept_first(entries: DataFrame, at_once: int = AT_ONCE) -> DataFrame:
     """The rows that a pass in order keeps: (ord) of entries(ord, grp, bucket), where a row goes if a kept row before it,
     of another group, shares a bucket.
 
     Decided in rounds, whole buckets at a time: a row stays once no undecided or kept row of another group is before it
     in any of its buckets, and goes once a kept one is.  The first undecided row is always decided, and a bucket's first
     row decides all that it beats, so the rounds are as many as the longest chain of rows that wait for each other.
+    A bucket whose rows are all decided leaves with its round, so that a round reads what is still open and no more;
+    what is left when at most at_once entries are open is passed through in order, so that a long chain takes no rounds.
     """
     require_shared_dir(entries)
     mixed = entries.groupBy("bucket").agg((F.min("grp") != F.max("grp")).alias("_mixed")).where("_mixed").select("bucket")
     live = entries.join(mixed, "bucket", "left_semi").withColumn("kept", F.lit(False)).checkpoint()
     gone = None
-    while True:
-        undecided = live.where("not kept")
-        if undecided.isEmpty():
+    while open_entries := live.count():
+        if open_entries <= at_once:
+            lost = live.groupBy().applyInPandas(_lost_in_order, ST.StructType([ST.StructField("ord", entries.schema["ord"].dataType)])).checkpoint()
+            gone = lost if gone is None else gone.union(lost)
             break
-        firsts = _two_firsts(live, ["bucket"], name="any_").join(_two_firsts(live.where("kept"), ["bucket"], name="kept_"), "bucket", "left")
-        seen = undecided.join(firsts, "bucket").groupBy("ord").agg(F.max(_earlier("any_").isNotNull()).alias("_waits"), F.max(_earlier("kept_").isNotNull()).alias("_goes"))
+        seen = live.where("not kept").join(_firsts_of_both(live), "bucket").groupBy("ord").agg(F.max(_earlier("any_").isNotNull()).alias("_waits"), F.max(_earlier("kept_").isNotNull()).alias("_goes"))
         seen = seen.where("_goes or not _waits").checkpoint()
         lost = seen.where("_goes").select("ord")
         gone = lost if gone is None else gone.union(lost)
         after = live.join(seen, "ord", "left").where("not coalesce(_goes, false)")
-        live = after.select("ord", "grp", "bucket", (F.col("kept") | ~F.coalesce("_waits", F.lit(True))).alias("kept")).checkpoint()
+        after = after.select("ord", "grp", "bucket", (F.col("kept") | ~F.coalesce("_waits", F.lit(True))).alias("kept"))
+        unsettled = after.where("not kept").select("bucket").distinct()
+        live = after.join(unsettled, "bucket", "left_semi").checkpoint()
     rows = entries.select("ord").distinct()
     return rows if gone is None else rows.join(gone, "ord", "left_anti")
 
@@ -153,7 +195,9 @@ def dedup(df: DataFrame, key: Column, group: Column, sha: Column, order: str) ->
     unique and not null.
     """
     require_shared_dir(df)
-    rows = band_table(df.withColumn("_key", key).withColumns({"_grp": group.cast("string"), "_sha": sha}), F.col("_key"), order, "_key", "_grp", "_sha")
+    # signatures are the work of the job: rows are dealt evenly, as a file or a range of rows may be one task
+    dealt = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), order)
+    rows = band_table(dealt.withColumn("_key", key).withColumns({"_grp": group.cast("string"), "_sha": sha}), F.col("_key"), order, "_key", "_grp", "_sha")
     rows = rows.select(F.col(order).alias("ord"), X.digest(F.col("_key")).alias("key"), F.coalesce("_grp", F.lit("\0")).alias("grp"), X.digest(F.col("_sha")).alias("sha"), "bands").checkpoint()
     same = rows.groupBy("sha").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
     repeated = rows.select("ord", "sha").join(same, "sha").where("ord > first").select("ord", F.col("first").alias("dup_of"), F.lit("identical_row").alias("kind"))
