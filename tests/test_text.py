@@ -115,6 +115,37 @@ def test_scrub_survives_any_text(spark):
     assert found[3] == (None, None, "invalid JSON") and found[4].hits == 1 and json.loads(found[4].text)["max@firma.de"] is None
 
 
+def python_bytes(df, metric):
+    """What the Arrow UDFs of df have exchanged with Python, after df.collect()."""
+
+    def walk(plan):
+        metrics, below = plan.metrics(), plan.children()
+        own = metrics.apply(metric).value() if "ArrowEvalPython" in plan.nodeName() else 0
+        return own + sum(walk(below.apply(k)) for k in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_scrub_exchanges_only_what_may_change(spark):
+    words = "plain words ă ß " * 300
+    texts = [words if k % 50 else words + "max@firma.de" for k in range(1000)] + [words + "7", words + "٣", "", None]
+    df = spark.createDataFrame([(t, "en") for t in texts], "t string, lang string").coalesce(1).select("t", "lang", CT.scrub("t", "lang").alias("s"))
+    got = df.collect()
+    assert all((r.s.text, r.s.hits) == (CT.scrub_text(r.t, "en") if r.t is not None else (None, 0)) and r.s.problem is None for r in got)
+    assert sum(r.s.hits for r in got) == 20
+    size = sum(len(t or "") for t in texts)
+    assert 0 < python_bytes(df, "pythonDataSent") < size / 10 and 0 < python_bytes(df, "pythonDataReceived") < size / 10
+
+
+def test_scrub_knows_every_digit_that_python_knows(spark):
+    import sys
+    import unicodedata
+
+    digits = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+    df = spark.createDataFrame([(d,) for d in digits], "d string").where(~F.col("d").rlike(CT.NEEDED_BY_ANY))
+    assert len(digits) > 600 and df.count() == 0
+
+
 def test_json_from_chatter(spark):
     df = spark.createDataFrame([('Sure: ```json\n{"a": 1}\n```',), ('{"a": [1, 2',), ("none",), (None,), ("```json\n3.5\n```",), ('[x] then {"b": [1]}',), ('{"a": {"b": 1}',)], "t string")
     assert [r.x for r in df.select(J.extract_json(F.col("t")).alias("x")).collect()] == ['{"a":1}', None, None, None, "3.5", '{"b":[1]}', '{"b":1}']

@@ -1,8 +1,11 @@
-"""Contact data replaced by plainly fake values, as an Arrow-batched pandas UDF.
+"""Contact data replaced by plainly fake values, as an Arrow UDF.
 
 A text is held as pieces, open or settled.  Every kind of contact data, in a
 fixed order, looks into the open pieces alone and settles what it matches,
 changed or not, so no later kind can match inside it or across its border.
+A worker holds its batch as Arrow gives it and one text of it at a time: plain
+texts without what every kind needs are not sent to it, and it sends back
+changed texts only.
 """
 
 from __future__ import annotations
@@ -12,7 +15,8 @@ import json
 import re
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
@@ -93,6 +97,8 @@ KINDS: tuple[tuple[re.Pattern, Callable[[re.Match, str], str | None]], ...] = (
 )
 #: What a match of each kind holds; it is looked for first, as most texts have none of it.
 NEEDED = (re.compile("@"), *[re.compile(r"\d")] * 4)
+#: The same for any kind, as the JVM finds it; what it does not know yet may be a digit in Python's newer tables.
+NEEDED_BY_ANY = r"[@\p{Nd}\p{Cn}]"
 SHORTEST = 6  # characters of the shortest match of any kind, a@b.cc
 
 
@@ -128,23 +134,48 @@ def scrub_json_text(text: str, lang: str) -> tuple[str, int]:
     return map_values(text, one), total
 
 
-def _rows(text: pd.Series, lang: pd.Series, scrubbed: Callable[[str, str], tuple[str, int]]) -> pd.DataFrame:
-    out = []
+def _changed(text: pa.Array, lang: pa.Array, scrubbed: Callable[[str, str], tuple[str, int]]) -> pa.Array:
+    """(text, hits, problem) of each text, the text null where nothing was replaced."""
+    texts, hits, problems = [], [], []
     for t, g in zip(text, lang):
-        try:
-            out.append((*scrubbed(t, g), None) if t is not None else (None, 0, None))
-        except NOT_JSON:
-            out.append((None, None, "invalid JSON"))
-    return pd.DataFrame(out, columns=SCRUBBED.names).astype({"hits": "Int32"})
+        new, n, problem = None, 0, None
+        if t.is_valid:
+            old = t.as_py()
+            try:
+                new, n = scrubbed(old, g.as_py())
+            except NOT_JSON:
+                new, n, problem = None, None, "invalid JSON"
+            if new == old:
+                new = None
+        texts.append(new)
+        hits.append(n)
+        problems.append(problem)
+    return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(hits, pa.int32()), pa.array(problems, pa.string())], SCRUBBED.names)
 
 
-@F.pandas_udf(SCRUBBED)
-def scrub(text: pd.Series, lang: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(SCRUBBED)
+def _scrub(text: pa.Array, lang: pa.Array) -> pa.Array:
+    return _changed(text, lang, scrub_text)
+
+
+@F.arrow_udf(SCRUBBED)
+def _scrub_json(text: pa.Array, lang: pa.Array) -> pa.Array:
+    return _changed(text, lang, scrub_json_text)
+
+
+def _whole(found: Column, text: Column) -> Column:
+    """found with the unchanged texts put back."""
+    kept = F.when(found["problem"].isNull(), F.coalesce(found["text"], text))
+    return F.struct(kept.alias("text"), found["hits"].alias("hits"), found["problem"].alias("problem"))
+
+
+def scrub(text: Column | str, lang: Column | str) -> Column:
     """(text, hits, problem) of plain texts; null stays null."""
-    return _rows(text, lang, scrub_text)
+    text = F.col(text) if isinstance(text, str) else text
+    return _whole(_scrub(F.when(text.rlike(NEEDED_BY_ANY), text), lang), text)
 
 
-@F.pandas_udf(SCRUBBED)
-def scrub_json(text: pd.Series, lang: pd.Series) -> pd.DataFrame:
+def scrub_json(text: Column | str, lang: Column | str) -> Column:
     """(text, hits, problem) of JSON texts; what is not JSON gives null and a problem."""
-    return _rows(text, lang, scrub_json_text)
+    text = F.col(text) if isinstance(text, str) else text
+    return _whole(_scrub_json(text, lang), text)
