@@ -48,3 +48,36 @@ def test_padding_query_fills_every_budget(spark, tmp_path):
     got = catalogue.queries()["padding_rows"](spark, str(tmp_path)).collect()
     assert len(got) == len(rows)
     assert all(r.n_chars + max(n for i, n in size if i == r.doc_id) >= 3.5 * r.budget for r in got)
+
+
+def most_read(spark, group):
+    """Bytes that one task of a job group has read of shuffles, at most."""
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    most = 0
+    for stage in {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}:
+        tasks = store.taskList(stage, 0, 1000)
+        for k in range(tasks.size()):
+            m = tasks.apply(k).taskMetrics()
+            if m.isDefined():
+                r = m.get().shuffleReadMetrics()
+                most = max(most, r.localBytesRead() + r.remoteBytesRead())
+    return most
+
+
+def test_padding_reads_no_domain_in_one_task(spark):
+    rng = random.Random(6)
+    rows = [(i, f"{rng.getrandbits(8000):x}", "en" if i % 50 else "de") for i in range(3000)]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = FX.numbered(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", ["doc_id"]).checkpoint()
+        spark.sparkContext.setJobGroup("padding", "")
+        assert FX.padded(df, "doc_id", "text", "lang", "index", 7).count() == len(rows)
+        most = most_read(spark, "padding")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < most < sum(len(t) for _, t, _ in rows) / 8

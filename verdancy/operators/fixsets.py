@@ -65,10 +65,11 @@ def permutations(rows: DataFrame, options: str, row_id: str, seed: int, copies:
     return many.withColumn(options, F.transform(F.array_sort(keyed), lambda s: s["o"]))
 
 
-def _placed(rows: DataFrame, row_id: str, state: str, domain: str, index: str, seed: int) -> tuple[DataFrame, DataFrame]:
-    """rows with _at, their place from 0 in order of domain and hash, and the domains with their range of places.
+def _placed(rows: DataFrame, row_id: str, state: str, domain: str, index: str, seed: int) -> DataFrame:
+    """rows with _at, their place from 0 in order of domain and hash, and their domain's places (_first, _n) and what is outside it (_m, _chars).
 
-    Places are counted by ranges of the hash, so that no task sorts a whole domain.
+    Places are counted by ranges of the hash, and a domain's figures come with the
+    range's start, so that no task sorts or reads a whole domain.
     """
     h = F.xxhash64(F.lit(seed), row_id, state)
     keyed = rows.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 64 - RANGE_BITS))
@@ -79,10 +80,11 @@ def _placed(rows: DataFrame, row_id: str, state: str, domain: str, index: str, s
     whole = Window.partitionBy(F.lit(0))
     domains = domains.select("_d", "_n", before("_n", whole.orderBy("_d")).alias("_first"), (F.sum("_n").over(whole) - F.col("_n")).alias("_m"), (F.sum("_chars").over(whole) - F.col("_chars")).alias("_chars"))
     ranges = ranges.select("_d", "_rb", before("n", Window.partitionBy("_d").orderBy("_rb")).alias("_skip"))
-    starts = ranges.join(domains.select(F.col("_d").alias("_e"), "_first"), F.col("_d").eqNullSafe(F.col("_e"))).select("_d", "_rb", (F.col("_first") + F.col("_skip")).alias("_start"))
+    figures = ("_first", "_n", "_m", "_chars")
+    starts = ranges.join(domains.select(F.col("_d").alias("_e"), *figures), F.col("_d").eqNullSafe(F.col("_e"))).select("_d", "_rb", (F.col("_first") + F.col("_skip")).alias("_start"), *figures)
     inside = F.row_number().over(Window.partitionBy(domain, "_b").orderBy("_h", row_id, state, index)) - 1
     placed = keyed.withColumn("_in", inside).join(starts, F.col(domain).eqNullSafe(F.col("_d")) & (F.col("_b") == F.col("_rb")))
-    return placed.select(*rows.columns, (F.col("_start") + F.col("_in")).alias("_at")), domains
+    return placed.select(*rows.columns, (F.col("_start") + F.col("_in")).alias("_at"), *figures)
 
 
 def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, seed: int, budgets: tuple[int, ...] = BUDGETS) -> DataFrame:
@@ -95,11 +97,10 @@ def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, se
     counts as empty and is no padding; a null domain is a domain of its own.
     """
     require_shared_dir(rows)
-    placed, domains = _placed(rows, row_id, state, domain, index, seed)
-    placed = placed.checkpoint()
+    placed = _placed(rows, row_id, state, domain, index, seed).checkpoint()
     seeds = lambda k: F.xxhash64(F.lit(seed), F.lit(k), row_id, state)
     # draws are numbers below 2^_p, the least power of two that holds the _m other places; those of _m and more are passed over
-    asks = placed.join(domains.where("_m > 0"), F.col(domain).eqNullSafe(F.col("_d"))).withColumn("_p", F.length(F.bin(F.col("_m") - 1)) - F.when(F.col("_m") == 1, 1).otherwise(0))
+    asks = placed.where("_m > 0").withColumn("_p", F.length(F.bin(F.col("_m") - 1)) - F.when(F.col("_m") == 1, 1).otherwise(0))
     asks = asks.withColumn("_mask", F.expr("shiftleft(1L, _p) - 1")).withColumn("_odd", F.expr("least(_mask, shiftleft(1L, 62 - _p) - 1)"))
     odd = lambda k: seeds(k).bitwiseAND(F.col("_odd")).bitwiseOR(F.lit(1))
     need = cyclic(F.col(index), list(budgets)) * X.CHARS_PER_TOKEN - F.coalesce(F.length(state), F.lit(0))
@@ -128,7 +129,7 @@ def padded(rows: DataFrame, row_id: str, state: str, domain: str, index: str, se
         asks = asks.join(got, "_at", "left").withColumn("_any", F.col("_any") | F.col("_got").isNotNull()).withColumn("_need", F.col("_need") - F.coalesce("_got", F.lit(0)))
         asks = asks.withColumn("_k", F.col("_to")).where((~F.col("_any") | (F.col("_need") > 0)) & (F.col("_k") <= F.col("_mask"))).drop("_got", "_to")
         turn += 1
-    out = placed.withColumn("budget", cyclic(F.col(index), list(budgets)))
+    out = placed.select(*rows.columns, "_at").withColumn("budget", cyclic(F.col(index), list(budgets)))
     none = F.array().cast("array<string>")
     if pairs is None:
         return out.withColumn("others", none).drop("_at")
