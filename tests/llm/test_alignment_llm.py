@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from verdancy.llm import token_align as A
@@ -113,3 +114,21 @@ def test_empty_table(spark):
     assert A.align_tokens(spark.createDataFrame([], "doc_id long, text string"), BYTE, PIECE).count() == 0
     one = A.align_tokens(spark.createDataFrame([(1, None)], "doc_id long, text string"), BYTE, PIECE).collect()
     assert [tuple(r) for r in one] == [(1, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_no_saved_row_holds_a_block(spark):
+    rng = random.Random(11)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))) for i, n in enumerate([4000, 1500, 1, *[30] * 200])] + [(300, None), (301, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    saved = df.mapInArrow(A._blocks(BYTE, PIECE, A.BLOCK_BYTES), A.BLOCK_SCHEMA).toArrow()
+    lists = [c for c in saved.schema.names if pa.types.is_list(saved.schema.field(c).type)]
+    assert lists and max(pc.max(pc.list_value_length(saved.column(c))).as_py() or 0 for c in lists) <= 1024
+
+
+def test_documents_of_several_rows(spark, units):
+    rng = random.Random(12)
+    rows = [(i, " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))) for i, n in enumerate([2500, 900, 40, 1, 2500])] + [(4, "again"), (None, None), (7, "")]
+    rows += [(8, rows[0][1]), (9, rows[1][1] + " " + rows[1][1])]
+    for block in (A.BLOCK_BYTES, 20_000):
+        got = A.align_tokens(spark.createDataFrame(rows, "doc_id long, text string"), BYTE, PIECE, block)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(units, rows)))

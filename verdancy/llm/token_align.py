@@ -17,6 +17,11 @@ a row an id of vocabulary A, and that size is what makes its broadcast safe; the
 sums themselves are joined by shuffles.  A pair that every document holds is one
 row a block.
 
+Memory.  Spark's Parquet writer looks at its buffers every 100 rows and its reader
+takes 4,096 rows at a time, however long they are.  So no list of a saved row has
+more than ``ROW_ENTRIES`` entries: a document with more pairs has several rows, and
+so has a block's list of pairs.  They meet again, a block at a time, at the end.
+
 Edge cases.  Null and empty texts, and texts whose tokens of A or of B do not spell
 the text with its space before it (B writes U+2581 as a space), have no tokens:
 zeros and an empty groups_sha256.  Strings of special tokens are plain text.  Long
@@ -48,6 +53,9 @@ from .unit_encoder import _MARKS, _WIDE, _ranges
 #: Text of one slice, the unit of work in memory, and of a block, the unit in which pairs are counted.
 SLICE_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+#: Entries of a saved row's lists, and rows of an Arrow batch. Figures of memory, not of results.
+ROW_ENTRIES = 512
+BATCH_ROWS = 512
 #: Groups of more links than this are linked by their distinct ids.
 LONG_GROUP = 4096
 #: Bytes of units and ids that a worker keeps; beyond, it forgets those met once. A figure of memory, not of results.
@@ -378,12 +386,30 @@ def _bits(side: _Bytes | _Pieces) -> int:
     return max(1, (len(side.spelt) - 1).bit_length())
 
 
-#: A row is a block: lists by document, by pair of a document (at: the pair's place in the block's list) and by pair of the block.
+#: A row holds some pairs of a document (doc: its number in the block, at: the pairs' places in the block's list), or some of the block's list, from a place on.
 BLOCK_SCHEMA = (
-    "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
-    "n_pairs array<int>, at array<int>, times array<long>, pair array<long>, docs array<int>"
+    "block long, doc int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, at array<int>, times array<long>, "
+    "place int, pair array<long>, docs array<int>"
 )
 _PER_DOC = ("n_a", "n_b", "n_groups", "n_links")
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+_ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (f.split() for f in BLOCK_SCHEMA.split(", "))])
+
+
+def _cuts(counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(run, entries) of each row, where runs of so many entries are cut into rows of at most that many; an empty run has a row."""
+    rows = np.maximum(1, -(-counts // most))
+    run = np.repeat(np.arange(len(counts)), rows)
+    nth = np.arange(len(run)) - np.repeat(np.cumsum(rows) - rows, rows)
+    return run, np.minimum(counts[run] - nth * most, most)
+
+
+def _rows(columns: dict[str, pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Rows with these columns, the others null, some at a time."""
+    n = len(columns["block"])
+    whole = pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _ARROW], schema=_ARROW)
+    for k in range(0, n, BATCH_ROWS):
+        yield whole.slice(k, BATCH_ROWS)
 
 
 class _Blocks:
@@ -417,19 +443,24 @@ class _Blocks:
         self.parts.append((doc_ids.to_pylist(), found, sha, own, at.astype(np.int32), times.astype(np.int32 if not len(times) or times.max() < 1 << 31 else np.int64)))
         self.bytes += int(pc.sum(pc.binary_length(texts)).as_py() or 0)
 
-    def flush(self) -> pa.RecordBatch:
+    def flush(self) -> Iterator[pa.RecordBatch]:
         pairs, back = np.unique(np.concatenate([p[3] for p in self.parts]), return_inverse=True)
         starts = _starts([len(p[3]) for p in self.parts])
         at = np.concatenate([back[s:][p[4]].astype(np.int32) for s, p in zip(starts[:-1], self.parts)])
-        one = lambda values, kind: pa.array([values], pa.list_(kind))
         joined = lambda k: np.concatenate([p[1][k] for p in self.parts])
-        columns = {"block": pa.array([self.number], pa.int64()), "doc_id": one([d for p in self.parts for d in p[0]], pa.int64())}
-        columns |= {k: one(joined(k), pa.int64()) for k in _PER_DOC}
-        columns |= {"groups_sha256": one([s for p in self.parts for s in p[2]], pa.string()), "n_pairs": one(joined("n_pairs").astype(np.int32), pa.int32()), "at": one(at, pa.int32())}
-        columns |= {"times": one(np.concatenate([p[5] for p in self.parts]), pa.int64()), "pair": one(pairs, pa.int64())}
-        columns["docs"] = one(np.bincount(at, minlength=len(pairs)).astype(np.int32), pa.int32())
+        lists = lambda values, sizes, kind: pa.ListArray.from_arrays(pa.array(_starts(sizes), pa.int32()), pa.array(values, kind))
+        block = lambda rows: pa.array(np.full(len(rows), self.number), pa.int64())
+        doc, sizes = _cuts(joined("n_pairs"), ROW_ENTRIES)
+        of_docs = {"block": block(doc), "doc": pa.array(doc, pa.int32()), "doc_id": pa.array([d for p in self.parts for d in p[0]], pa.int64()).take(pa.array(doc))}
+        of_docs |= {k: pa.array(joined(k)[doc], pa.int64()) for k in _PER_DOC}
+        of_docs["groups_sha256"] = pa.array([s for p in self.parts for s in p[2]], pa.string()).take(pa.array(doc))
+        of_docs |= {"at": lists(at, sizes, pa.int32()), "times": lists(np.concatenate([p[5] for p in self.parts]), sizes, pa.int64())}
+        run, sizes = _cuts(np.array([len(pairs)]), ROW_ENTRIES)
+        of_pairs = {"block": block(run), "place": pa.array(_starts(sizes)[:-1], pa.int32()), "pair": lists(pairs, sizes, pa.int64())}
+        of_pairs["docs"] = lists(np.bincount(at, minlength=len(pairs)).astype(np.int32), sizes, pa.int32())
         self.number, self.bytes, self.parts = self.number + 1, 0, []
-        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        yield from _rows(of_docs)
+        yield from _rows(of_pairs)
 
 
 def _blocks(byte_path: str, piece_path: str, block_bytes: int):
@@ -440,9 +471,9 @@ def _blocks(byte_path: str, piece_path: str, block_bytes: int):
             for a, b in T.slices(texts, min(SLICE_BYTES, block_bytes)):
                 blocks.add(batch.column("doc_id").slice(a, b - a), texts.slice(a, b - a))
                 if blocks.bytes >= block_bytes:
-                    yield blocks.flush()
+                    yield from blocks.flush()
         if blocks.parts:
-            yield blocks.flush()
+            yield from blocks.flush()
 
     return run
 
@@ -451,30 +482,36 @@ _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 
 def _counted(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The documents of a block; right has (place in the block's list of pairs, twice the count and 1 if it is its A id's highest)."""
-    row = {c: left.column(c).combine_chunks().flatten() for c in ("doc_id", *_PER_DOC, "groups_sha256", "n_pairs", "at", "times", "docs")}
-    count = np.zeros(len(row["docs"]), dtype=np.int64)
+    """The documents of a block from their rows; right has (place in the block's list of pairs, twice the count and 1 if it is its A id's highest)."""
+    at, times = (left.column(c).combine_chunks() for c in ("at", "times"))
+    ends = _starts(pc.list_value_length(at).to_numpy(zero_copy_only=False))
+    at, times = at.flatten().to_numpy(), times.flatten().to_numpy()
+    count = np.zeros(right.num_rows, dtype=np.int64)  # a row for each place
     count[right.column("place").to_numpy()] = right.column("count").to_numpy()
-    value = count[row["at"].to_numpy()]
-    times = row["times"].to_numpy()
-    ends = _starts(row["n_pairs"].to_numpy())
-    sums = [np.diff(_starts(v)[ends]) for v in (times * (value & 1), times * (value >> 1))]
-    names = [f.split()[0] for f in _RESULT.split(", ")]
-    row |= {"n_best": pa.array(sums[0]), "count_sum": pa.array(sums[1])}
-    return pa.table({k: row[k] for k in names})
+    value = count[at]
+    _, first, doc = np.unique(left.column("doc").to_numpy(), return_index=True, return_inverse=True)
+    found = left.take(pa.array(first))
+    row = {c: found.column(c) for c in ("doc_id", *_PER_DOC, "groups_sha256")}
+    for name, links in (("n_best", times * (value & 1)), ("count_sum", times * (value >> 1))):
+        sums = np.zeros(len(first), dtype=np.int64)
+        np.add.at(sums, doc, np.diff(_starts(links)[ends]))
+        row[name] = pa.array(sums)
+    return pa.table({k: row[k] for k in (f.split()[0] for f in _RESULT.split(", "))})
 
 
 def align_tokens(docs: DataFrame, byte_path: str, piece_path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row for each row of docs(doc_id, text) with its tokens, groups, links and what the links count in all of docs."""
     with Scratch(docs.sparkSession) as scratch:
         blocks = scratch.saved(docs.select("doc_id", "text").mapInArrow(_blocks(byte_path, piece_path, block_bytes), BLOCK_SCHEMA), "aligned")
-        pairs = blocks.select("block", F.posexplode(F.arrays_zip("pair", "docs")).alias("place", "p")).select("block", "place", "p.pair", "p.docs")
+        pairs = blocks.where("place IS NOT NULL").select("block", "place", F.posexplode(F.arrays_zip("pair", "docs")).alias("nth", "p"))
+        pairs = pairs.select("block", (F.col("place") + F.col("nth")).alias("place"), "p.pair", "p.docs")
         counts = scratch.saved(pairs.groupBy("pair").agg(F.sum("docs").alias("n")), "pair_counts")
         by_a = F.shiftright("pair", _bits(_Pieces(piece_path)))
         best = counts.groupBy(by_a.alias("a")).agg(F.max("n").alias("most"))  # one row an id of vocabulary A at most
         ranked = counts.withColumn("a", by_a).join(F.broadcast(best), "a").select("pair", (F.col("n") * 2 + (F.col("n") == F.col("most")).cast("long")).alias("count"))
         back = pairs.select("block", "place", "pair").join(ranked, "pair").select(F.col("block").alias("asks"), "place", "count")
-        found = blocks.groupBy("block").cogroup(back.groupBy("asks")).applyInArrow(_counted, _RESULT)
+        of_docs = blocks.where("doc IS NOT NULL").drop("place", "pair", "docs")
+        found = of_docs.groupBy("block").cogroup(back.groupBy("asks")).applyInArrow(_counted, _RESULT)
         return saved(found, "aligned_tokens")
 
 
